@@ -306,40 +306,61 @@ def percent_rank_window(df: DataFrame, value: str, out: str, digits: int | None
     return df.withColumn(out, F.round(pr, digits) if digits is not None else pr)
 
 
-def ranked_values(df: DataFrame, value: str, n: int | None = None,
-                  rows_per_slot: int = 2_000_000, max_slots: int = 10_000) -> DataFrame:
-    """One row per distinct value (null and NaN included): ``value, _cnt,
-    _before`` where ``_before`` counts rows ordered before the value.
-
-    Running sums run inside value slots (cut points from approximate
-    quantiles, so each slot holds a bounded number of distinct values) plus a
-    per-slot offset from a table of at most ``max_slots + 2`` rows.
+def prefix_sums(table: DataFrame, key: str, cols: Sequence[str], n: int | None = None,
+                rows_per_slot: int = 2_000_000, max_slots: int = 10_000,
+                with_prev: bool = False, with_totals: bool = False) -> DataFrame:
+    """Running sums over a table with one row per ``key``, in key order
+    (null first, NaN last): adds ``_before_<c>`` (sum of ``c`` over smaller
+    keys) and, with ``with_prev``, ``_prev_<c>`` (``c`` of the next smaller key).
+
+    The sums run inside key slots (cut points from approximate quantiles, so
+    a slot holds about ``rows_per_slot`` keys) plus per-slot offsets from a
+    table of at most ``max_slots + 2`` rows; no window sees the whole table.
     """
     if n is None:
-        n = df.count()
+        n = table.count()
     slots = int(max(1, min(max_slots, math.ceil(n / rows_per_slot))))
     cuts = []
     if slots > 1:
-        cuts = sorted(set(df.approxQuantile(value, [i / slots for i in range(1, slots)],
-                                            1.0 / (4 * slots))))
-    vt = df.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
+        cuts = sorted(set(table.approxQuantile(key, [i / slots for i in range(1, slots)],
+                                               1.0 / (4 * slots))))
     if cuts:
-        b = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol="_vd", outputCol="_sd",
+        b = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol="_kd", outputCol="_sd",
                        handleInvalid="keep")
-        vt = b.transform(vt.withColumn("_vd", F.col(value).cast("double")))
-        vt = vt.withColumn("_slot", F.coalesce(F.col("_sd").cast("int"), F.lit(-1))).drop("_vd", "_sd")
+        t = b.transform(table.withColumn("_kd", F.col(key).cast("double")))
+        t = t.withColumn("_slot", F.coalesce(F.col("_sd").cast("int"), F.lit(-1))).drop("_kd", "_sd")
     else:
-        vt = vt.withColumn("_slot", F.lit(0))
-    per_slot = vt.groupBy("_slot").agg(F.sum("_cnt").alias("_scnt"))
-    # at most max_slots + 2 rows: the single-partition window is bounded
-    offs = per_slot.select("_slot", F.coalesce(
-        F.sum("_scnt").over(Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_slot").orderBy(F.col(value).asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    return (vt.join(F.broadcast(offs), "_slot")
-            .select(value, "_cnt", (F.col("_off") + F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-                    .alias("_before")))
+        t = table.withColumn("_slot", F.lit(0))
+    aggs = [F.sum(c).alias(f"_s_{c}") for c in cols]
+    if with_prev:
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(key)).alias("_last"))
+    per_slot = t.groupBy("_slot").agg(*aggs)
+    # at most max_slots + 2 rows: this single-partition window is bounded
+    ow = Window.orderBy("_slot")
+    sel = ["_slot"] + [F.coalesce(F.sum(f"_s_{c}").over(ow.rowsBetween(Window.unboundedPreceding, -1)),
+                                  F.lit(0)).alias(f"_off_{c}") for c in cols]
+    if with_prev:
+        sel.append(F.lag("_last").over(ow).alias("_plast"))
+    if with_totals:
+        sel += [F.sum(f"_s_{c}").over(Window.partitionBy()).alias(f"_total_{c}") for c in cols]
+    offs = per_slot.select(*sel)
+    w = Window.partitionBy("_slot").orderBy(F.col(key).asc_nulls_first())
+    wb = w.rowsBetween(Window.unboundedPreceding, -1)
+    out = [F.col(c) for c in table.columns]
+    out += [(F.col(f"_off_{c}") + F.coalesce(F.sum(c).over(wb), F.lit(0))).alias(f"_before_{c}")
+            for c in cols]
+    if with_prev:
+        out += [F.coalesce(F.lag(c).over(w), F.col(f"_plast.{c}")).alias(f"_prev_{c}") for c in cols]
+    if with_totals:
+        out += [F.col(f"_total_{c}") for c in cols]
+    return t.join(F.broadcast(offs), "_slot").select(*out)
+
+
+def ranked_values(df: DataFrame, value: str, n: int | None = None) -> DataFrame:
+    """One row per distinct value (null and NaN included): ``value, _cnt,
+    _before`` where ``_before`` counts rows ordered before the value."""
+    vt = df.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
+    return prefix_sums(vt, value, ["_cnt"], n=n).withColumnRenamed("_before__cnt", "_before")
 
 
 def percent_rank_distributed(df: DataFrame, value: str, out: str, digits: int | None = 4,
