@@ -434,7 +434,7 @@ _UNPIVOT = ("long AS (SELECT id, Class, feature, CAST(value AS DOUBLE) AS value
 
 
 def _top_sql(k: int) -> str:
-    return (WITH_TXN + ", " + _UNPIVOT + f"SELECT feature, round(corr, {ROUND_STAT}) AS corr, "
+    return (WITH_TXN + ", " + _UNPIVOT + f"SELECT feature, round(corr, {ROUND_STAT}) + 0.0 AS corr, "
             f"round(abs(corr), {ROUND_STAT}) AS abs_corr FROM lc ORDER BY abs(corr) DESC NULLS LAST, "
             f"feature LIMIT {k}")
 
@@ -448,7 +448,7 @@ def _corr_matrix_sql() -> str:
             "UNION ALL SELECT id, 'Class', CAST(Class AS DOUBLE) FROM txn), "
             "pairs AS (SELECT a.feature AS x, b.feature AS y, a.value AS xv, b.value AS yv "
             "FROM long2 a JOIN long2 b ON a.id = b.id) "
-            f"SELECT x, y, round({_masked_corr('xv', 'yv')}, {ROUND_STAT}) AS r FROM pairs GROUP BY x, y")
+            f"SELECT x, y, round({_masked_corr('xv', 'yv')}, {ROUND_STAT}) + 0.0 AS r FROM pairs GROUP BY x, y")
 
 
 def _box_sql() -> str:
@@ -464,8 +464,8 @@ def _box_sql() -> str:
             "count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS outliers, "
             "min(value) AS min, max(value) AS max FROM v JOIN q ON v.feature = q.feature AND v.Class = q.Class "
             "GROUP BY v.feature, v.Class) "
-            f"SELECT q.feature, q.Class, q.n, round(q1, {ROUND_STAT}) AS q1, round(median, {ROUND_STAT}) AS median, "
-            f"round(q3, {ROUND_STAT}) AS q3, round(q3 - q1, {ROUND_STAT}) AS iqr, whisker_lo, whisker_hi, "
+            f"SELECT q.feature, q.Class, q.n, round(q1, {ROUND_STAT}) + 0.0 AS q1, round(median, {ROUND_STAT}) + 0.0 AS median, "
+            f"round(q3, {ROUND_STAT}) + 0.0 AS q3, round(q3 - q1, {ROUND_STAT}) + 0.0 AS iqr, whisker_lo, whisker_hi, "
             "outliers, min, max FROM q JOIN w ON q.feature = w.feature AND q.Class = w.Class")
 
 
@@ -526,7 +526,7 @@ ORACLE: dict[str, str] = {
     "min(Amount) AS min_amount, max(Amount) AS max_amount, round(avg(Amount), 2) AS avg_amount, "
     + _flag("Class = 1") + " AS fraud_count, " + _flag("Class = 0") + " AS legit_count FROM silver",
     "silver_features": WITH_SILVER + "SELECT * REPLACE (round(Amount_log, 8) AS Amount_log, "
-    "round(V1_Amount_interaction, 8) AS V1_Amount_interaction) FROM silver",
+    "round(V1_Amount_interaction, 8) + 0.0 AS V1_Amount_interaction) FROM silver",
     "amount_percentile": WITH_TXN + "SELECT id, Amount, round(percent_rank() OVER (ORDER BY Amount ASC "
     "NULLS FIRST), 4) AS Amount_percentile FROM txn",
     "amount_quartile": WITH_TXN + "SELECT id, Amount, CAST(ntile(4) OVER (ORDER BY Amount ASC NULLS FIRST, "
@@ -547,7 +547,7 @@ ORACLE: dict[str, str] = {
     "sum(count(*)) OVER (), 4) AS pct FROM txn GROUP BY Class",
     "preview_ordered": WITH_TXN + "SELECT id, Amount, Class FROM txn ORDER BY id LIMIT 1000",
     "histogram_by_class": _hist_sql(),
-    "label_correlation": WITH_TXN + ", " + _UNPIVOT + f"SELECT feature, round(corr, {ROUND_STAT}) AS corr FROM lc",
+    "label_correlation": WITH_TXN + ", " + _UNPIVOT + f"SELECT feature, round(corr, {ROUND_STAT}) + 0.0 AS corr FROM lc",
     "top_correlated": _top_sql(10),
     "correlation_matrix": _corr_matrix_sql(),
     "box_stats": _box_sql(),
@@ -555,7 +555,7 @@ ORACLE: dict[str, str] = {
     "split_report_txn": _split_sql(FX.TXN_SQL),
     "zscore": WITH_TXN + "SELECT id, " + ", ".join(
         f"round(({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () > 0 THEN stddev_pop({c}) OVER () "
-        f"ELSE 1.0 END, {ROUND_STAT}) AS {c}" for c in CORR_COLS) + " FROM txn",
+        f"ELSE 1.0 END, {ROUND_STAT}) + 0.0 AS {c}" for c in CORR_COLS) + " FROM txn",
     "confusion_matrix": WITH_SCORED + "SELECT a AS actual, p AS predicted, CAST(count(s.id) AS BIGINT) AS count "
     "FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) g(a, p) LEFT JOIN scored s ON s.Class = g.a AND "
     "(CASE WHEN s.prediction = 1 THEN 1 ELSE 0 END) = g.p GROUP BY a, p",
