@@ -8,6 +8,7 @@ from a cached frame; evaluation is the aggregate metrics of
 
 from __future__ import annotations
 
+import math
 import time
 import uuid
 from collections.abc import Sequence
@@ -26,7 +27,7 @@ from ..operators import metrics as M
 from .scale import fit_scaler
 
 # Reference hyper-parameters (fixed values)
-LR_PARAMS = {"C": 1.0, "max_iter": 1000}
+LR_PARAMS = {"C": 1.0, "max_iter": 1000, "tol": 1e-4}
 RF_PARAMS = {"n_estimators": 200, "max_depth": 15}
 GBT_PARAMS = {"n_estimators": 300, "max_depth": 8, "learning_rate": 0.1}
 SEED = 42
@@ -47,7 +48,7 @@ def make_estimator(kind: str, n_train: int, params: dict | None = None, label: s
     if kind == "lr":
         c, it = p.get("C", LR_PARAMS["C"]), p.get("max_iter", LR_PARAMS["max_iter"])
         return LogisticRegression(regParam=1.0 / (c * max(n_train, 1)), elasticNetParam=0.0,
-                                  standardization=False, maxIter=it, tol=1e-6, **common)
+                                  standardization=False, maxIter=it, tol=p.get("tol", 1e-4), **common)
     if kind == "rf":
         return RandomForestClassifier(numTrees=p.get("n_estimators", RF_PARAMS["n_estimators"]),
                                       maxDepth=p.get("max_depth", RF_PARAMS["max_depth"]),
@@ -63,14 +64,32 @@ def make_estimator(kind: str, n_train: int, params: dict | None = None, label: s
 MODEL_TYPES = {"lr": "LogisticRegression", "rf": "RandomForest", "gbt": "GradientBoostedTrees"}
 
 
+ROWS_PER_PARTITION = 100_000   # training rows per task
+
+
+def training_frame(train: DataFrame, n: int) -> DataFrame:
+    """Partition the training rows by size: iterative learners run one job
+    per iteration (per tree level for trees), so a small set spread over
+    many tasks pays task overhead hundreds of times; a large set gets one
+    task per ``ROWS_PER_PARTITION`` rows."""
+    parts = max(1, math.ceil(n / ROWS_PER_PARTITION))
+    if parts < train.rdd.getNumPartitions():
+        return train.coalesce(parts)
+    return train.repartition(parts)
+
+
 def fit_pipeline(train: DataFrame, kind: str, features: Sequence[str] = S.MODEL_FEATURES,
                  params: dict | None = None, label: str = S.LABEL_COL) -> PipelineModel:
     n = train.count()
     scaler = fit_scaler(train, features)
+    train = training_frame(train.select(*features, label), n).cache()
     assembler = VectorAssembler(inputCols=_features_z(features), outputCol="features",
                                 handleInvalid="error")
     est = make_estimator(kind, n, params, label)
-    return Pipeline(stages=[scaler, assembler, est]).fit(train)
+    try:
+        return Pipeline(stages=[scaler, assembler, est]).fit(train)
+    finally:
+        train.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("id", "Amount", "Class"),

@@ -29,6 +29,7 @@ from ..operators import ranks as R
 from ..sources import fixtures as FX
 from ..sources.files import file_inventory
 from ..sources.lakehouse import Lakehouse
+from ..session import materialize
 from . import medallion as MD
 from . import reports as RP
 
@@ -257,45 +258,51 @@ def q_file_inventory(spark, sf):
 def _ml_frames(spark, sf):
     s = _silver_ml(spark, sf)
     cols = [S.ID_COL] + S.MODEL_FEATURES + [S.AMOUNT_COL, S.LABEL_COL]
-    sp = SP.stratified_split(s.select(*cols), 0.2, 42).cache()
+    sp = SP.stratified_split(s.select(*cols), 0.2, 42)
+    sp = materialize(sp, "split")
     return sp.filter(F.col("split") == "train").drop("split"), sp.filter(F.col("split") == "test").drop("split")
 
 
+_EXPERIMENTS: dict[tuple, dict] = {}
+
+
+def _experiment(spark, sf) -> dict:
+    """Train the three models once per session and scale factor, logging each
+    run to a runs table; every model query reads this one experiment."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _EXPERIMENTS:
+        lake = Lakehouse.scratch(spark, "experiments")
+        tracker = Tracker(lake)
+        train, test = _ml_frames(spark, sf)
+        runs = {k: TR.train_and_log(train, test, k, tracker) for k in ("lr", "rf", "gbt")}
+        _EXPERIMENTS[key] = {"tracker": tracker, "runs": runs, "test": test}
+    return _EXPERIMENTS[key]
+
+
 def _fit_scores(kind: str):
     def q(spark, sf):
-        train, test = _ml_frames(spark, sf)
-        run = TR.train_and_log(train, test, kind)
-        return TR.predict(run.model, test).drop("_p_raw")
+        e = _experiment(spark, sf)
+        return TR.predict(e["runs"][kind].model, e["test"]).drop("_p_raw")
     return q
 
 
 def q_feature_importance(spark, sf):
-    train, test = _ml_frames(spark, sf)
-    run = TR.train_and_log(train, test, "rf")
+    run = _experiment(spark, sf)["runs"]["rf"]
     return spark.createDataFrame(run.importances, "feature string, importance double")
 
 
-def _tracked(spark, sf) -> Tracker:
-    lake = Lakehouse.scratch(spark, "experiments")
-    tracker = Tracker(lake)
-    train, test = _ml_frames(spark, sf)
-    for k in ("lr", "rf", "gbt"):
-        TR.train_and_log(train, test, k, tracker)
-    return tracker
-
-
 def q_compare_models(spark, sf):
-    return _tracked(spark, sf).compare_models().drop("run_id", "started_at")
+    return _experiment(spark, sf)["tracker"].compare_models().drop("run_id", "started_at")
 
 
 def q_best_run(spark, sf):
-    b = _tracked(spark, sf).best_run()
+    b = _experiment(spark, sf)["tracker"].best_run()
     return b.select(F.col("params")["model_type"].alias("model_type"),
                     F.col("metrics")["auc_roc"].alias("auc_roc"))
 
 
 def q_model_performance(spark, sf):
-    tracker = _tracked(spark, sf)
+    tracker = _experiment(spark, sf)["tracker"]
     reg = tracker.register_best()
     model, _ = tracker.load(reg["name"], reg["version"])
     scores = score_rows(model, _silver_ml(spark, sf), reg["name"], str(reg["version"]), stamp=False)
