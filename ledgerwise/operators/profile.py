@@ -74,22 +74,33 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: str | None
 
 # --- correlation -----------------------------------------------------------------
 
-def _pair_corr(x: str, y: str) -> Column:
-    """Pearson over rows where both are present (not null, not NaN), as pandas
-    pairs them; null when either side is constant (no division by zero)."""
-    xv, yv = no_nan(F.col(x).cast("double")), no_nan(F.col(y).cast("double"))
-    xm = F.when(yv.isNotNull(), xv)
-    ym = F.when(xv.isNotNull(), yv)
-    den = F.stddev_pop(xm) * F.stddev_pop(ym)
-    return F.when(den > F.lit(0.0), F.covar_pop(xm, ym) / den)
+def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pearson ``(x, y, r)`` for each column pair, over the rows where both
+    are present (not null, not NaN), as pandas pairs them; null when either
+    side is constant (no division by zero).
+
+    Each input row becomes one row per requested pair (a fixed expansion set
+    by the column list, linear in the data); a grouped aggregate with
+    map-side partial aggregation reduces them to one row per pair. This
+    keeps the plan small, where one aggregate of hundreds of masked
+    expressions spends seconds in the optimizer.
+    """
+    arr = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"),
+                             no_nan(F.col(a).cast("double")).alias("xv"),
+                             no_nan(F.col(b).cast("double")).alias("yv")) for a, b in pairs])
+    lf = df.select(F.inline(arr)).filter(F.col("xv").isNotNull() & F.col("yv").isNotNull())
+    den = F.stddev_pop("xv") * F.stddev_pop("yv")
+    got = lf.groupBy("x", "y").agg(F.when(den > F.lit(0.0), F.covar_pop("xv", "yv") / den).alias("r"))
+    # pairs with no complete row at all still get a (null) row
+    keys = df.sparkSession.createDataFrame(list(dict.fromkeys(pairs)), "x string, y string")
+    return keys.join(got, ["x", "y"], "left")
 
 
 def label_correlation(df: DataFrame, cols: Sequence[str] = S.V_COLS + ["Amount"],
                       label: str = S.LABEL_COL, digits: int | None = None) -> DataFrame:
-    """``(feature, corr)`` of each column with the label, one aggregate pass."""
-    one = df.agg(*[_pair_corr(c, label).alias(c) for c in cols])
-    out = one.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in cols])))
+    """``(feature, corr)`` of each column with the label."""
+    out = pair_correlations(df, [(c, label) for c in cols]).select(
+        F.col("x").alias("feature"), F.col("r").alias("corr"))
     if digits is not None:
         out = out.withColumn("corr", F.round("corr", digits))
     return out
@@ -107,16 +118,13 @@ def top_correlated(df: DataFrame, k: int = 10, cols: Sequence[str] = S.V_COLS +
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int | None = None) -> DataFrame:
-    """Long ``(x, y, r)`` matrix over ``cols``: one aggregate of all pairs."""
+    """Long ``(x, y, r)`` matrix over ``cols`` (both triangles and the diagonal)."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    one = df.agg(*[_pair_corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
-    structs = []
-    for i, (a, b) in enumerate(pairs):
-        structs.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"_{i}").alias("r")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("x"), F.lit(a).alias("y"), F.col(f"_{i}").alias("r")))
-    out = one.select(F.inline(F.array(*structs)))
+    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    half = pair_correlations(df, upper)
+    mirrored = half.filter(F.col("x") != F.col("y")).select(
+        F.col("y").alias("x"), F.col("x").alias("y"), "r")
+    out = half.unionByName(mirrored)
     if digits is not None:
         out = out.withColumn("r", F.round("r", digits))
     return out
