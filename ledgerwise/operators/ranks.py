@@ -330,7 +330,9 @@ def prefix_sums(table: DataFrame, key: str, cols: Sequence[str], n: int | None =
         t = b.transform(table.withColumn("_kd", F.col(key).cast("double")))
         t = t.withColumn("_slot", F.coalesce(F.col("_sd").cast("int"), F.lit(-1))).drop("_kd", "_sd")
     else:
-        t = table.withColumn("_slot", F.lit(0))
+        # one value slot, plus slot -1 for null keys (an expression, not a
+        # literal, so the plan keeps a keyed join and a partitioned window)
+        t = table.withColumn("_slot", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
     aggs = [F.sum(c).alias(f"_s_{c}") for c in cols]
     if with_prev:
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(key)).alias("_last"))
