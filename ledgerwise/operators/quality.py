@@ -91,7 +91,9 @@ def assert_quality(summary: DataFrame | dict) -> dict:
         failures.append(f"null labels: {row.get('null_labels')}")
     if row.get("negative_amounts") != 0:
         failures.append(f"negative amounts: {row.get('negative_amounts')}")
-    if not row.get("total_records") or row.get("total_records") != row.get("unique_ids"):
+    if not row.get("total_records"):
+        failures.append("empty table")
+    elif row.get("total_records") != row.get("unique_ids"):
         failures.append(f"duplicate ids: {row.get('total_records')} rows, {row.get('unique_ids')} ids")
     if failures:
         raise QualityGateError(failures)

@@ -244,26 +244,47 @@ def _tile_borders(n: int, k: int) -> list[int]:
     return [t * q + min(t, r) for t in range(1, k)]
 
 
-def _position_key(df: DataFrame, value: str, tiebreak: str, pos: int, n_null: int,
-                  n_valid: int, value_stats: dict) -> tuple:
-    """(value, tiebreak) of the row at 1-based ``pos`` of the order
-    ``value ASC NULLS FIRST (NaN last), tiebreak ASC NULLS FIRST``."""
-    if pos <= n_null:
-        v, rel, vcond = None, pos, F.col(value).isNull()
-    elif pos <= n_null + n_valid:
-        v, before = value_stats[((), pos - n_null)]
-        rel = pos - n_null - before
-        vcond = F.col(value) == F.lit(v)
-    else:
-        v, rel, vcond = float("nan"), pos - n_null - n_valid, F.isnan(F.col(value))
-    sub = df.filter(vcond).select(tiebreak)
-    stats = sub.agg(F.count_if(F.col(tiebreak).isNull()).alias("nulls"),
-                    F.count_if(_valid(sub, tiebreak)).alias("valid")).first()
-    if rel <= stats["nulls"]:
-        return v, None
-    got = order_statistics(sub, tiebreak, {(): [rel - stats["nulls"]]},
-                           group_sizes={(): stats["valid"]})
-    return v, got[((), rel - stats["nulls"])][0]
+def _border_keys(df: DataFrame, value: str, tiebreak: str, borders: list[int], n_null: int,
+                 n_valid: int, value_stats: dict) -> list[tuple]:
+    """(value, tiebreak) of the row at each 1-based border position of the
+    order ``value ASC NULLS FIRST (NaN last), tiebreak ASC NULLS FIRST``.
+
+    The value at each border is known; the tiebreak is an order statistic
+    among the rows sharing that value. All borders are resolved together:
+    each row is tagged with the borders whose value it holds (at most
+    ``len(borders)`` tags), one aggregate counts null / valid tiebreaks per
+    border, and one order-statistics search runs grouped by border.
+    """
+    specs = []
+    for pos in borders:
+        if pos <= n_null:
+            specs.append((None, pos, F.col(value).isNull()))
+        elif pos <= n_null + n_valid:
+            v, before = value_stats[((), pos - n_null)]
+            specs.append((v, pos - n_null - before, F.col(value) == F.lit(v)))
+        else:
+            specs.append((float("nan"), pos - n_null - n_valid, F.isnan(F.col(value))))
+    if not specs:
+        return []
+    tags = F.array(*[F.when(cond, F.lit(i)) for i, (_, _, cond) in enumerate(specs)])
+    tagged = (df.select(tiebreak, F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("_b")))
+    counts = {r["_b"]: (r["nulls"], r["valid"]) for r in tagged.groupBy("_b").agg(
+        F.count_if(F.col(tiebreak).isNull()).alias("nulls"),
+        F.count_if(_valid(tagged, tiebreak)).alias("valid")).collect()}
+    wanted, sizes = {}, {}
+    for i, (_, rel, _) in enumerate(specs):
+        nulls, valid = counts.get(i, (0, 0))
+        if rel > nulls:
+            wanted[(i,)] = [rel - nulls]
+            sizes[(i,)] = valid
+    got = order_statistics(tagged, tiebreak, wanted, group_cols=["_b"], group_sizes=sizes) if wanted else {}
+    out = []
+    for i, (v, rel, _) in enumerate(specs):
+        if (i,) in wanted:
+            out.append((v, got[((i,), wanted[(i,)][0])][0]))
+        else:
+            out.append((v, None))
+    return out
 
 
 def ntile_distributed(df: DataFrame, value: str, k: int, tiebreak: str, out: str) -> DataFrame:
@@ -281,7 +302,7 @@ def ntile_distributed(df: DataFrame, value: str, k: int, tiebreak: str, out: str
     borders = [p for p in _tile_borders(n, k) if 1 <= p < n]
     inner = sorted({p - n_null for p in borders if n_null < p <= n_null + n_valid})
     stats = order_statistics(df, value, {(): inner}, group_sizes={(): n_valid}) if inner else {}
-    keys = [_position_key(df, value, tiebreak, p, n_null, n_valid, stats) for p in borders]
+    keys = _border_keys(df, value, tiebreak, borders, n_null, n_valid, stats)
     vt = df.schema[value].dataType
     tt = df.schema[tiebreak].dataType
     row_key = F.struct(F.col(value).alias("v"), F.col(tiebreak).alias("t"))
