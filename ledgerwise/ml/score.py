@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.columns import right_closed_bins
 from ..operators import metrics as M
+from ..session import spread
 from .scale import fit_scaler
 
 
@@ -24,7 +25,8 @@ def score_rows(model: PipelineModel, df: DataFrame, model_name: str, model_versi
         feats = list(stages[1].getInputCols())
         stages[0] = fit_scaler(df, [c[:-2] for c in feats])
     m = PipelineModel(stages)
-    out = m.transform(df)
+    # scoring is CPU-bound per row (hundreds of trees): use every core
+    out = m.transform(spread(df))
     from pyspark.ml.functions import vector_to_array
     p = F.bround(vector_to_array("probability")[1], 6)
     res = out.select(

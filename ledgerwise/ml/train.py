@@ -8,7 +8,6 @@ from a cached frame; evaluation is the aggregate metrics of
 
 from __future__ import annotations
 
-import math
 import time
 import uuid
 from collections.abc import Sequence
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import metrics as M
+from ..session import spread
 from .scale import fit_scaler
 
 # Reference hyper-parameters (fixed values)
@@ -64,18 +64,16 @@ def make_estimator(kind: str, n_train: int, params: dict | None = None, label: s
 MODEL_TYPES = {"lr": "LogisticRegression", "rf": "RandomForest", "gbt": "GradientBoostedTrees"}
 
 
-ROWS_PER_PARTITION = 100_000   # training rows per task
+ROWS_PER_PARTITION = 100_000   # training rows per task beyond one task per core
 
 
 def training_frame(train: DataFrame, n: int) -> DataFrame:
-    """Partition the training rows by size: iterative learners run one job
-    per iteration (per tree level for trees), so a small set spread over
-    many tasks pays task overhead hundreds of times; a large set gets one
-    task per ``ROWS_PER_PARTITION`` rows."""
-    parts = max(1, math.ceil(n / ROWS_PER_PARTITION))
-    if parts < train.rdd.getNumPartitions():
-        return train.coalesce(parts)
-    return train.repartition(parts)
+    """Spread the training rows over at least one partition per core: tree
+    learners aggregate split statistics per partition, so a small set in one
+    partition runs on one core (a 200-tree forest on 1,600 rows: 31 s on one
+    partition, 18 s on eight); large sets get one task per
+    ``ROWS_PER_PARTITION`` rows."""
+    return spread(train, n, ROWS_PER_PARTITION)
 
 
 def fit_pipeline(train: DataFrame, kind: str, features: Sequence[str] = S.MODEL_FEATURES,

@@ -79,3 +79,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, rows: int | None = None, rows_per_partition: int = 100_000) -> DataFrame:
+    """At least one partition per core of the cluster (``defaultParallelism``)
+    for CPU-heavy per-row work (model fitting, scoring); more for large inputs
+    (one per ``rows_per_partition`` rows when ``rows`` is known). A no-op when
+    the input already has enough partitions, as it does at scale."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if rows is not None:
+        want = max(want, -(-rows // rows_per_partition))
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
