@@ -1,8 +1,8 @@
 """Exploratory statistics: the data behind each chart, computed in Spark.
 
 Nothing here collects rows: ranges, correlations and box statistics are
-aggregates; only a handful of numbers (per class, per feature) are small
-enough to be broadcast back or read on the driver.
+aggregates; only per-(group, feature) numbers come back to be joined to the
+rows (AQE decides from their runtime size whether to broadcast them).
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.columns import no_nan
+from ..session import spread
 from . import ranks
 from .aggregates import with_share
 
@@ -50,7 +51,9 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: str | None
     keep = [by] if by else []
     lf = long_form(df, cols, keep).withColumn("value", no_nan("value")).filter(F.col("value").isNotNull())
     gk = keep + ["feature"]
-    # one row per (group, feature): a bounded table, broadcast back
+    # one row per (group, feature); joined back without a hint: AQE
+    # broadcasts it from its runtime size (tiny for a class label) and falls
+    # back to a shuffle join for a high-cardinality ``by``
     rng = lf.groupBy(*gk).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"))
     rng = rng.select(*gk,
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
@@ -60,7 +63,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: str | None
     idx = (F.when(x < _edge(i0, lo, hi, bins), i0 - 1)
            .when((x >= _edge(i0 + 1, lo, hi, bins)) & (i0 != F.lit(bins - 1)), i0 + 1)
            .otherwise(i0))
-    counts = (lf.join(F.broadcast(rng), gk)
+    counts = (lf.join(rng, gk)
               .groupBy(*gk, (idx + 1).cast("int").alias("bin"))
               .agg(F.count(F.lit(1)).alias("count")))
     grid = rng.select(*gk, "_lo", "_hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
@@ -88,7 +91,7 @@ def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
     arr = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"),
                              no_nan(F.col(a).cast("double")).alias("xv"),
                              no_nan(F.col(b).cast("double")).alias("yv")) for a, b in pairs])
-    lf = df.select(F.inline(arr)).filter(F.col("xv").isNotNull() & F.col("yv").isNotNull())
+    lf = spread(df).select(F.inline(arr)).filter(F.col("xv").isNotNull() & F.col("yv").isNotNull())
     den = F.stddev_pop("xv") * F.stddev_pop("yv")
     got = lf.groupBy("x", "y").agg(F.when(den > F.lit(0.0), F.covar_pop("xv", "yv") / den).alias("r"))
     # pairs with no complete row at all still get a (null) row
@@ -139,7 +142,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str = S.LABEL_COL,
 
     Quartiles are exact order statistics found without sorting a group in
     one task; whiskers and outliers are one more aggregate against the
-    per-group quartiles (a table of columns x groups rows, broadcast).
+    per-group quartiles (a table of columns x groups rows; AQE broadcasts it
+    when its runtime size allows).
     """
     lf = long_form(df, cols, [by]).withColumn("value", no_nan("value")).filter(F.col("value").isNotNull())
     gk = ["feature", by]
@@ -172,7 +176,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str = S.LABEL_COL,
     lo_f = F.col("q1") - F.lit(whisker) * F.col("iqr")
     hi_f = F.col("q3") + F.lit(whisker) * F.col("iqr")
     v = F.col("value")
-    agg = (lf.join(F.broadcast(q), gk)
+    agg = (lf.join(q, gk)
            .groupBy(*gk)
            .agg(F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
                 F.max(F.when(v <= hi_f, v)).alias("whisker_hi"),
