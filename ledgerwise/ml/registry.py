@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators.aggregates import best_row
+from ..sources.files import write_artifact_csv
 from ..sources.lakehouse import Lakehouse
 
 
@@ -29,6 +30,7 @@ class Tracker:
         path = self.lake.path(f"models/{run.run_id}")
         run.model.write().overwrite().save(path)
         run.model_path = path
+        self._log_artifacts(run, path)
         row = (run.run_id, self.experiment, run_name,
                dt.datetime.fromtimestamp(run.started_at, dt.timezone.utc).replace(tzinfo=None),
                {k: str(v) for k, v in run.params.items()},
@@ -38,6 +40,20 @@ class Tracker:
         self.lake.write(df, S.RUNS, mode="append")
         return run.run_id
 
+    def _log_artifacts(self, run, model_path: str) -> None:
+        """Confusion matrix and feature importances as CSV next to the model
+        (fixed-size frames: 4 cells, one row per feature)."""
+        art = model_path.rstrip("/") + "_artifacts"
+        if run.confusion is not None:
+            write_artifact_csv(run.confusion, f"{art}/confusion_matrix")
+        if run.importances:
+            imp = self.spark.createDataFrame(run.importances, "feature string, importance double")
+            write_artifact_csv(imp, f"{art}/feature_importance")
+
+    def artifact(self, run_id: str, name: str) -> DataFrame:
+        path = self.lake.path(f"models/{run_id}_artifacts/{name}")
+        return self.spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+
     def runs(self) -> DataFrame:
         if not self.lake.exists(S.RUNS):
             return self.spark.createDataFrame([], S.RUNS_SCHEMA)

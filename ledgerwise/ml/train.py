@@ -130,6 +130,7 @@ class RunResult:
     started_at: float
     model_path: str | None = None
     importances: list = field(default_factory=list)
+    confusion: DataFrame | None = None
 
 
 def train_and_log(train: DataFrame, test: DataFrame, kind: str, tracker=None,
@@ -142,10 +143,12 @@ def train_and_log(train: DataFrame, test: DataFrame, kind: str, tracker=None,
     model = fit_pipeline(train, kind, features, used)
     scored = predict(model, test)
     mets = evaluate(scored)
+    confusion = M.confusion_matrix(scored, S.LABEL_COL, "fraud_prediction")
     run = RunResult(run_id=uuid.uuid4().hex, kind=kind, model=model, metrics=mets,
                     params={"model_type": MODEL_TYPES[kind], "n_features": len(features),
                             "resampling": "none", **used},
-                    started_at=started, importances=feature_importance(model, features))
+                    started_at=started, importances=feature_importance(model, features),
+                    confusion=confusion)
     if tracker is not None:
         tracker.log_run(run, run_name or MODEL_TYPES[kind])
     return run

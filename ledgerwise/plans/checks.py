@@ -249,6 +249,12 @@ def q_report_aggregate(spark, sf):
     return RP.report_aggregate(v)
 
 
+def q_cast_rejects(spark, sf):
+    """Values of the bronze columns that do not convert to the silver types."""
+    from ..sources.files import cast_rejects
+    return cast_rejects(MD.add_provenance(FX.txn(spark, sf)), S.SILVER_TYPES)
+
+
 def q_file_inventory(spark, sf):
     return file_inventory(spark, sf, "*.parquet")
 
@@ -301,12 +307,25 @@ def q_best_run(spark, sf):
                     F.col("metrics")["auc_roc"].alias("auc_roc"))
 
 
+def _performance(spark, sf) -> DataFrame:
+    """Register the best run once, score every ML row with it, and keep the
+    performance row (written under the checkpoint folder)."""
+    e = _experiment(spark, sf)
+    if "perf" not in e:
+        tracker = e["tracker"]
+        reg = tracker.register_best()
+        model, _ = tracker.load(reg["name"], reg["version"])
+        scores = score_rows(model, _silver_ml(spark, sf), reg["name"], str(reg["version"]), stamp=False)
+        e["perf"] = materialize(model_performance(scores, reg["name"], reg["version"], stamp=False), "perf")
+    return e["perf"]
+
+
 def q_model_performance(spark, sf):
-    tracker = _experiment(spark, sf)["tracker"]
-    reg = tracker.register_best()
-    model, _ = tracker.load(reg["name"], reg["version"])
-    scores = score_rows(model, _silver_ml(spark, sf), reg["name"], str(reg["version"]), stamp=False)
-    return model_performance(scores, reg["name"], reg["version"], stamp=False)
+    return _performance(spark, sf)
+
+
+def q_performance_page(spark, sf):
+    return RP.performance_page(RP.typed_view(_performance(spark, sf), S.GOLD_PERFORMANCE))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -347,6 +366,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fraud_analysis": q_fraud_analysis,
     "report_aggregate": q_report_aggregate,
     "file_inventory": q_file_inventory,
+    "cast_rejects": q_cast_rejects,
     "lr_scores": _fit_scores("lr"),
     "rf_scores": _fit_scores("rf"),
     "gbt_scores": _fit_scores("gbt"),
@@ -354,6 +374,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compare_models": q_compare_models,
     "best_run": q_best_run,
     "model_performance": q_model_performance,
+    "performance_page": q_performance_page,
 }
 
 
@@ -589,6 +610,10 @@ ORACLE: dict[str, str] = {
     + ") SELECT 'amount_category' AS dimension, Amount_category AS bucket, total_transactions, fraud_count, "
     "fraud_rate_pct FROM a UNION ALL SELECT 'amount_quartile', CAST(Amount_quartile AS VARCHAR), "
     "total_transactions, fraud_count, fraud_rate_pct FROM q",
+    "cast_rejects": WITH_TXN + "SELECT " + ", ".join(
+        f"CAST(sum(CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS "
+        + ("INTEGER" if c in ("id", "Class") else "DOUBLE") + f") IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {c}"
+        for c in _ALL_TXN) + " FROM txn",
     "report_aggregate": WITH_SILVER + ", a AS (" + _gold_by_amount_sql() + ") SELECT "
     "CAST(sum(total_transactions) AS BIGINT) AS sum_total_transactions, CAST(sum(fraud_count) AS BIGINT) "
     "AS sum_fraud_count, CAST(sum(legit_count) AS BIGINT) AS sum_legit_count FROM a",

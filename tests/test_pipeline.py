@@ -38,6 +38,11 @@ def test_medallion_end_to_end(spark):
     assert perf.total_scored == 500 and perf.model_version == 1
     used = sc.select("model_name", "model_version").distinct().collect()
     assert [(r.model_name, r.model_version) for r in used] == [(S.MODEL_NAME, "1")]
+    run_id = res.runs[1].run_id
+    from ledgerwise.ml.registry import Tracker
+    cm = Tracker(lake).artifact(run_id, "confusion_matrix").collect()
+    assert len(cm) == 4
+    assert Tracker(lake).artifact(run_id, "feature_importance").count() == len(S.MODEL_FEATURES)
     views = RP.publish_views({S.GOLD_SCORES: sc, S.GOLD_KPIS: res.gold[S.GOLD_KPIS]})
     assert dict(views[S.GOLD_SCORES].dtypes)["id"] == "bigint"
     assert spark.sql(f"select count(*) from {S.GOLD_SCORES}").first()[0] == 500
