@@ -87,3 +87,17 @@ def test_stratified_split_exact_sizes(spark):
     a = {r.id for r in s.filter("split = 'test'").select("id").collect()}
     b = {r.id for r in s2.filter("split = 'test'").select("id").collect()}
     assert a == b
+
+
+def test_auc_monotone_invariance_and_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    rng = np.random.default_rng(11)
+    ys = rng.integers(0, 2, 500).tolist()
+    ss = np.round(rng.random(500), 3).tolist()
+    df = _df(spark, ys, ss)
+    a = M.auc_roc(df).first().auc_roc
+    b = M.auc_roc(df.withColumn("score", F.exp(F.col("score") * 3) - 7)).first().auc_roc
+    assert math.isclose(a, b, rel_tol=1e-12)
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    ref = ev.evaluate(df.withColumn("label", F.col("Class").cast("double")))
+    assert math.isclose(a, ref, rel_tol=1e-9)

@@ -68,3 +68,32 @@ def test_prefix_sums_slots(spark):
         assert r["_before_c"] == int(r.k)
         assert r["_total_c"] == 100
         assert r["_prev_c"] == (None if r.k == 0 else 1)
+
+
+def test_box_stats_refinement_matches_numpy(spark, monkeypatch):
+    import numpy as np
+    from ledgerwise.operators import profile as P
+    monkeypatch.setattr(R, "FINAL_MAX_ROWS", 50)
+    monkeypatch.setattr(R, "GRID", 8)
+    monkeypatch.setattr(R, "ACCURACY", 64)
+    rng = np.random.default_rng(3)
+    rows = [(int(c), float(v)) for c, v in zip(rng.integers(0, 2, 2000), np.round(rng.normal(0, 1, 2000), 2))]
+    df = spark.createDataFrame(rows, "Class int, x double")
+    got = {r.Class: r for r in P.box_stats(df, ["x"], "Class").collect()}
+    for c in (0, 1):
+        vals = np.array([v for k, v in rows if k == c])
+        q1, med, q3 = np.percentile(vals, [25, 50, 75])
+        assert (got[c].q1, got[c].median, got[c].q3) == (q1, med, q3)
+
+
+def test_split_refinement_exact_sizes(spark, monkeypatch):
+    from ledgerwise.ml import split
+    monkeypatch.setattr(R, "FINAL_MAX_ROWS", 100)
+    monkeypatch.setattr(R, "GRID", 8)
+    monkeypatch.setattr(R, "ACCURACY", 64)
+    df = spark.range(3000).select(F.col("id").cast("int").alias("id"),
+                                  (F.col("id") % 3 == 0).cast("int").alias("Class"))
+    s = split.stratified_split(df, 0.2, 7)
+    got = {(r.split, r.Class): r["count"] for r in s.groupBy("split", "Class").count().collect()}
+    assert got[("test", 1)] == 200 and got[("test", 0)] == 400
+    assert got[("train", 1)] == 800 and got[("train", 0)] == 1600
