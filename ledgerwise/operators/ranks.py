@@ -328,7 +328,7 @@ def percent_rank_window(df: DataFrame, value: str, out: str, digits: int | None
 
 
 def prefix_sums(table: DataFrame, key: str, cols: Sequence[str], n: int | None = None,
-                rows_per_slot: int = 2_000_000, max_slots: int = 10_000,
+                rows_per_slot: int = 2_000_000, max_slots: int = 100_000,
                 with_prev: bool = False, with_totals: bool = False) -> DataFrame:
     """Running sums over a table with one row per ``key``, in key order
     (null first, NaN last): adds ``_before_<c>`` (sum of ``c`` over smaller
@@ -379,21 +379,24 @@ def prefix_sums(table: DataFrame, key: str, cols: Sequence[str], n: int | None =
     return t.join(F.broadcast(offs), "_slot").select(*out)
 
 
-def ranked_values(df: DataFrame, value: str, n: int | None = None) -> DataFrame:
+def ranked_values(df: DataFrame, value: str, n: int | None = None,
+                  rows_per_slot: int = 2_000_000) -> DataFrame:
     """One row per distinct value (null and NaN included): ``value, _cnt,
     _before`` where ``_before`` counts rows ordered before the value."""
     vt = df.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
-    return prefix_sums(vt, value, ["_cnt"], n=n).withColumnRenamed("_before__cnt", "_before")
+    return prefix_sums(vt, value, ["_cnt"], n=n, rows_per_slot=rows_per_slot) \
+        .withColumnRenamed("_before__cnt", "_before")
 
 
 def percent_rank_distributed(df: DataFrame, value: str, out: str, digits: int | None = 4,
                              n: int | None = None, max_hot: int = 100_000,
-                             hot_floor: int = 100_000, salt: int | None = None) -> DataFrame:
+                             hot_floor: int = 100_000, salt: int | None = None,
+                             rows_per_slot: int = 2_000_000) -> DataFrame:
     """``percent_rank() over (order by value)`` = rows before / (n - 1)."""
     spark = df.sparkSession
     if n is None:
         n = df.count()
-    ranked = ranked_values(df, value, n)
+    ranked = ranked_values(df, value, n, rows_per_slot)
     hot_min = max(hot_floor, math.ceil(n / max_hot))
     salt = salt or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # a value with >= hot_min rows: at most n / hot_min <= max_hot of them

@@ -97,3 +97,17 @@ def test_split_refinement_exact_sizes(spark, monkeypatch):
     got = {(r.split, r.Class): r["count"] for r in s.groupBy("split", "Class").count().collect()}
     assert got[("test", 1)] == 200 and got[("test", 0)] == 400
     assert got[("train", 1)] == 800 and got[("train", 0)] == 1600
+
+
+def test_percent_rank_many_slots_and_hot_values(spark):
+    # 40 slots over 15k rows; one value on a third of the rows is hot
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(7.0))
+        .when(F.col("o_orderkey") % 17 == 0, F.lit(None))
+        .when(F.col("o_orderkey") % 19 == 0, F.lit(float("nan")))
+        .otherwise(F.col("o_totalprice")).alias("v")).cache()
+    a = R.percent_rank_window(o, "v", "pw")
+    b = R.percent_rank_distributed(o, "v", "pd", rows_per_slot=400, hot_floor=100, max_hot=50)
+    bad = a.join(b.select("id", "pd"), "id").filter(~F.col("pw").eqNullSafe(F.col("pd"))).count()
+    assert bad == 0 and b.count() == o.count()
