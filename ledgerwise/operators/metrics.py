@@ -56,10 +56,13 @@ def score_table(df: DataFrame, label: str = "Class", score: str = "score", with_
     """Per distinct score: positives, negatives, and how many of each have a
     smaller score (``_before_pos``, ``_before_neg``)."""
     y = F.col(label)
-    g = (df.filter(y.isNotNull() & F.col(score).isNotNull())
-         .groupBy(score).agg(F.sum(flag(y == 1)).cast("long").alias("pos"),
+    rows = df.filter(y.isNotNull() & F.col(score).isNotNull())
+    g = (rows.groupBy(score).agg(F.sum(flag(y == 1)).cast("long").alias("pos"),
                              F.sum(flag(y != 1)).cast("long").alias("neg")))
-    return (ranks.prefix_sums(g, score, ["pos", "neg"], with_prev=with_prev, with_totals=True)
+    # slots sized by the row count (an upper bound on distinct scores): a
+    # scan, where counting the grouped table would be a shuffle
+    return (ranks.prefix_sums(g, score, ["pos", "neg"], n=rows.count(), with_prev=with_prev,
+                              with_totals=True, cut_source=rows.select(score))
             .withColumnRenamed("_total_pos", "P").withColumnRenamed("_total_neg", "N"))
 
 

@@ -329,7 +329,8 @@ def percent_rank_window(df: DataFrame, value: str, out: str, digits: int | None
 
 def prefix_sums(table: DataFrame, key: str, cols: Sequence[str], n: int | None = None,
                 rows_per_slot: int = 2_000_000, max_slots: int = 100_000,
-                with_prev: bool = False, with_totals: bool = False) -> DataFrame:
+                with_prev: bool = False, with_totals: bool = False,
+                cut_source: DataFrame | None = None) -> DataFrame:
     """Running sums over a table with one row per ``key``, in key order
     (null first, NaN last): adds ``_before_<c>`` (sum of ``c`` over smaller
     keys) and, with ``with_prev``, ``_prev_<c>`` (``c`` of the next smaller key).
@@ -343,8 +344,11 @@ def prefix_sums(table: DataFrame, key: str, cols: Sequence[str], n: int | None =
     slots = int(max(1, min(max_slots, math.ceil(n / rows_per_slot))))
     cuts = []
     if slots > 1:
-        cuts = sorted(set(table.approxQuantile(key, [i / slots for i in range(1, slots)],
-                                               1.0 / (4 * slots))))
+        # cut points from the rows the table was grouped from when given: one
+        # scan, no shuffle; a slot then holds at most as many keys as rows
+        src = table if cut_source is None else cut_source
+        cuts = sorted(set(src.approxQuantile(key, [i / slots for i in range(1, slots)],
+                                             1.0 / (4 * slots))))
     if cuts:
         b = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol="_kd", outputCol="_sd",
                        handleInvalid="keep")
@@ -384,7 +388,7 @@ def ranked_values(df: DataFrame, value: str, n: int | None = None,
     """One row per distinct value (null and NaN included): ``value, _cnt,
     _before`` where ``_before`` counts rows ordered before the value."""
     vt = df.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
-    return prefix_sums(vt, value, ["_cnt"], n=n, rows_per_slot=rows_per_slot) \
+    return prefix_sums(vt, value, ["_cnt"], n=n, rows_per_slot=rows_per_slot, cut_source=df) \
         .withColumnRenamed("_before__cnt", "_before")
 
 
