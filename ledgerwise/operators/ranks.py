@@ -28,8 +28,6 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +35,7 @@ from pyspark.sql import types as T
 
 WINDOW_MAX_ROWS = 1_000_000   # auto: plain window up to this many rows
 FINAL_MAX_ROWS = 200_000      # exact final ranking of one slice, in one task
-GRID = 512                    # candidates per refinement pass
+GRID = 128                    # candidates per refinement pass
 ACCURACY = 100 * GRID         # percentile_approx accuracy (1/relative error)
 
 
@@ -91,26 +89,27 @@ def _window_id(windows: list[tuple], group_cols, value) -> Column:
     return expr
 
 
-def _slot_udf(cands: dict[int, np.ndarray]):
-    """Arrow-batched slot code: ``2 * (#candidates < v) + (v == next candidate)``."""
+def _count_below(x: Column, cands: list, lo: int, hi: int) -> Column:
+    """Number of ``cands[lo:hi]`` strictly below ``x``, plus ``lo``: a binary
+    search written as nested CASE (depth log2 of the candidate count), all
+    JVM-side and exact for 64-bit integers."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(x > F.lit(cands[mid]), _count_below(x, cands, mid + 1, hi)) \
+        .otherwise(_count_below(x, cands, lo, mid))
 
-    @F.pandas_udf(T.LongType())
-    def slot(w: pd.Series, v: pd.Series) -> pd.Series:
-        wv = w.to_numpy()
-        vv = v.to_numpy()
-        out = np.zeros(len(vv), dtype=np.int64)
-        for wid in np.unique(wv):
-            m = wv == wid
-            c = cands[int(wid)]
-            x = vv[m]
-            s = np.searchsorted(c, x, side="left")
-            top = np.zeros(len(x), dtype=np.int64)
-            inside = s < len(c)
-            top[inside] = (c[s[inside]] == x[inside]).astype(np.int64)
-            out[m] = 2 * s + top
-        return pd.Series(out)
 
-    return slot
+def _slot_code(w: Column, x: Column, cands: dict[int, list]) -> Column:
+    """``2 * (#candidates < x) + (x == next candidate)`` for the row's window."""
+    expr = None
+    for wid, c in cands.items():
+        s = _count_below(x, c, 0, len(c))
+        top = F.when(F.try_element_at(F.array(*[F.lit(v) for v in c]), s + 1) == x, F.lit(1)).otherwise(F.lit(0)) \
+            if c else F.lit(0)
+        code = s * 2 + top
+        expr = F.when(w == F.lit(wid), code) if expr is None else expr.when(w == F.lit(wid), code)
+    return expr
 
 
 def order_statistics(df: DataFrame, value: str, positions: dict[tuple, Sequence[int]],
@@ -199,10 +198,9 @@ def _refine(base: DataFrame, value: str, group_cols, ts: list[_Target], grid: in
     probs = [i / grid for i in range(1, grid)]
     cand_rows = rows.groupBy("_w").agg(
         F.percentile_approx(value, probs, accuracy).alias("_c")).collect()
-    cands = {r["_w"]: np.unique(np.asarray(r["_c"])) for r in cand_rows}
-    slot = _slot_udf(cands)
-    counts = (rows.select("_w", slot(F.col("_w"), F.col(value)).alias("_code"))
-              .groupBy("_w", "_code").count().collect())
+    cands = {r["_w"]: sorted(set(r["_c"])) for r in cand_rows}
+    code = _slot_code(F.col("_w"), F.col(value), cands)
+    counts = rows.groupBy("_w", code.alias("_code")).count().collect()
     # per window: slot -> (rows in slot, rows equal to the slot's top candidate)
     per_w: dict[int, dict[int, list[int]]] = {}
     for r in counts:
@@ -221,12 +219,12 @@ def _refine(base: DataFrame, value: str, group_cols, ts: list[_Target], grid: in
             cnt, eq = slots.get(s, (0, 0))
             if t.rel <= cum + cnt:
                 if t.rel > cum + cnt - eq:   # lands on the slot's top value
-                    t.value = c[s].item()
+                    t.value = c[s]
                     t.before = t.base + cum + cnt - eq
                     t.done = True
                 else:                        # strictly between two candidates
-                    new_lo = c[s - 1].item() if s > 0 else t.lo
-                    new_hi = c[s].item() if s < len(c) else t.hi
+                    new_lo = c[s - 1] if s > 0 else t.lo
+                    new_hi = c[s] if s < len(c) else t.hi
                     t.base += cum
                     t.rel -= cum
                     t.lo, t.hi, t.size = new_lo, new_hi, cnt - eq
