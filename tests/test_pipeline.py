@@ -43,6 +43,13 @@ def test_medallion_end_to_end(spark):
     cm = Tracker(lake).artifact(run_id, "confusion_matrix").collect()
     assert len(cm) == 4
     assert Tracker(lake).artifact(run_id, "feature_importance").count() == len(S.MODEL_FEATURES)
+    # scoring with the scaler refitted on the scored rows (the reference's mode)
+    from ledgerwise.ml.score import score_rows
+    model, _ = Tracker(lake).load(S.MODEL_NAME, 1)
+    refit = score_rows(model, res.silver, S.MODEL_NAME, "1", scaler="refit")
+    p = refit.agg(F.count("*").alias("n"), F.min("fraud_probability").alias("lo"),
+                  F.max("fraud_probability").alias("hi")).first()
+    assert p.n == 500 and 0.0 <= p.lo <= p.hi <= 1.0
     views = RP.publish_views({S.GOLD_SCORES: sc, S.GOLD_KPIS: res.gold[S.GOLD_KPIS]})
     assert dict(views[S.GOLD_SCORES].dtypes)["id"] == "bigint"
     assert spark.sql(f"select count(*) from {S.GOLD_SCORES}").first()[0] == 500
