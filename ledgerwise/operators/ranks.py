@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 WINDOW_MAX_ROWS = 1_000_000   # auto: plain window up to this many rows
 FINAL_MAX_ROWS = 200_000      # exact final ranking of one slice, in one task
 GRID = 128                    # candidates per refinement pass
@@ -398,7 +400,9 @@ def percent_rank_distributed(df: DataFrame, value: str, out: str, digits: int |
     spark = df.sparkSession
     if n is None:
         n = df.count()
-    ranked = ranked_values(df, value, n, rows_per_slot)
+    # written once: both the hot and the cold branch read it, and at scale
+    # recomputing it means another scan, shuffle and window over the input
+    ranked = materialize(ranked_values(df, value, n, rows_per_slot), "ranked-values")
     hot_min = max(hot_floor, math.ceil(n / max_hot))
     salt = salt or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # a value with >= hot_min rows: at most n / hot_min <= max_hot of them
