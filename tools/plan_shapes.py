@@ -7,8 +7,6 @@ import re
 import sys
 
 sys.path.insert(0, ".")
-from pyspark.sql import functions as F  # noqa: E402
-
 from ledgerwise.operators import metrics as M  # noqa: E402
 from ledgerwise.operators import quality as Q  # noqa: E402
 from ledgerwise.operators import ranks as R  # noqa: E402
