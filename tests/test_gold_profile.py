@@ -63,3 +63,16 @@ def test_best_row_ties(spark):
     assert A.best_row(df, "auc").first().run_id == "b"
     df2 = spark.createDataFrame([("c", None, t0), ("d", 0.1, t0)], "run_id string, auc double, started_at timestamp")
     assert A.best_row(df2, "auc").first().run_id == "d"
+
+
+def test_histogram_matches_numpy_on_edges(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([rng.normal(3.0, 2.0, 3000), rng.exponential(40.0, 2000)])
+    lo, hi = vals.min(), vals.max()
+    edges = np.linspace(lo, hi, 51)
+    vals = np.concatenate([vals, edges[1:-1], np.nextafter(edges[1:-1], -np.inf)])
+    df = spark.createDataFrame([(0, float(v)) for v in vals], "Class int, x double")
+    got = {r.bin: r["count"] for r in P.histogram(df, ["x"], 50, "Class").collect()}
+    expect = np.histogram(vals, 50)[0]
+    assert [got[b] for b in range(1, 51)] == expect.tolist()
