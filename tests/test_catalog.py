@@ -2,7 +2,7 @@ from ledgerwise.sources import catalog as C
 
 
 def test_shape_preview_sql_and_columns(spark):
-    df = spark.range(50).selectExpr("cast(id as int) as id", "id * 2.0 as Amount")
+    df = spark.range(50).selectExpr("cast(id as int) as id", "cast(id * 2 as double) as Amount")
     df.createOrReplaceTempView("t_shape")
     r = C.describe_shape(df).first()
     assert (r.row_count, r.column_count, list(r.columns)) == (50, 2, ["id", "Amount"])
