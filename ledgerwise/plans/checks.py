@@ -225,7 +225,7 @@ def q_risk_bands(spark, sf):
 
 
 def q_scores_page(spark, sf):
-    return RP.scores_page(RP.typed_view(_formula_scores(spark, sf), S.GOLD_SCORES), "High")
+    return RP.scores_page(RP.typed_view(_formula_scores(spark, sf), S.GOLD_SCORES), "Medium")
 
 
 def _gold(spark, sf) -> dict[str, DataFrame]:
@@ -604,7 +604,7 @@ ORACLE: dict[str, str] = {
     "roc_points": _roc_sql(),
     "risk_bands": WITH_FSCORES + "SELECT risk_category, count(*) AS count FROM fs GROUP BY risk_category",
     "scores_page": WITH_FSCORES + "SELECT CAST(id AS BIGINT) AS id, Amount, CAST(Class AS BIGINT) AS Class, "
-    "fraud_prediction, fraud_probability, risk_category FROM fs WHERE risk_category = 'High'",
+    "fraud_prediction, fraud_probability, risk_category FROM fs WHERE risk_category = 'Medium'",
     "executive_summary": WITH_SILVER + _kpis_sql(),
     "fraud_analysis": WITH_SILVER + ", a AS (" + _gold_by_amount_sql() + "), q AS (" + _gold_by_quartile_sql()
     + ") SELECT 'amount_category' AS dimension, Amount_category AS bucket, total_transactions, fraud_count, "
