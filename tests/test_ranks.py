@@ -111,3 +111,24 @@ def test_percent_rank_many_slots_and_hot_values(spark):
     b = R.percent_rank_distributed(o, "v", "pd", rows_per_slot=400, hot_floor=100, max_hot=50)
     bad = a.join(b.select("id", "pd"), "id").filter(~F.col("pw").eqNullSafe(F.col("pd"))).count()
     assert bad == 0 and b.count() == o.count()
+
+
+def test_skewed_600k_rows_equal_windows(spark):
+    # a third of the rows on one value, plus nulls; defaults for the order
+    # statistics (600k rows > one final slice, so refinement passes run)
+    li = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"), "l_extendedprice", "l_orderkey")
+    li = li.dropDuplicates(["k"]).select(
+        "k", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1000.0))
+        .when(F.col("l_orderkey") % 101 == 0, F.lit(None))
+        .otherwise(F.col("l_extendedprice")).alias("v"))
+    from ledgerwise.session import materialize
+    li = materialize(li, "skew-test")
+    n = li.count()
+    a = R.ntile_window(li, "v", 4, "k", "w")
+    b = R.ntile_distributed(li, "v", 4, "k", "d")
+    pa = R.percent_rank_window(li, "v", "pw")
+    pb = R.percent_rank_distributed(li, "v", "pd", n=n, rows_per_slot=20_000, hot_floor=1000, max_hot=100)
+    j = a.join(b.select("k", "d"), "k").join(pa.select("k", "pw"), "k").join(pb.select("k", "pd"), "k")
+    bad = j.filter((F.col("w") != F.col("d")) | ~F.col("pw").eqNullSafe(F.col("pd"))).count()
+    assert j.count() == n and bad == 0
