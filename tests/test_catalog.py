@@ -13,3 +13,15 @@ def test_shape_preview_sql_and_columns(spark):
     after = df.withColumn("x", df.id + 1)
     assert C.new_columns(df, after) == ["x"]
     assert C.drop_columns(after, ["x", "source_file"]).columns == ["id", "Amount"]
+
+
+def test_read_path_and_inferred_csv(spark):
+    from ledgerwise.sources.files import read_path, read_raw
+    from ledgerwise.sources.lakehouse import Lakehouse
+    lake = Lakehouse.scratch(spark, "test-io")
+    df = spark.range(10).selectExpr("cast(id as int) as id", "cast(id as double) / 4 as Amount")
+    lake.write(df, "t")
+    assert read_path(spark, lake.path("t")).count() == 10
+    df.coalesce(1).write.option("header", "true").csv(lake.path("csv"))
+    inferred = read_raw(spark, lake.path("csv"), infer=True)
+    assert dict(inferred.dtypes) == {"id": "int", "Amount": "double"}

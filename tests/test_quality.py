@@ -54,3 +54,13 @@ def test_cast_rejects_and_strict(spark):
     assert out[0].V1 is None and out[1].id is None
     with pytest.raises(Exception):
         cast_schema(df, types, strict=True).collect()
+
+
+def test_null_ids_collapse_then_gate_fires(spark):
+    df = spark.createDataFrame([(None, 1.0, 0), (None, 2.0, 1), (1, 3.0, 0)], "id int, Amount double, Class int")
+    d = Q.dedupe(df, ["id"])
+    assert d.count() == 2
+    s = Q.quality_summary(d).first()
+    assert (s.total_records, s.unique_ids) == (2, 1)
+    with pytest.raises(Q.QualityGateError):
+        Q.assert_quality(s.asDict())
