@@ -28,8 +28,9 @@ def class_distribution(df: DataFrame, label: str = S.LABEL_COL) -> DataFrame:
 def long_form(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """``(keep..., feature, value)`` with one row per input row and column
     (a linear expansion, never pairs)."""
-    typed = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cols])
-    return typed.unpivot(list(keep), list(cols), "feature", "value")
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
+                      for c in cols])
+    return df.select(*keep, F.inline(pairs))
 
 
 # --- histogram ------------------------------------------------------------------
