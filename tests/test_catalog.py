@@ -25,3 +25,19 @@ def test_read_path_and_inferred_csv(spark):
     df.coalesce(1).write.option("header", "true").csv(lake.path("csv"))
     inferred = read_raw(spark, lake.path("csv"), infer=True)
     assert dict(inferred.dtypes) == {"id": "int", "Amount": "double"}
+
+
+def test_catalog_tables_round_trip(spark):
+    import uuid
+    from ledgerwise.sources.lakehouse import Lakehouse
+    name = f"lw_test_{uuid.uuid4().hex[:8]}"
+    lake = Lakehouse(spark, root="", catalog=True)
+    df = spark.range(7).selectExpr("cast(id as int) as id")
+    try:
+        got = lake.write(df, name)
+        assert got.count() == 7 and lake.exists(name)
+        assert C.write_table(df, name, mode="append").count() == 14
+        assert C.read_table(spark, name).count() == 14
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    assert not lake.exists(name)
