@@ -31,6 +31,13 @@ def add_rank_features(df: DataFrame, amount: str = S.AMOUNT_COL, tiebreak: str =
     if method == "auto":
         n = df.count() if n is None else n
         method = "window" if n <= ranks.WINDOW_MAX_ROWS else "distributed"
+    if method == "distributed":
+        # tile borders are found on the input, then the tile is a projection
+        # on the ranked frame: the percent-rank join is not recomputed by the
+        # border-finding jobs
+        tile = ranks.ntile_column(df, amount, 4, tiebreak)
+        out = ranks.with_percent_rank(df, amount, "Amount_percentile", 4, method=method, n=n)
+        return out.withColumn("Amount_quartile", tile)
     out = ranks.with_percent_rank(df, amount, "Amount_percentile", 4, method=method, n=n)
     return ranks.with_ntile(out, amount, 4, tiebreak, "Amount_quartile", method=method, n=n)
 

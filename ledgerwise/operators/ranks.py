@@ -287,13 +287,13 @@ def _border_keys(df: DataFrame, value: str, tiebreak: str, borders: list[int], n
     return out
 
 
-def ntile_distributed(df: DataFrame, value: str, k: int, tiebreak: str, out: str) -> DataFrame:
-    """``ntile(k) over (order by value, tiebreak)`` as a projection.
-
-    Finds the row at each of the ``k - 1`` tile borders exactly, then a row's
-    tile is one plus the number of borders whose (value, tiebreak) key is
-    smaller than its own. Struct comparison orders null first and NaN last,
-    as the window does.
+def ntile_column(df: DataFrame, value: str, k: int, tiebreak: str) -> Column:
+    """The tile of ``ntile(k) over (order by value, tiebreak)`` as a column
+    expression: the ``k - 1`` border keys are found on ``df`` now (a few
+    small jobs), and the returned expression compares a row's (value,
+    tiebreak) key with them, so it can be applied to ``df`` or to any frame
+    derived from it that keeps both columns, without recomputing that frame.
+    Struct comparison orders null first and NaN last, as the window does.
     """
     agg = df.agg(F.count(F.lit(1)).alias("n"),
                  F.count_if(F.col(value).isNull()).alias("nulls"),
@@ -310,7 +310,13 @@ def ntile_distributed(df: DataFrame, value: str, k: int, tiebreak: str, out: str
     for v, t in keys:
         border = F.struct(F.lit(v).cast(vt).alias("v"), F.lit(t).cast(tt).alias("t"))
         tile = tile + F.when(row_key > border, F.lit(1)).otherwise(F.lit(0))
-    return df.withColumn(out, tile.cast("int"))
+    return tile.cast("int")
+
+
+def ntile_distributed(df: DataFrame, value: str, k: int, tiebreak: str, out: str) -> DataFrame:
+    """``ntile(k) over (order by value, tiebreak)`` as a projection (see
+    ``ntile_column``): no shuffle once the borders are known."""
+    return df.withColumn(out, ntile_column(df, value, k, tiebreak))
 
 
 def ntile_window(df: DataFrame, value: str, k: int, tiebreak: str | None, out: str) -> DataFrame:
