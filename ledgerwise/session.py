@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -43,8 +43,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set, as in local tests, a fresh
-    local folder is created and registered.
+    checkpoint dir). Only when neither is set and the master is local, as in
+    tests, a fresh local folder is created and registered; on a cluster a
+    machine-local folder would lose rows, so that case raises.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -52,15 +53,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="ledgerwise-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
 def _join(base: str, name: str) -> str:
-    if "://" in base:
-        return base.rstrip("/") + "/" + name
-    return os.path.join(base.replace("file:", "", 1) if base.startswith("file:") else base, name)
+    """A child path; a scheme on ``base`` (``file:/...``, ``s3a://...``) is kept."""
+    return base.rstrip("/") + "/" + name
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
@@ -78,7 +80,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, rows: int | None = None, rows_per_partition: int = 100_000) -> DataFrame:
