@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerwise.llm import decontaminate as DC
 from ledgerwise.llm import line_dedup as LD
 from ledgerwise.llm import mixing as MX
+from ledgerwise.llm import quality_lines as QL
 from ledgerwise.llm import simhash_neardup as SH
+from ledgerwise.llm import substring_dedup as SD
 from ledgerwise.llm import token_counts as TC
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +25,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = SD.substring_dedup(_table(spark, sf_dir, "documents"), window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return QL.quality_rules(docs, QL.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = SH.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", SH.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -37,6 +50,10 @@ def op8_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MX.poisson_mix(docs, MX.square_root_weights(docs.select("source")), seed=11)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DC.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), min_similarity=0.8)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = LD.drop_repeated_lines(docs, min_chars=40, min_docs=5)
@@ -45,13 +62,61 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op3_quality_lines": op3_quality_lines,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op7_token_counts": op7_token_counts,
     "op8_poisson_mix": op8_poisson_mix,
+    "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
 }
 
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+_LOWER_WORDS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+                r"'[^\x20\x09-\x0D]+')")
+
 ORACLE = {
+    "op1_substring_dedup": f"""
+WITH words AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+spots AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 48, 1))) AS i FROM words),
+windows AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS h FROM spots),
+firsts AS (SELECT h, min(doc_id) AS first_doc FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM windows JOIN firsts USING (h) WHERE first_doc < doc_id),
+each AS (SELECT doc_id, w[j] AS word, j FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS j FROM words)),
+kept AS (
+  SELECT e.doc_id, count(*) AS n_words, count(g.j) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY e.j) FILTER (g.j IS NULL), '') AS kept
+  FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.j = g.j GROUP BY e.doc_id)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k USING (doc_id)
+""",
+    "op9_decontaminate": f"""
+WITH items AS (SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k FROM (SELECT item_id, {_LOWER_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+item_shingles AS (
+  SELECT item_id, n, k, sh, count(*) AS c
+  FROM (SELECT item_id, n, k, array_to_string(w[i:i + k - 1], ' ') AS sh
+        FROM (SELECT *, unnest(range(1, n - k + 2)) AS i FROM items))
+  GROUP BY ALL),
+docs AS (SELECT doc_id, w, len(w) AS m FROM (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents)),
+doc_shingles AS (
+  SELECT doc_id, m, k, i - 1 AS pos, array_to_string(w[i:i + k - 1], ' ') AS sh
+  FROM (SELECT doc_id, w, m, k, unnest(range(1, m - k + 2)) AS i
+        FROM docs, (SELECT DISTINCT k FROM items) WHERE m >= k)),
+hits AS (SELECT d.doc_id, m, pos, t.* FROM doc_shingles d JOIN item_shingles t ON d.k = t.k AND d.sh = t.sh),
+windows AS (
+  SELECT doc_id, item_id, n, k, least(n, m) AS size, sh, c,
+         unnest(range(greatest(0, pos - (least(n, m) - k)), least(pos, m - least(n, m)) + 1)) AS s
+  FROM hits),
+common AS (
+  SELECT doc_id, item_id, n, k, size, s, sum(least(c, cw)) AS both
+  FROM (SELECT doc_id, item_id, n, k, size, s, sh, c, count(*) AS cw FROM windows GROUP BY ALL) GROUP BY ALL),
+scored AS (
+  SELECT doc_id, item_id, s, both::DOUBLE / ((size - k + 1) + (n - k + 1) - both)::DOUBLE AS similarity FROM common)
+SELECT doc_id, item_id, arg_min(s, (-similarity, s)) AS start_word, count(*) AS n_windows, max(similarity) AS similarity
+FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
+""",
     "op8_poisson_mix": """
 WITH n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 w AS (SELECT source, sqrt(n::DOUBLE) AS weight FROM n),
