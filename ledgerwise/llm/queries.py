@@ -16,6 +16,8 @@ from ledgerwise.llm import quality_lines as QL
 from ledgerwise.llm import simhash_neardup as SH
 from ledgerwise.llm import substring_dedup as SD
 from ledgerwise.llm import token_counts as TC
+from ledgerwise.llm import url_lists as UL
+from ledgerwise.llm import warc as WA
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
@@ -30,6 +32,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return UL.judge(UL.page_captures(pages), UL.host_events(pages))
+
+
 def op3_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return QL.quality_rules(docs, QL.train(docs, _table(spark, sf_dir, "labels")))
@@ -40,6 +47,10 @@ def op4_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", SH.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return WA.derivatives(WA.page_responses(_table(spark, sf_dir, "pages")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = TC.token_counts(_table(spark, sf_dir, "documents"), TOKENIZER)
     return n.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -63,8 +74,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_url_lists": op2_url_lists,
     "op3_quality_lines": op3_quality_lines,
     "op4_simhash_neardup": op4_simhash_neardup,
+    "op5_warc_derivatives": op5_warc_derivatives,
     "op7_token_counts": op7_token_counts,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_decontaminate": op9_decontaminate,
@@ -75,7 +88,94 @@ _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 _LOWER_WORDS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
                 r"'[^\x20\x09-\x0D]+')")
 
+
+
+def _sql_text(html: str) -> str:
+    """``warc.plain_text`` with the same fixed patterns."""
+    def steps(out: str, pairs) -> str:
+        for pattern, to in pairs:
+            out = f"regexp_replace({out}, '{pattern}', {'chr(10)' if to == chr(10) else repr(to)}, 'g')"
+        return out
+
+    out = steps(html, WA.TEXT_STEPS)
+    for entity, char in WA.ENTITIES:
+        out = f"replace({out}, '{entity}', chr({ord(char)}))"
+    return f"trim({steps(out, WA.SPACE_STEPS)}, chr(32) || chr(10))"
+
+
+def _sql_urn(text: str) -> str:
+    cuts = " || '-' || ".join(f"substr(md5({text}), {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"'<urn:uuid:' || {cuts} || '>'"
+
+
+_CRLF = "chr(13) || chr(10)"
+_HOST = ("regexp_replace(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1), "
+         "'\\.$', ''), '^www\\.', '')")
+_PATH = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*([^?#]*)', 1)"
+
+
+def _hex(i: int) -> str:
+    return f"('0x' || substr(md5(pattern), {i}, 2))::INT"
+
+
 ORACLE = {
+    "op2_url_lists": f"""
+WITH p AS (SELECT page_id, url, DATE '2024-01-01' + ((page_id * 37) % 731)::INT AS fetched_on,
+                  {_HOST} AS host, [x FOR x IN string_split({_PATH}, '/') IF x <> ''] AS parts FROM pages),
+hosts AS (SELECT DISTINCT host AS pattern FROM p WHERE host <> '' AND {_hex(1).replace('pattern', 'host')} < 128),
+langs AS (SELECT DISTINCT pattern FROM (
+            SELECT host || '/' || regexp_extract({_PATH}, '^/([a-z]+)', 1) AS pattern FROM p
+            WHERE host <> '' AND regexp_extract({_PATH}, '^/([a-z]+)', 1) <> '') WHERE {_hex(1)} < 32),
+events AS (
+  SELECT 'domain' AS kind, 'block' AS verb, pattern, {_hex(5)} AS day, 'add' AS action FROM hosts
+  UNION ALL SELECT 'domain', 'block', pattern, {_hex(5)} + {_hex(7)}, 'remove' FROM hosts WHERE {_hex(9)} < 192
+  UNION ALL SELECT 'domain', 'block', pattern, {_hex(5)} + {_hex(7)} + 60, 'add' FROM hosts WHERE {_hex(9)} < 96
+  UNION ALL SELECT 'prefix', 'allow', pattern, {_hex(5)}, 'add' FROM langs),
+days AS (SELECT kind, verb, pattern, day, max(action) AS action FROM events GROUP BY ALL),
+spans AS (
+  SELECT a.kind, a.verb, a.pattern, a.day AS valid_from,
+         (SELECT min(r.day) FROM days r WHERE r.kind = a.kind AND r.pattern = a.pattern AND r.action = 'remove' AND r.day > a.day) AS valid_to
+  FROM days a WHERE a.action = 'add' AND NOT EXISTS (
+    SELECT 1 FROM days e WHERE e.kind = a.kind AND e.pattern = a.pattern AND e.action = 'add' AND e.day < a.day
+      AND NOT EXISTS (SELECT 1 FROM days r WHERE r.kind = a.kind AND r.pattern = a.pattern AND r.action = 'remove'
+                      AND r.day > e.day AND r.day < a.day))),
+hits AS (
+  SELECT p.page_id, p.url, s.verb, s.pattern, CASE WHEN {_hex(3)} < 128 THEN 'spam' ELSE 'ads' END AS list
+  FROM p JOIN spans s ON
+    ((s.kind = 'domain' AND (p.host = s.pattern OR ends_with(p.host, '.' || s.pattern)))
+     OR (s.kind = 'prefix' AND starts_with(p.host || '/' || array_to_string(p.parts, '/') || '/', s.pattern || '/')))
+    AND p.fetched_on >= DATE '2024-01-01' + s.valid_from
+    AND (s.valid_to IS NULL OR p.fetched_on < DATE '2024-01-01' + s.valid_to)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY length(pattern) DESC, verb, list, pattern) AS nr,
+         count(*) OVER (PARTITION BY page_id, url) AS n_active FROM hits)
+SELECT p.page_id, p.url, p.fetched_on, coalesce(r.verb = 'block', false) AS blocked, r.list, r.pattern,
+       coalesce(r.n_active, 0) AS n_active
+FROM p LEFT JOIN ranked r ON r.nr = 1 AND p.page_id = r.page_id AND p.url = r.url
+""",
+    "op5_warc_derivatives": f"""
+WITH src AS (
+  SELECT {_sql_urn("concat_ws('|', page_id::VARCHAR, url, 'response')")} AS source_id, url AS target_uri,
+         (DATE '2024-01-01' + ((page_id * 37) % 731)::INT)::VARCHAR || 'T00:00:00Z' AS warc_date, coalesce(html, '') AS html
+  FROM pages),
+read AS (
+  SELECT source_id, target_uri, warc_date, 'sha256:' || sha256(html) AS source_digest,
+         {_sql_urn("source_id || '|conversion'")} AS text_id, {_sql_urn("source_id || '|metadata'")} AS meta_id,
+         {_sql_text("html")} AS text, trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title', 1), chr(32) || chr(10)) AS title,
+         regexp_extract_all(html, '(?i)<a\s[^>]*?href="([^"]*)"', 1) AS links, strlen(html) AS size
+  FROM src),
+filled AS (
+  SELECT *, CASE WHEN title <> '' THEN 'title: ' || title || {_CRLF} ELSE '' END
+            || coalesce(array_to_string(['outlink: ' || x || {_CRLF} FOR x IN links], ''), '')
+            || 'source-header: HTTP/1.1 200 OK' || {_CRLF} || 'source-header: Content-Type: text/html; charset=utf-8' || {_CRLF}
+            || 'source-header: Content-Length: ' || size || {_CRLF} AS fields
+  FROM read),
+both_kinds AS (
+  SELECT 'conversion' AS record_type, text_id AS record_id, NULL AS concurrent_to, 'text/plain' AS content_type, text AS block,
+         source_id AS refers_to, target_uri, warc_date, source_digest FROM filled
+  UNION ALL SELECT 'metadata', meta_id, text_id, 'application/warc-fields', fields, source_id, target_uri, warc_date, source_digest FROM filled)
+SELECT *, strlen(block) AS content_length, 'sha256:' || sha256(block) AS block_digest FROM both_kinds
+""",
     "op1_substring_dedup": f"""
 WITH words AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
 spots AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 48, 1))) AS i FROM words),
@@ -110,10 +210,10 @@ windows AS (
          unnest(range(greatest(0, pos - (least(n, m) - k)), least(pos, m - least(n, m)) + 1)) AS s
   FROM hits),
 common AS (
-  SELECT doc_id, item_id, n, k, size, s, sum(least(c, cw)) AS both
+  SELECT doc_id, item_id, n, k, size, s, sum(least(c, cw)) AS shared
   FROM (SELECT doc_id, item_id, n, k, size, s, sh, c, count(*) AS cw FROM windows GROUP BY ALL) GROUP BY ALL),
 scored AS (
-  SELECT doc_id, item_id, s, both::DOUBLE / ((size - k + 1) + (n - k + 1) - both)::DOUBLE AS similarity FROM common)
+  SELECT doc_id, item_id, s, shared::DOUBLE / ((size - k + 1) + (n - k + 1) - shared)::DOUBLE AS similarity FROM common)
 SELECT doc_id, item_id, arg_min(s, (-similarity, s)) AS start_word, count(*) AS n_windows, max(similarity) AS similarity
 FROM scored WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """,
