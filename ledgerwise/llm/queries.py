@@ -16,6 +16,7 @@ from ledgerwise.llm import quality_lines as QL
 from ledgerwise.llm import simhash_neardup as SH
 from ledgerwise.llm import substring_dedup as SD
 from ledgerwise.llm import token_counts as TC
+from ledgerwise.llm import toxicity as TX
 from ledgerwise.llm import url_lists as UL
 from ledgerwise.llm import warc as WA
 
@@ -51,6 +52,11 @@ def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WA.derivatives(WA.page_responses(_table(spark, sf_dir, "pages")))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return TX.score(docs, TX.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = TC.token_counts(_table(spark, sf_dir, "documents"), TOKENIZER)
     return n.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -78,6 +84,7 @@ QUERIES = {
     "op3_quality_lines": op3_quality_lines,
     "op4_simhash_neardup": op4_simhash_neardup,
     "op5_warc_derivatives": op5_warc_derivatives,
+    "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_poisson_mix": op8_poisson_mix,
     "op9_decontaminate": op9_decontaminate,
