@@ -115,6 +115,7 @@ def test_token_counts_match_the_library(spark, odd_docs, odd_rows, name):
         t = Tokenizer.from_file(path)
         count = lambda s: len(t.encode(s, add_special_tokens=False))
     df = odd_docs.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    assert isinstance(TC.counter(path), TC.WordEndCounter) == (name == "word_bpe_49k.json")
     got = sorted(tuple(r) for r in TC.token_counts(df, name).collect())
     want = sorted((d, len((t or "").encode()), count(t or "")) for d, t in [*odd_rows, *extra])
     assert got == want
@@ -124,9 +125,13 @@ def test_token_groups_cover_the_text(monkeypatch):
     monkeypatch.setattr(TC, "GROUP_BYTES", 10)
     monkeypatch.setattr(TC, "MEMO_PIECES", 3)
     import public_tokenizers
-    c = TC.WordEndCounter(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(TC, "MEMO_PIECE_BYTES", 6)
+    c = TC.WordEndCounter(public_tokenizers.path("word_bpe_49k.json"), lower=True)
     text = "alpha beta gammagammagamma  delta\nepsilon zeta" * 5
-    assert c.count(text.encode()) == len(c.tokenizer.encode(text, add_special_tokens=False))
+    want = len(c.tokenizer.encode(text, add_special_tokens=False))
+    for _ in range(3):
+        assert c.count(text.encode()) == want
+        assert c.count_all([text.encode(), b"", b"alpha  beta ALPHA"]) == [want, 0, 3]
 
 
 def brute_lines(rows, min_chars=40, min_docs=5):
