@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.columns import right_closed_bins
 from ..operators import metrics as M
-from ..session import spread
 from .scale import fit_scaler
 
 
 def score_rows(model: PipelineModel, df: DataFrame, model_name: str, model_version: str,
-               scaler: str = "saved", stamp: bool = True) -> DataFrame:
+               scaler: str = "saved", stamp: bool = True, partitions: int | None = None) -> DataFrame:
     """Scores in the ``gold_fraud_scores`` shape, one plan from scan to rows.
 
     ``scaler="saved"`` uses the scaler fitted on the training side (stage 0
@@ -25,8 +24,8 @@ def score_rows(model: PipelineModel, df: DataFrame, model_name: str, model_versi
         feats = list(stages[1].getInputCols())
         stages[0] = fit_scaler(df, [c[:-2] for c in feats])
     m = PipelineModel(stages)
-    # scoring is CPU-bound per row (hundreds of trees): use every core
-    out = m.transform(spread(df))
+    # CPU-bound per row (hundreds of trees): ``partitions`` spreads a small table
+    out = m.transform(df.repartition(partitions) if partitions else df)
     from pyspark.ml.functions import vector_to_array
     p = F.bround(vector_to_array("probability")[1], 6)
     res = out.select(
@@ -60,5 +59,9 @@ def model_performance(scores: DataFrame, model_name: str, model_version: int,
     return df.withColumn("scored_at", F.current_timestamp()) if stamp else df
 
 
+def prediction_distribution(scores: DataFrame) -> DataFrame:
+    return scores.groupBy("fraud_prediction").agg(F.count(F.lit(1)).alias("count"))
+
+
 def risk_distribution(scores: DataFrame) -> DataFrame:
     return scores.groupBy("risk_category").agg(F.count(F.lit(1)).alias("count"))

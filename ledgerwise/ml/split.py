@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import ranks
 
@@ -22,34 +23,38 @@ def _test_size(n: int, frac: float) -> int:
 
 
 def stratified_split(df: DataFrame, test_frac: float = 0.2, seed: int = 42,
-                     label: str = "Class", id_col: str = "id", out: str = "split") -> DataFrame:
-    """Adds ``out`` = 'test' / 'train'."""
-    h = F.xxhash64(F.col(id_col), F.lit(seed))
+                     label: str = "Class", id_col: str = "id", out: str = "split",
+                     key: Column | None = None) -> DataFrame:
+    """Adds ``out`` = 'test' / 'train'. ``key`` replaces the hash of the id as the
+    order the test side is taken from. A border between rows of one (key, id)
+    raises: such rows can't be told apart."""
+    h = F.xxhash64(F.col(id_col), F.lit(seed)) if key is None else key
     x = df.withColumn("_h", h)
     sizes = {(r[label],): r["n"] for r in x.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    wanted = {k: [_test_size(n, test_frac)] for k, n in sizes.items()}
-    borders = []
+    wanted = {k: [_test_size(n, test_frac)] for k, n in sizes.items() if _test_size(n, test_frac) >= 1}
     stats = ranks.order_statistics(x, "_h", wanted, group_cols=[label], group_sizes=sizes)
-    for k, ps in wanted.items():
-        t = ps[0]
-        if t < 1:
-            continue
-        hv, before = stats[(k, t)]
-        sub = x.filter(F.col(label).eqNullSafe(F.lit(k[0])) & (F.col("_h") == F.lit(hv)))
-        rel = t - before
-        nn = sub.filter(F.col(id_col).isNull()).count()
-        if rel <= nn:
-            idv = None
+    borders = []
+    for k, (t,) in wanted.items():
+        hv, before, ties = stats[(k, t)]
+        left, idv = t - before, None
+        if left < ties:  # ids that share a hash: a handful, whatever the size
+            same = x.filter(F.col(label).eqNullSafe(F.lit(k[0])) & (F.col("_h") == F.lit(hv)))
+            for r in same.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col(id_col).asc_nulls_first()).collect():
+                if left <= 0:
+                    break
+                left, idv = left - r["n"], r[id_col]
+            if left < 0:
+                raise ValueError(f"several rows have {id_col}={idv!r} at the border of the split; ids must be unique")
+            borders.append((k[0], hv, False, idv))
         else:
-            idv = ranks.order_statistics(sub, id_col, {(): [rel - nn]})[((), rel - nn)][0]
-        borders.append((k[0], hv, idv))
-    key = F.struct(F.col("_h").alias("h"), F.col(id_col).alias("i"))
-    id_type = df.schema[id_col].dataType
-    cond = F.lit(False)
-    for lab, hv, idv in borders:
-        border = F.struct(F.lit(hv).cast("long").alias("h"), F.lit(idv).cast(id_type).alias("i"))
-        cond = cond | (F.col(label).eqNullSafe(F.lit(lab)) & (key <= border))
-    return x.withColumn(out, F.when(cond, F.lit("test")).otherwise(F.lit("train"))).drop("_h")
+            borders.append((k[0], hv, True, None))
+    schema = T.StructType([T.StructField("_label", df.schema[label].dataType), T.StructField("_bh", x.schema["_h"].dataType),
+                           T.StructField("_all", T.BooleanType()), T.StructField("_bi", df.schema[id_col].dataType)])
+    # one row per class, all of them known to the driver
+    x = x.join(F.broadcast(df.sparkSession.createDataFrame(borders, schema)), F.col(label).eqNullSafe(F.col("_label")), "left")
+    low_id = F.struct(F.col(id_col).alias("i")) <= F.struct(F.col("_bi").alias("i"))
+    test = (F.col("_h") < F.col("_bh")) | ((F.col("_h") == F.col("_bh")) & (F.col("_all") | low_id))
+    return x.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train"))).select(*df.columns, out)
 
 
 def hash_split(df: DataFrame, test_frac: float = 0.2, seed: int = 42, id_col: str = "id",

@@ -1,8 +1,8 @@
 """Classifier training on Spark ML with the reference's three model families.
 
 Each model is a ``Pipeline``: population z-score (fitted on the train side)
--> ``VectorAssembler`` -> estimator. Training reads the train side once
-from a cached frame; evaluation is the aggregate metrics of
+-> ``VectorAssembler`` -> estimator. Training reads the train side from one
+cached frame; evaluation is the aggregate metrics of
 ``operators.metrics`` on the test side.
 """
 
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..operators import metrics as M
-from ..session import spread
-from .scale import fit_scaler
+from ..session import materialize
+from .scale import fit_scaler_stats, scaler_stage
 
 # Reference hyper-parameters (fixed values)
 LR_PARAMS = {"C": 1.0, "max_iter": 1000, "tol": 1e-4}
@@ -52,7 +52,7 @@ def make_estimator(kind: str, n_train: int, params: dict | None = None, label: s
     if kind == "rf":
         return RandomForestClassifier(numTrees=p.get("n_estimators", RF_PARAMS["n_estimators"]),
                                       maxDepth=p.get("max_depth", RF_PARAMS["max_depth"]),
-                                      seed=p.get("seed", SEED), **common)
+                                      cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512, seed=p.get("seed", SEED), **common)
     if kind == "gbt":
         return GBTClassifier(maxIter=p.get("n_estimators", GBT_PARAMS["n_estimators"]),
                              maxDepth=p.get("max_depth", GBT_PARAMS["max_depth"]),
@@ -64,40 +64,42 @@ def make_estimator(kind: str, n_train: int, params: dict | None = None, label: s
 MODEL_TYPES = {"lr": "LogisticRegression", "rf": "RandomForest", "gbt": "GradientBoostedTrees"}
 
 
-ROWS_PER_PARTITION = 100_000   # training rows per task beyond one task per core
+PARTITION_BYTES = 64 << 20   # of doubles in one training partition
+FOREST_PARTITIONS = 8        # at least, as tree growing is compute-bound per row
 
 
-def training_frame(train: DataFrame, n: int, kind: str = "rf") -> DataFrame:
-    """Partition the training rows for the learner.
+def training_partitions(n: int, features: int, kind: str) -> int:
+    """Partitions by bytes, the same on every cluster (a forest's bagging depends
+    on them)."""
+    by_size = -(-n * features * 8 // PARTITION_BYTES)
+    return max(FOREST_PARTITIONS if kind == "rf" else 1, by_size)
 
-    Forests are compute-bound per tree level (split statistics for every
-    node of every tree), so even a small set is spread over one partition
-    per core (200 trees on 1,600 rows: 31 s on one partition, 18 s on
-    eight). Logistic regression and boosted trees pay a job per iteration
-    or round, so a small set stays in few partitions (one per
-    ``ROWS_PER_PARTITION`` rows). At scale both rules give one task per
-    ``ROWS_PER_PARTITION`` rows.
-    """
-    if kind == "rf":
-        return spread(train, n, ROWS_PER_PARTITION)
-    parts = max(1, -(-n // ROWS_PER_PARTITION))
-    if parts < train.rdd.getNumPartitions():
-        return train.coalesce(parts)
-    return train.repartition(parts)
+
+@dataclass
+class TrainBase:
+    """What all fits on one training side share: row count and scaler statistics,
+    from one aggregate."""
+    n: int
+    stats: dict
+
+    @staticmethod
+    def of(train: DataFrame, features: Sequence[str] = S.MODEL_FEATURES) -> "TrainBase":
+        return TrainBase(train.count(), fit_scaler_stats(train, features))
 
 
 def fit_pipeline(train: DataFrame, kind: str, features: Sequence[str] = S.MODEL_FEATURES,
-                 params: dict | None = None, label: str = S.LABEL_COL) -> PipelineModel:
-    n = train.count()
-    scaler = fit_scaler(train, features)
-    train = training_frame(train.select(*features, label), n, kind).cache()
+                 params: dict | None = None, label: str = S.LABEL_COL, base: TrainBase | None = None) -> PipelineModel:
+    """One cached copy of the training columns, in partitions of a set size.
+    Deep trees keep node ids in it instead of passing them down each level."""
+    base = base or TrainBase.of(train, features)
+    rows = train.select(*features, label).repartition(training_partitions(base.n, len(features), kind)).cache()
     assembler = VectorAssembler(inputCols=_features_z(features), outputCol="features",
                                 handleInvalid="error")
-    est = make_estimator(kind, n, params, label)
+    est = make_estimator(kind, base.n, params, label)
     try:
-        return Pipeline(stages=[scaler, assembler, est]).fit(train)
+        return Pipeline(stages=[scaler_stage(base.stats), assembler, est]).fit(rows)
     finally:
-        train.unpersist()
+        rows.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("id", "Amount", "Class"),
@@ -115,8 +117,8 @@ def evaluate(scored: DataFrame, label: str = S.LABEL_COL) -> dict[str, float]:
     """accuracy, precision, recall, f1, AUC and average precision on the
     unrounded probability; three small aggregate jobs."""
     m = M.classification_metrics(scored, label, "fraud_prediction").first().asDict()
-    auc = M.auc_roc(scored, label, "_p_raw").first()["auc_roc"]
-    ap = M.average_precision(scored, label, "_p_raw").first()["average_precision"]
+    st = M.score_table(scored, label, "_p_raw")
+    auc, ap = (f(st).first()[0] for f in (M.auc_of, M.average_precision_of))
     return {"accuracy": m["accuracy"], "precision": m["precision"], "recall": m["recall"],
             "f1_score": m["f1_score"], "auc_roc": auc, "avg_precision": ap}
 
@@ -141,24 +143,28 @@ class RunResult:
     model_path: str | None = None
     importances: list = field(default_factory=list)
     confusion: DataFrame | None = None
+    roc: DataFrame | None = None      # ROC points on the test side
+    scored: DataFrame | None = None   # the test side with predictions
 
 
 def train_and_log(train: DataFrame, test: DataFrame, kind: str, tracker=None,
                   params: dict | None = None, features: Sequence[str] = S.MODEL_FEATURES,
-                  run_name: str | None = None) -> RunResult:
+                  run_name: str | None = None, base: TrainBase | None = None) -> RunResult:
     """Fit one model, evaluate on ``test``, save it and log one run row."""
     started = time.time()
     defaults = {"lr": LR_PARAMS, "rf": RF_PARAMS, "gbt": GBT_PARAMS}[kind]
     used = {**defaults, **(params or {})}
-    model = fit_pipeline(train, kind, features, used)
-    scored = predict(model, test)
+    model = fit_pipeline(train, kind, features, used, base=base)
+    # written once: six aggregates and the curve read it
+    scored = materialize(predict(model, test), "scored")
     mets = evaluate(scored)
     confusion = M.confusion_matrix(scored, S.LABEL_COL, "fraud_prediction")
+    roc = M.roc_points(scored, S.LABEL_COL, "_p_raw")
     run = RunResult(run_id=uuid.uuid4().hex, kind=kind, model=model, metrics=mets,
                     params={"model_type": MODEL_TYPES[kind], "n_features": len(features),
                             "resampling": "none", **used},
                     started_at=started, importances=feature_importance(model, features),
-                    confusion=confusion)
+                    confusion=confusion, roc=roc, scored=scored)
     if tracker is not None:
         tracker.log_run(run, run_name or MODEL_TYPES[kind])
     return run

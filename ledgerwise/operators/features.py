@@ -24,23 +24,15 @@ def add_scalar_features(df: DataFrame, amount: str = S.AMOUNT_COL) -> DataFrame:
     )
 
 
-def add_rank_features(df: DataFrame, amount: str = S.AMOUNT_COL, tiebreak: str = S.ID_COL,
-                      method: str = "auto", n: int | None = None) -> DataFrame:
+def add_rank_features(df: DataFrame, amount: str = S.AMOUNT_COL, tiebreak: str = S.ID_COL) -> DataFrame:
     """``Amount_percentile`` (percent_rank rounded to 4) and ``Amount_quartile``
-    (ntile 4, ties broken by ``id``) over the whole table."""
-    if method == "auto":
-        n = df.count() if n is None else n
-        method = "window" if n <= ranks.WINDOW_MAX_ROWS else "distributed"
-    if method == "distributed":
-        # tile borders are found on the input, then the tile is a projection
-        # on the ranked frame: the percent-rank join is not recomputed by the
-        # border-finding jobs
-        tile = ranks.ntile_column(df, amount, 4, tiebreak)
-        out = ranks.with_percent_rank(df, amount, "Amount_percentile", 4, method=method, n=n)
-        return out.withColumn("Amount_quartile", tile)
-    out = ranks.with_percent_rank(df, amount, "Amount_percentile", 4, method=method, n=n)
-    return ranks.with_ntile(out, amount, 4, tiebreak, "Amount_quartile", method=method, n=n)
-
-
-def engineer(df: DataFrame, method: str = "auto", n: int | None = None) -> DataFrame:
-    return add_rank_features(add_scalar_features(df), method=method, n=n)
+    (ntile 4, ties broken by ``id``) over the whole table. Both are found on
+    ``df`` first and applied as projections."""
+    tile = ranks.ntile_column(df, amount, 4, tiebreak)
+    steps = ranks.percent_rank_steps(df, amount, 4)
+    return ranks.apply_percent_rank(df, amount, "Amount_percentile", steps).withColumn("Amount_quartile", tile)
+
+
+def engineer(df: DataFrame) -> DataFrame:
+    """All features; the ranks are found on the narrow input columns."""
+    return add_rank_features(add_scalar_features(df))

@@ -2,9 +2,9 @@
 
 Threshold metrics come from one pass of four conditional counts. Ranking
 metrics (AUC, average precision, ROC points) group rows by score (positives
-and negatives per distinct score) and take running sums over that table in
-score slots, so they are exact with ties and never sort all rows in one
-task.
+and negatives per distinct score) and take running sums over that table,
+range-partitioned by score, so they are exact with ties and never sort all
+rows in one task.
 """
 
 from __future__ import annotations
@@ -59,21 +59,17 @@ def score_table(df: DataFrame, label: str = "Class", score: str = "score", with_
     rows = df.filter(y.isNotNull() & F.col(score).isNotNull())
     g = (rows.groupBy(score).agg(F.sum(flag(y == 1)).cast("long").alias("pos"),
                              F.sum(flag(y != 1)).cast("long").alias("neg")))
-    # slots sized by the row count (an upper bound on distinct scores): a
-    # scan, where counting the grouped table would be a shuffle
-    return (ranks.prefix_sums(g, score, ["pos", "neg"], n=rows.count(), with_prev=with_prev,
-                              with_totals=True, cut_source=rows.select(score))
+    return (ranks.prefix_sums(g, score, ["pos", "neg"], with_prev=with_prev, with_totals=True)
             .withColumnRenamed("_total_pos", "P").withColumnRenamed("_total_neg", "N"))
 
 
-def _totals(st: DataFrame) -> DataFrame:
-    return st.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-
-
 def auc_roc(df: DataFrame, label: str = "Class", score: str = "score") -> DataFrame:
     """Exact ROC AUC (Mann-Whitney: a tied positive/negative pair counts 1/2);
     null when only one class is present."""
-    st = score_table(df, label, score)
+    return auc_of(score_table(df, label, score))
+
+
+def auc_of(st: DataFrame) -> DataFrame:
     part = st.agg(F.sum(F.col("pos") * (F.col("_before_neg") + F.col("neg") * 0.5)).alias("_u"),
                   F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return part.select(F.when((F.col("P") > 0) & (F.col("N") > 0),
@@ -82,11 +78,13 @@ def auc_roc(df: DataFrame, label: str = "Class", score: str = "score") -> DataFr
 
 def average_precision(df: DataFrame, label: str = "Class", score: str = "score") -> DataFrame:
     """Sum over thresholds of (recall step) x precision, no interpolation."""
-    st = score_table(df, label, score)
-    x = st
+    return average_precision_of(score_table(df, label, score))
+
+
+def average_precision_of(st: DataFrame) -> DataFrame:
     tp = F.col("P") - F.col("_before_pos")
     fp = F.col("N") - F.col("_before_neg")
-    return x.agg(F.sum(F.when(F.col("pos") > 0, F.col("pos") * tp / (tp + fp))).alias("_s"),
+    return st.agg(F.sum(F.when(F.col("pos") > 0, F.col("pos") * tp / (tp + fp))).alias("_s"),
                  F.first("P").alias("P")) \
         .select(F.when(F.col("P") > 0, F.coalesce(F.col("_s"), F.lit(0.0)) / F.col("P")).alias("average_precision"))
 
@@ -98,7 +96,6 @@ def roc_points(df: DataFrame, label: str = "Class", score: str = "score",
     middle of a straight run (the next lower score adds the same numbers of
     positives and negatives as this one)."""
     st = score_table(df, label, score, with_prev=True)
-    tot = _totals(st)
     x = st
     tp = F.col("P") - F.col("_before_pos")
     fp = F.col("N") - F.col("_before_neg")
@@ -113,5 +110,5 @@ def roc_points(df: DataFrame, label: str = "Class", score: str = "score",
         keep = (F.col("_prev_pos").isNull() | top
                 | (F.col("_prev_pos") != F.col("pos")) | (F.col("_prev_neg") != F.col("neg")))
         pts = pts.filter(keep)
-    start = tot.select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    start = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
     return start.unionByName(pts.select("threshold", "fpr", "tpr"))

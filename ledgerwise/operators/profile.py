@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.columns import no_nan
-from ..session import spread
+from ..session import materialize
 from . import ranks
 from .aggregates import with_share
 
@@ -41,38 +41,61 @@ def _edge(i: Column, lo: Column, hi: Column, bins: int) -> Column:
     return F.when(i >= F.lit(bins), hi).otherwise(i.cast("double") * step + lo)
 
 
+def _bin_of(x: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """0-based bin of ``x``: an estimate, moved by one if it misses the edges."""
+    i0 = F.least(F.greatest(F.floor((x - lo) / (hi - lo) * F.lit(float(bins))), F.lit(0)), F.lit(bins - 1))
+    return (F.when(x < _edge(i0, lo, hi, bins), i0 - 1)
+            .when((x >= _edge(i0 + 1, lo, hi, bins)) & (i0 != F.lit(bins - 1)), i0 + 1)
+            .otherwise(i0))
+
+
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: str | None = S.LABEL_COL) -> DataFrame:
     """Equal-width histogram per column (and per ``by`` group), range taken
     per group as numpy does: ``[min, max]``, or ``min ± 0.5`` when all values
     are equal. A value is in bin ``i`` when ``edge_i <= x < edge_{i+1}``, the
     maximum in the last bin. Null and NaN are skipped. Every bin is returned,
-    empty ones with count 0.
+    empty ones with count 0. The ranges come from one aggregate; each column is
+    then binned by a projection of that column alone, so rows are never expanded.
     """
     keep = [by] if by else []
-    lf = long_form(df, cols, keep).withColumn("value", no_nan("value")).filter(F.col("value").isNotNull())
-    gk = keep + ["feature"]
-    # one row per (group, feature); joined back without a hint: AQE
-    # broadcasts it from its runtime size (tiny for a class label) and falls
-    # back to a shuffle join for a high-cardinality ``by``
-    rng = lf.groupBy(*gk).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"))
-    rng = rng.select(*gk,
-                     F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
-                     F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
-    x, lo, hi = F.col("value"), F.col("_lo"), F.col("_hi")
-    i0 = F.least(F.greatest(F.floor((x - lo) / (hi - lo) * F.lit(float(bins))), F.lit(0)), F.lit(bins - 1))
-    idx = (F.when(x < _edge(i0, lo, hi, bins), i0 - 1)
-           .when((x >= _edge(i0 + 1, lo, hi, bins)) & (i0 != F.lit(bins - 1)), i0 + 1)
-           .otherwise(i0))
-    counts = (lf.join(rng, gk)
-              .groupBy(*gk, (idx + 1).cast("int").alias("bin"))
-              .agg(F.count(F.lit(1)).alias("count")))
-    grid = rng.select(*gk, "_lo", "_hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-    out = grid.join(counts, gk + ["bin"], "left")
-    b = F.col("bin") - 1
-    return out.select(*gk, "bin",
-                      _edge(b, lo, hi, bins).alias("bin_lo"),
-                      _edge(b + 1, lo, hi, bins).alias("bin_hi"),
-                      F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
+    val = {c: no_nan(F.col(c).cast("double")) for c in cols}
+    # ranges of all columns in one aggregate; one row per group
+    ends = df.groupBy(*keep).agg(*[f(val[c]).alias(f"_{n}{i}") for i, c in enumerate(cols) for n, f in (("mn", F.min), ("mx", F.max))])
+    # joined back without a hint: AQE broadcasts it from its runtime size (tiny
+    # for a class label) and falls back to a shuffle join for a large ``by``
+    ends = materialize(ends, "histogram-ranges").withColumnsRenamed({k: f"_{k}" for k in keep})
+    cond = F.lit(True)
+    for k in keep:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    out = None
+    for i, c in enumerate(cols):
+        same = F.col(f"_mn{i}") == F.col(f"_mx{i}")
+        rng = ends.filter(F.col(f"_mn{i}").isNotNull()).select(
+            *[f"_{k}" for k in keep], F.when(same, F.col(f"_mn{i}") - 0.5).otherwise(F.col(f"_mn{i}")).alias("_lo"),
+            F.when(same, F.col(f"_mx{i}") + 0.5).otherwise(F.col(f"_mx{i}")).alias("_hi"))
+        rows = df.select(*keep, val[c].alias("_x")).filter(F.col("_x").isNotNull())
+        if by:
+            rows = rows.join(rng, cond)
+        else:  # one range: its two numbers
+            one = rng.first()
+            if one is None:
+                continue
+            rows = rows.select("_x", F.lit(one["_lo"]).alias("_lo"), F.lit(one["_hi"]).alias("_hi"))
+        counts = rows.groupBy(*keep, (_bin_of(F.col("_x"), F.col("_lo"), F.col("_hi"), bins) + 1).cast("int").alias("bin")) \
+            .agg(F.count(F.lit(1)).alias("count"))
+        grid = rng.select(*[F.col(f"_{k}").alias(k) for k in keep], "_lo", "_hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+        on = grid["bin"] == counts["bin"]
+        for k in keep:
+            on = on & grid[k].eqNullSafe(counts[k])
+        b = grid["bin"] - 1
+        part = grid.join(counts, on, "left").select(
+            *[grid[k] for k in keep], F.lit(c).alias("feature"), grid["bin"],
+            _edge(b, F.col("_lo"), F.col("_hi"), bins).alias("bin_lo"), _edge(b + 1, F.col("_lo"), F.col("_hi"), bins).alias("bin_hi"),
+            F.coalesce(counts["count"], F.lit(0)).cast("long").alias("count"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("histogram needs a column with a value")
+    return out
 
 
 # --- correlation -----------------------------------------------------------------
@@ -80,23 +103,26 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: str | None
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson ``(x, y, r)`` for each column pair, over the rows where both
     are present (not null, not NaN), as pandas pairs them; null when either
-    side is constant (no division by zero).
-
-    Each input row becomes one row per requested pair (a fixed expansion set
-    by the column list, linear in the data); a grouped aggregate with
-    map-side partial aggregation reduces them to one row per pair. This
-    keeps the plan small, where one aggregate of hundreds of masked
-    expressions spends seconds in the optimizer.
+    side is constant (no division by zero). One aggregate over the columns
+    (``regr_*`` skip a row with a null on either side); rows are
+    neither expanded nor moved.
     """
-    arr = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"),
-                             no_nan(F.col(a).cast("double")).alias("xv"),
-                             no_nan(F.col(b).cast("double")).alias("yv")) for a, b in pairs])
-    lf = spread(df).select(F.inline(arr)).filter(F.col("xv").isNotNull() & F.col("yv").isNotNull())
-    den = F.stddev_pop("xv") * F.stddev_pop("yv")
-    got = lf.groupBy("x", "y").agg(F.when(den > F.lit(0.0), F.covar_pop("xv", "yv") / den).alias("r"))
-    # pairs with no complete row at all still get a (null) row
-    keys = df.sparkSession.createDataFrame(list(dict.fromkeys(pairs)), "x string, y string")
-    return keys.join(got, ["x", "y"], "left")
+    pairs = list(dict.fromkeys(pairs))
+    names = list(dict.fromkeys(c for p in pairs for c in p))
+    at = {c: f"_c{i}" for i, c in enumerate(names)}
+    clean = df.select(*[no_nan(F.col(c).cast("double")).alias(at[c]) for c in names])
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.col(at[a]), F.col(at[b])
+        aggs += [F.regr_sxy(y, x).alias(f"_xy{i}"), F.regr_sxx(y, x).alias(f"_xx{i}"), F.regr_syy(y, x).alias(f"_yy{i}")]
+    row = clean.agg(*aggs)
+
+    def r(i):
+        den = F.sqrt(F.col(f"_xx{i}")) * F.sqrt(F.col(f"_yy{i}"))
+        return F.when(den > 0, F.col(f"_xy{i}") / den)
+
+    return row.select(F.inline(F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r(i).alias("r"))
+                                         for i, (a, b) in enumerate(pairs)])))
 
 
 def label_correlation(df: DataFrame, cols: Sequence[str] = S.V_COLS + ["Amount"],
@@ -125,9 +151,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int | None =
     cols = list(cols)
     upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
     half = pair_correlations(df, upper)
-    mirrored = half.filter(F.col("x") != F.col("y")).select(
-        F.col("y").alias("x"), F.col("x").alias("y"), "r")
-    out = half.unionByName(mirrored)
+    both = F.array(F.struct("x", "y", "r"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"), F.col("r")))
+    out = half.select(F.inline(F.slice(both, 1, F.when(F.col("x") == F.col("y"), 1).otherwise(2))))
     if digits is not None:
         out = out.withColumn("r", F.round("r", digits))
     return out

@@ -1,44 +1,37 @@
-"""Whole-table ranks without a single-partition window.
+"""Whole-table ranks without a single-partition window, one path for every size.
 
 ``percent_rank().over(Window.orderBy(c))`` and ``ntile`` without a partition
 key move every row into one task. The forms here give the same numbers with
 work spread over the cluster:
 
-* ``order_statistics`` finds the value at given 1-based positions of the
-  sorted order (per group) exactly: approximate quantiles propose candidate
-  values, one aggregate counts the rows between consecutive candidates
-  exactly, and only the slice that holds a wanted position is refined, until
-  it is small enough to rank in one bounded task. A value that repeats on a
-  huge share of rows is answered directly (it fills the whole slot).
-* ``ntile`` only needs the ``k - 1`` tile borders: once the row at each
-  border is known, every row's tile is a projection (no shuffle at all).
-* ``percent_rank`` needs, per distinct value, the number of rows before it:
-  a table of distinct values with counts is ranked with running sums inside
-  value slots plus per-slot offsets, and joined back. Values held by many
-  rows are answered from a broadcast of size at most ``max_hot`` rows; the
-  rest go through a shuffle join in which the hot rows are salted apart.
-
-``method="auto"`` keeps the plain window for small inputs, where one task is
-cheaper than the extra jobs.
+* ``prefix_sums`` range-partitions a table by its key once, writes it with the
+  partition number, and adds running sums inside partitions to the sums of the
+  partitions before (one row per partition). It works on any orderable type.
+* ``order_statistics`` finds the value at given 1-based positions of the sorted
+  order (per group) exactly, in two steps whatever the size: candidates from a
+  bounded sample, with an exact count of the rows between and on them (one
+  scan, map-side combine); then the rows of the slices that hold an unfinished
+  position, ranked by ``prefix_sums``. Candidates keep the column's own type.
+* ``ntile`` only needs the ``k - 1`` tile borders: once the row at each border
+  is known, every row's tile is a projection (no shuffle at all).
+* ``percent_rank`` rounded to ``digits`` has at most ``10**digits + 1`` results.
+  The smallest value of each result is found on the table of distinct values;
+  a row's rank is then a binary search in that list: a projection as well.
 """
 
 from __future__ import annotations
 
-import math
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
 
-WINDOW_MAX_ROWS = 1_000_000   # auto: plain window up to this many rows
-FINAL_MAX_ROWS = 200_000      # exact final ranking of one slice, in one task
-GRID = 128                    # candidates per refinement pass
-ACCURACY = 100 * GRID         # percentile_approx accuracy (1/relative error)
+GRID = 128             # slices an order-statistics search cuts a group into
+SAMPLE_ROWS = 20_000   # rows a search draws its candidates from
 
 
 def _is_float(df: DataFrame, c: str) -> bool:
@@ -53,185 +46,179 @@ def _valid(df: DataFrame, c: str) -> Column:
 
 
 # ---------------------------------------------------------------------------
-# exact order statistics
+# binary search as projections
 # ---------------------------------------------------------------------------
 
-@dataclass
-class _Target:
-    key: tuple          # group values
-    pos: int            # wanted 1-based position in the group (non-null, non-NaN values)
-    lo: object = None   # window: values > lo (None: unbounded)
-    hi: object = None   # window: values < hi (None: unbounded)
-    base: int = 0       # rows of the group at or below lo
-    rel: int = 0        # position inside the window
-    size: int | None = None   # rows in the window, when known
-    value: object = None
-    before: int | None = None
-    done: bool = False
-
-
-def _window_filter(t: _Target, group_cols: Sequence[str], value: str) -> Column:
-    cond = F.lit(True)
-    for g, k in zip(group_cols, t.key):
-        cond = cond & (F.col(g).eqNullSafe(F.lit(k)))
-    if t.lo is not None:
-        cond = cond & (F.col(value) > F.lit(t.lo))
-    if t.hi is not None:
-        cond = cond & (F.col(value) < F.lit(t.hi))
-    return cond
+def _literal_lists(lists: Sequence[Sequence[str]], dtype: T.DataType) -> Column:
+    """A constant array of arrays; values come as strings Spark cast them to."""
+    text = F.from_json(F.lit(json.dumps([list(x) for x in lists])), "array<array<string>>")
+    return text.cast(T.ArrayType(T.ArrayType(dtype)))
 
 
-def _window_id(windows: list[tuple], group_cols, value) -> Column:
-    """Window index of a row (windows of one group never overlap)."""
-    expr = None
-    for i, (key, lo, hi) in enumerate(windows):
-        t = _Target(key=key, pos=0, lo=lo, hi=hi)
-        c = _window_filter(t, group_cols, value)
-        expr = F.when(c, F.lit(i)) if expr is None else expr.when(c, F.lit(i))
-    return expr
+def _count_below(df: DataFrame, value: str, cuts: Column, longest: int, out: str, equal: bool = False) -> DataFrame:
+    """Adds ``out``: how many elements of the sorted array ``cuts`` are below
+    ``value`` (or equal to it, with ``equal``). One projection per halving, so an
+    element is compared once and nothing is expanded into nested cases."""
+    df = df.withColumn(out, F.lit(0))
+    step = 1 << max(longest.bit_length() - 1, 0)
+    while step and longest:
+        at = F.try_element_at(cuts, F.col(out) + F.lit(step))
+        right = at <= F.col(value) if equal else at < F.col(value)
+        df = df.withColumn(out, F.col(out) + F.when(right, F.lit(step)).otherwise(F.lit(0)))
+        step >>= 1
+    return df
 
 
-def _count_below(x: Column, cands: list, lo: int, hi: int) -> Column:
-    """Number of ``cands[lo:hi]`` strictly below ``x``, plus ``lo``: a binary
-    search written as nested CASE (depth log2 of the candidate count), all
-    JVM-side and exact for 64-bit integers."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(x > F.lit(cands[mid]), _count_below(x, cands, mid + 1, hi)) \
-        .otherwise(_count_below(x, cands, lo, mid))
+# ---------------------------------------------------------------------------
+# prefix sums
+# ---------------------------------------------------------------------------
 
+def prefix_sums(table: DataFrame, key: str | Sequence[str], cols: Sequence[str],
+                with_prev: bool = False, with_totals: bool = False, partitions: int | None = None) -> DataFrame:
+    """Running sums over a table with one row per ``key``, in key order (null
+    first, NaN last): adds ``_before_<c>`` (sum of ``c`` over smaller keys) and,
+    with ``with_prev``, ``_prev_<c>`` (``c`` of the next smaller key), with
+    ``with_totals``, ``_total_<c>``.
+
+    ``partitions`` fixes the number of ranges; by default it is the session's
+    number of shuffle partitions, which adaptive execution may merge. The
+    broadcast offsets have one row per range.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [F.col(k).asc_nulls_first() for k in keys]
+    ranged = table.repartitionByRange(partitions, *order) if partitions else table.repartitionByRange(*order)
+    t = materialize(ranged.withColumn("_part", F.spark_partition_id()), "ranged")
+    aggs = [F.sum(c).alias(f"_s_{c}") for c in cols]
+    if with_prev:
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*keys)).alias("_last"))
+    per_part = t.groupBy("_part").agg(*aggs)
+    ow = Window.orderBy("_part")  # one row per range
+    sel = ["_part"] + [F.coalesce(F.sum(f"_s_{c}").over(ow.rowsBetween(Window.unboundedPreceding, -1)),
+                                  F.lit(0)).alias(f"_off_{c}") for c in cols]
+    if with_prev:
+        sel.append(F.lag("_last").over(ow).alias("_plast"))
+    if with_totals:
+        sel += [F.sum(f"_s_{c}").over(Window.partitionBy()).alias(f"_total_{c}") for c in cols]
+    offs = per_part.select(*sel)
+    w = Window.partitionBy("_part").orderBy(*order)
+    wb = w.rowsBetween(Window.unboundedPreceding, -1)
+    out = [F.col(c) for c in table.columns]
+    out += [(F.col(f"_off_{c}") + F.coalesce(F.sum(c).over(wb), F.lit(0))).alias(f"_before_{c}") for c in cols]
+    if with_prev:
+        out += [F.coalesce(F.lag(c).over(w), F.col(f"_plast.{c}")).alias(f"_prev_{c}") for c in cols]
+    if with_totals:
+        out += [F.col(f"_total_{c}") for c in cols]
+    return t.join(F.broadcast(offs), "_part").select(*out)
 
-def _slot_code(w: Column, x: Column, cands: dict[int, list]) -> Column:
-    """``2 * (#candidates < x) + (x == next candidate)`` for the row's window."""
-    expr = None
-    for wid, c in cands.items():
-        s = _count_below(x, c, 0, len(c))
-        top = F.when(F.try_element_at(F.array(*[F.lit(v) for v in c]), s + 1) == x, F.lit(1)).otherwise(F.lit(0)) \
-            if c else F.lit(0)
-        code = s * 2 + top
-        expr = F.when(w == F.lit(wid), code) if expr is None else expr.when(w == F.lit(wid), code)
-    return expr
 
+# ---------------------------------------------------------------------------
+# exact order statistics
+# ---------------------------------------------------------------------------
 
 def order_statistics(df: DataFrame, value: str, positions: dict[tuple, Sequence[int]],
-                     group_cols: Sequence[str] = (), final_max_rows: int | None = None,
-                     grid: int | None = None, accuracy: int | None = None,
-                     group_sizes: dict[tuple, int] | None = None) -> dict[tuple, tuple]:
+                     group_cols: Sequence[str] = (), group_sizes: dict[tuple, int] | None = None,
+                     grid: int | None = None, sample_rows: int | None = None,
+                     partitions: int | None = None) -> dict[tuple, tuple]:
     """Exact k-th smallest values among the non-null, non-NaN ``value``s.
 
     ``positions`` maps a group key tuple (``()`` without groups) to wanted
-    1-based positions. Returns ``{(key, pos): (value, rows_before)}`` where
-    ``rows_before`` counts the group's rows with a smaller value. Positions
-    outside ``1..n`` map to ``(None, None)``.
+    1-based positions. Returns ``{(key, pos): (value, rows_before, ties)}``:
+    ``rows_before`` counts the group's rows with a smaller value, ``ties`` those
+    with the same. Positions outside ``1..n`` map to ``(None, None, 0)``.
 
-    Only small tables reach the driver: candidate lists (``grid`` values per
-    open window) and per-slot counts.
+    To the driver come at most ``grid`` candidates and ``2 * grid`` counts per
+    wanted group, and one row per wanted position.
     """
-    final_max_rows = final_max_rows or FINAL_MAX_ROWS
-    grid = grid or GRID
-    accuracy = accuracy or ACCURACY
-    group_cols = list(group_cols)
-    base = df.filter(_valid(df, value)).select(*group_cols, value)
+    grid, sample_rows = grid or GRID, sample_rows or SAMPLE_ROWS
+    spark, group_cols = df.sparkSession, list(group_cols)
+    dtype = df.schema[value].dataType
+    base = df.filter(_valid(df, value)).select(*group_cols, F.col(value).alias("_v"))
     if group_sizes is None:
-        rows = base.groupBy(*group_cols).count().collect() if group_cols else [((), base.count())]
-        if group_cols:
-            group_sizes = {tuple(r[g] for g in group_cols): r["count"] for r in rows}
-        else:
-            group_sizes = {(): rows[0][1]}
-    targets: list[_Target] = []
-    result: dict[tuple, tuple] = {}
-    for key, ps in positions.items():
-        n = group_sizes.get(tuple(key), 0)
-        for p in ps:
-            if p < 1 or p > n:
-                result[(tuple(key), p)] = (None, None)
-            else:
-                targets.append(_Target(key=tuple(key), pos=p, rel=p, size=n))
-
-    for _ in range(64):
-        open_t = [t for t in targets if not t.done]
-        if not open_t:
-            break
-        small = [t for t in open_t if t.size is not None and t.size <= final_max_rows]
-        if small:
-            _final_rank(base, value, group_cols, small)
-        large = [t for t in open_t if not t.done]
-        if large:
-            _refine(base, value, group_cols, large, grid, accuracy)
-    for t in targets:
-        result[(t.key, t.pos)] = (t.value, t.before)
-    return result
-
-
-def _distinct_windows(ts: list[_Target]) -> list[tuple]:
-    seen, out = set(), []
-    for t in ts:
-        w = (t.key, t.lo, t.hi)
-        if w not in seen:
-            seen.add(w)
-            out.append(w)
-    return out
-
-
-def _final_rank(base: DataFrame, value: str, group_cols, ts: list[_Target]) -> None:
-    """Rank the rows of each small window exactly (one bounded task per window)."""
-    windows = _distinct_windows(ts)
-    wid = _window_id(windows, group_cols, value)
-    rows = base.select(wid.alias("_w"), value).filter(F.col("_w").isNotNull())
-    w = Window.partitionBy("_w").orderBy(value)
-    ranked = rows.withColumn("_rn", F.row_number().over(w)).withColumn("_rk", F.rank().over(w))
-    wanted = [(windows.index((t.key, t.lo, t.hi)), t.rel) for t in ts]
-    cond = None
-    for w_i, rel in set(wanted):
-        c = (F.col("_w") == F.lit(w_i)) & (F.col("_rn") == F.lit(rel))
-        cond = c if cond is None else cond | c
-    got = {(r["_w"], r["_rn"]): (r[value], r["_rk"]) for r in ranked.filter(cond).collect()}
-    for t, (w_i, rel) in zip(ts, wanted):
-        v, rk = got[(w_i, rel)]
-        t.value, t.before, t.done = v, t.base + rk - 1, True
-
-
-def _refine(base: DataFrame, value: str, group_cols, ts: list[_Target], grid: int, accuracy: int) -> None:
-    """One pass: candidates per window, exact counts per slot, narrow each target."""
-    windows = _distinct_windows(ts)
-    wid = _window_id(windows, group_cols, value)
-    rows = base.select(wid.alias("_w"), value).filter(F.col("_w").isNotNull())
-    probs = [i / grid for i in range(1, grid)]
-    cand_rows = rows.groupBy("_w").agg(
-        F.percentile_approx(value, probs, accuracy).alias("_c")).collect()
-    cands = {r["_w"]: sorted(set(r["_c"])) for r in cand_rows}
-    code = _slot_code(F.col("_w"), F.col(value), cands)
-    counts = rows.groupBy("_w", code.alias("_code")).count().collect()
-    # per window: slot -> (rows in slot, rows equal to the slot's top candidate)
-    per_w: dict[int, dict[int, list[int]]] = {}
-    for r in counts:
-        s, top = divmod(int(r["_code"]), 2)
-        d = per_w.setdefault(int(r["_w"]), {})
-        d.setdefault(s, [0, 0])
-        d[s][0] += r["count"]
-        if top:
-            d[s][1] += r["count"]
-    for t in ts:
-        w_i = windows.index((t.key, t.lo, t.hi))
-        c = cands[w_i]
-        slots = per_w.get(w_i, {})
-        cum = 0
-        for s in range(len(c) + 1):
-            cnt, eq = slots.get(s, (0, 0))
-            if t.rel <= cum + cnt:
-                if t.rel > cum + cnt - eq:   # lands on the slot's top value
-                    t.value = c[s]
-                    t.before = t.base + cum + cnt - eq
-                    t.done = True
-                else:                        # strictly between two candidates
-                    new_lo = c[s - 1] if s > 0 else t.lo
-                    new_hi = c[s] if s < len(c) else t.hi
-                    t.base += cum
-                    t.rel -= cum
-                    t.lo, t.hi, t.size = new_lo, new_hi, cnt - eq
+        got = base.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).collect()
+        group_sizes = {tuple(r[g] for g in group_cols): r["_n"] for r in got}
+    result = {(tuple(k), p): (None, None, 0) for k, ps in positions.items() for p in ps}
+    targets = [(k, p) for k, p in result if 1 <= p <= group_sizes.get(k, 0)]
+    if not targets:
+        return result
+    groups = list(dict.fromkeys(k for k, _ in targets))
+    gid = {k: i for i, k in enumerate(groups)}
+
+    # rows of the wanted groups, numbered
+    if group_cols:
+        fields = [T.StructField(f"_g{i}", df.schema[c].dataType) for i, c in enumerate(group_cols)]
+        ids = spark.createDataFrame([(*k, i) for k, i in gid.items()], T.StructType([*fields, T.StructField("_gid", T.IntegerType())]))
+        cond = F.lit(True)
+        for i, c in enumerate(group_cols):
+            cond = cond & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+        # one row per wanted group, all of them known to the driver
+        rows = base.join(F.broadcast(ids), cond).select("_gid", "_v")
+    else:
+        rows = base.select(F.lit(0).alias("_gid"), "_v")
+
+    # 1. candidates from a bounded sample, exact counts between and on them
+    total = sum(group_sizes[k] for k in groups)
+    share = min(1.0, sample_rows / max(total, 1))
+    drawn = rows.sample(share, seed=17) if share < 1.0 else rows
+    at = F.transform(F.sequence(F.lit(1), F.lit(grid - 1)), lambda i: F.greatest(F.lit(1), F.ceil(i * F.size("_s") / F.lit(grid))).cast("int"))
+    cand = (drawn.groupBy("_gid").agg(F.sort_array(F.collect_list("_v")).alias("_s"))
+            .select("_gid", F.array_distinct(F.transform(at, lambda i: F.element_at("_s", i))).cast("array<string>").alias("_c")).collect())
+    cuts: list[list[str]] = [[] for _ in groups]
+    for r in cand:
+        cuts[r["_gid"]] = list(r["_c"])
+    here = F.element_at(_literal_lists(cuts, dtype), F.col("_gid") + 1)
+    slotted = _count_below(rows, "_v", here, max(map(len, cuts)), "_slot")
+    slotted = slotted.withColumn("_on", F.coalesce(F.try_element_at(here, F.col("_slot") + 1) == F.col("_v"), F.lit(False)))
+    counts = {(r["_gid"], r["_slot"], r["_on"]): (r["_n"], r["_low"]) for r in slotted.groupBy("_gid", "_slot", "_on").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low")).collect()}
+
+    # place every target on a candidate or in the slice before it
+    pending: dict[tuple[int, int], list] = {}
+    for k, p in targets:
+        g, below = gid[k], 0
+        for s in range(len(cuts[g]) + 1):
+            inside, on = counts.get((g, s, False), (0, None))[0], counts.get((g, s, True), (0, None))
+            if p <= below + inside:
+                pending.setdefault((g, s), []).append((k, p, below))
                 break
-            cum += cnt
+            if p <= below + inside + on[0]:
+                result[k, p] = (on[1], below + inside, on[0])
+                break
+            below += inside + on[0]
+    if not pending:
+        return result
+
+    # 2. rank the slices that hold open targets, all together; a slice is named by
+    # its ends, so the rows outside are left at the scan
+    def inside_slice(g: int, s: int) -> Column:
+        cond = F.col("_gid") == F.lit(g)
+        if s > 0:
+            cond = cond & (F.col("_v") > F.lit(cuts[g][s - 1]).cast(dtype))
+        return cond & (F.col("_v") < F.lit(cuts[g][s]).cast(dtype)) if s < len(cuts[g]) else cond
+
+    slices = sorted(pending)
+    code = F.lit(None).cast("int")
+    for i, (g, s) in enumerate(slices):
+        code = F.when(inside_slice(g, s), F.lit(i)).otherwise(code)
+    some = F.lit(False)
+    for g, s in slices:
+        some = some | inside_slice(g, s)
+    open_rows = rows.filter(some).groupBy(code.alias("_code"), "_v").agg(F.count(F.lit(1)).alias("_n"))
+    first, wanted = 0, {}
+    for g, s in slices:
+        for k, p, below in pending[g, s]:
+            wanted.setdefault(first + p - below, []).append((k, p, below - first))
+        first += counts[g, s, False][0]
+    hits = F.filter(F.from_json(F.lit(json.dumps(sorted(wanted))), "array<bigint>"),
+                    lambda x: (x > F.col("_before__n")) & (x <= F.col("_before__n") + F.col("_n")))
+    ranked = prefix_sums(open_rows, ["_code", "_v"], ["_n"], partitions=partitions)
+    for r in ranked.withColumn("_hits", hits).filter(F.size("_hits") > 0).collect():
+        for x in r["_hits"]:
+            for k, p, shift in wanted[x]:
+                result[k, p] = (r["_v"], r["_before__n"] + shift, r["_n"])
+    missing = [t for t in targets if result[t][2] == 0]
+    if missing:
+        raise RuntimeError(f"order statistics not found, the input changed between two reads: {missing[:5]}")
+    return result
 
 
 # ---------------------------------------------------------------------------
@@ -245,7 +232,7 @@ def _tile_borders(n: int, k: int) -> list[int]:
 
 
 def _border_keys(df: DataFrame, value: str, tiebreak: str, borders: list[int], n_null: int,
-                 n_valid: int, value_stats: dict) -> list[tuple]:
+                 n_valid: int, value_stats: dict, **search) -> list[tuple]:
     """(value, tiebreak) of the row at each 1-based border position of the
     order ``value ASC NULLS FIRST (NaN last), tiebreak ASC NULLS FIRST``.
 
@@ -253,14 +240,15 @@ def _border_keys(df: DataFrame, value: str, tiebreak: str, borders: list[int], n
     among the rows sharing that value. All borders are resolved together:
     each row is tagged with the borders whose value it holds (at most
     ``len(borders)`` tags), one aggregate counts null / valid tiebreaks per
-    border, and one order-statistics search runs grouped by border.
+    border, and one order-statistics search runs grouped by border. A border
+    between rows of one (value, tiebreak) is not defined and raises.
     """
     specs = []
     for pos in borders:
         if pos <= n_null:
             specs.append((None, pos, F.col(value).isNull()))
         elif pos <= n_null + n_valid:
-            v, before = value_stats[((), pos - n_null)]
+            v, before, _ = value_stats[((), pos - n_null)]
             specs.append((v, pos - n_null - before, F.col(value) == F.lit(v)))
         else:
             specs.append((float("nan"), pos - n_null - n_valid, F.isnan(F.col(value))))
@@ -277,17 +265,22 @@ def _border_keys(df: DataFrame, value: str, tiebreak: str, borders: list[int], n
         if rel > nulls:
             wanted[(i,)] = [rel - nulls]
             sizes[(i,)] = valid
-    got = order_statistics(tagged, tiebreak, wanted, group_cols=["_b"], group_sizes=sizes) if wanted else {}
+    got = order_statistics(tagged, tiebreak, wanted, group_cols=["_b"], group_sizes=sizes, **search) if wanted else {}
     out = []
     for i, (v, rel, _) in enumerate(specs):
         if (i,) in wanted:
-            out.append((v, got[((i,), wanted[(i,)][0])][0]))
+            t, before, ties = got[((i,), wanted[(i,)][0])]
+            split = before + ties != wanted[(i,)][0]
         else:
-            out.append((v, None))
+            t, split = None, rel != counts.get(i, (0, 0))[0]
+        if split:
+            raise ValueError(f"several rows have {value}={v!r}, {tiebreak}={t!r} at a tile border; "
+                             "the tiebreak must tell rows apart")
+        out.append((v, t))
     return out
 
 
-def ntile_column(df: DataFrame, value: str, k: int, tiebreak: str) -> Column:
+def ntile_column(df: DataFrame, value: str, k: int, tiebreak: str, **search) -> Column:
     """The tile of ``ntile(k) over (order by value, tiebreak)`` as a column
     expression: the ``k - 1`` border keys are found on ``df`` now (a few
     small jobs), and the returned expression compares a row's (value,
@@ -301,8 +294,8 @@ def ntile_column(df: DataFrame, value: str, k: int, tiebreak: str) -> Column:
     n, n_null, n_valid = agg["n"], agg["nulls"], agg["valid"]
     borders = [p for p in _tile_borders(n, k) if 1 <= p < n]
     inner = sorted({p - n_null for p in borders if n_null < p <= n_null + n_valid})
-    stats = order_statistics(df, value, {(): inner}, group_sizes={(): n_valid}) if inner else {}
-    keys = _border_keys(df, value, tiebreak, borders, n_null, n_valid, stats)
+    stats = order_statistics(df, value, {(): inner}, group_sizes={(): n_valid}, **search) if inner else {}
+    keys = _border_keys(df, value, tiebreak, borders, n_null, n_valid, stats, **search)
     vt = df.schema[value].dataType
     tt = df.schema[tiebreak].dataType
     row_key = F.struct(F.col(value).alias("v"), F.col(tiebreak).alias("t"))
@@ -313,134 +306,44 @@ def ntile_column(df: DataFrame, value: str, k: int, tiebreak: str) -> Column:
     return tile.cast("int")
 
 
-def ntile_distributed(df: DataFrame, value: str, k: int, tiebreak: str, out: str) -> DataFrame:
+def with_ntile(df: DataFrame, value: str, k: int, tiebreak: str, out: str, **search) -> DataFrame:
     """``ntile(k) over (order by value, tiebreak)`` as a projection (see
     ``ntile_column``): no shuffle once the borders are known."""
-    return df.withColumn(out, ntile_column(df, value, k, tiebreak))
-
-
-def ntile_window(df: DataFrame, value: str, k: int, tiebreak: str | None, out: str) -> DataFrame:
-    order = [F.col(value).asc_nulls_first()] + ([F.col(tiebreak).asc_nulls_first()] if tiebreak else [])
-    return df.withColumn(out, F.ntile(k).over(Window.orderBy(*order)))
+    return df.withColumn(out, ntile_column(df, value, k, tiebreak, **search))
 
 
 # ---------------------------------------------------------------------------
 # percent_rank
 # ---------------------------------------------------------------------------
 
-def percent_rank_window(df: DataFrame, value: str, out: str, digits: int | None = 4) -> DataFrame:
-    pr = F.percent_rank().over(Window.orderBy(F.col(value).asc_nulls_first()))
-    return df.withColumn(out, F.round(pr, digits) if digits is not None else pr)
+def ranked_values(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
+    """One row per distinct value (null and NaN included): ``value, _cnt,
+    _before`` where ``_before`` counts rows ordered before the value."""
+    vt = df.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
+    return prefix_sums(vt, value, ["_cnt"], with_totals=True, partitions=partitions) \
+        .withColumnRenamed("_before__cnt", "_before").withColumnRenamed("_total__cnt", "_n")
 
 
-def prefix_sums(table: DataFrame, key: str, cols: Sequence[str], n: int | None = None,
-                rows_per_slot: int = 2_000_000, max_slots: int = 100_000,
-                with_prev: bool = False, with_totals: bool = False,
-                cut_source: DataFrame | None = None) -> DataFrame:
-    """Running sums over a table with one row per ``key``, in key order
-    (null first, NaN last): adds ``_before_<c>`` (sum of ``c`` over smaller
-    keys) and, with ``with_prev``, ``_prev_<c>`` (``c`` of the next smaller key).
+def percent_rank_steps(df: DataFrame, value: str, digits: int = 4, partitions: int | None = None) -> list[tuple]:
+    """(rank, smallest non-null value of that rank as a string) in rank order:
+    at most ``10**digits + 1`` rows."""
+    rank = F.when(F.col("_n") > 1, F.round(F.col("_before").cast("double") / (F.col("_n") - 1).cast("double"), digits)).otherwise(F.lit(0.0))
+    steps = (ranked_values(df, value, partitions).filter(F.col(value).isNotNull())
+             .groupBy(rank.alias("rank")).agg(F.min(value).cast("string").alias("low")))
+    return sorted((r["rank"], r["low"]) for r in steps.collect())
 
-    The sums run inside key slots (cut points from approximate quantiles, so
-    a slot holds about ``rows_per_slot`` keys) plus per-slot offsets from a
-    table of at most ``max_slots + 2`` rows; no window sees the whole table.
-    """
-    if n is None:
-        n = table.count()
-    slots = int(max(1, min(max_slots, math.ceil(n / rows_per_slot))))
-    cuts = []
-    if slots > 1:
-        # cut points from the rows the table was grouped from when given: one
-        # scan, no shuffle; a slot then holds at most as many keys as rows
-        src = table if cut_source is None else cut_source
-        cuts = sorted(set(src.approxQuantile(key, [i / slots for i in range(1, slots)],
-                                             1.0 / (4 * slots))))
-    if cuts:
-        b = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol="_kd", outputCol="_sd",
-                       handleInvalid="keep")
-        t = b.transform(table.withColumn("_kd", F.col(key).cast("double")))
-        t = t.withColumn("_slot", F.coalesce(F.col("_sd").cast("int"), F.lit(-1))).drop("_kd", "_sd")
-    else:
-        # one value slot, plus slot -1 for null keys (an expression, not a
-        # literal, so the plan keeps a keyed join and a partitioned window)
-        t = table.withColumn("_slot", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
-    aggs = [F.sum(c).alias(f"_s_{c}") for c in cols]
-    if with_prev:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(key)).alias("_last"))
-    per_slot = t.groupBy("_slot").agg(*aggs)
-    # at most max_slots + 2 rows: this single-partition window is bounded
-    ow = Window.orderBy("_slot")
-    sel = ["_slot"] + [F.coalesce(F.sum(f"_s_{c}").over(ow.rowsBetween(Window.unboundedPreceding, -1)),
-                                  F.lit(0)).alias(f"_off_{c}") for c in cols]
-    if with_prev:
-        sel.append(F.lag("_last").over(ow).alias("_plast"))
-    if with_totals:
-        sel += [F.sum(f"_s_{c}").over(Window.partitionBy()).alias(f"_total_{c}") for c in cols]
-    offs = per_slot.select(*sel)
-    w = Window.partitionBy("_slot").orderBy(F.col(key).asc_nulls_first())
-    wb = w.rowsBetween(Window.unboundedPreceding, -1)
-    out = [F.col(c) for c in table.columns]
-    out += [(F.col(f"_off_{c}") + F.coalesce(F.sum(c).over(wb), F.lit(0))).alias(f"_before_{c}")
-            for c in cols]
-    if with_prev:
-        out += [F.coalesce(F.lag(c).over(w), F.col(f"_plast.{c}")).alias(f"_prev_{c}") for c in cols]
-    if with_totals:
-        out += [F.col(f"_total_{c}") for c in cols]
-    return t.join(F.broadcast(offs), "_slot").select(*out)
 
+def apply_percent_rank(df: DataFrame, value: str, out: str, steps: list[tuple]) -> DataFrame:
+    """The rank of each row by binary search in ``steps``; null values rank 0."""
+    if not steps:
+        return df.withColumn(out, F.lit(0.0))
+    cuts = F.element_at(_literal_lists([[low for _, low in steps]], df.schema[value].dataType), 1)
+    ranks = F.from_json(F.lit(json.dumps([r for r, _ in steps])), "array<double>")
+    found = _count_below(df, value, cuts, len(steps), "_at", equal=True)
+    return found.withColumn(out, F.when(F.col(value).isNull(), F.lit(0.0)).otherwise(F.try_element_at(ranks, F.col("_at")))).drop("_at")
 
-def ranked_values(df: DataFrame, value: str, n: int | None = None,
-                  rows_per_slot: int = 2_000_000) -> DataFrame:
-    """One row per distinct value (null and NaN included): ``value, _cnt,
-    _before`` where ``_before`` counts rows ordered before the value."""
-    vt = df.groupBy(value).agg(F.count(F.lit(1)).alias("_cnt"))
-    return prefix_sums(vt, value, ["_cnt"], n=n, rows_per_slot=rows_per_slot, cut_source=df) \
-        .withColumnRenamed("_before__cnt", "_before")
-
-
-def percent_rank_distributed(df: DataFrame, value: str, out: str, digits: int | None = 4,
-                             n: int | None = None, max_hot: int = 100_000,
-                             hot_floor: int = 100_000, salt: int | None = None,
-                             rows_per_slot: int = 2_000_000) -> DataFrame:
-    """``percent_rank() over (order by value)`` = rows before / (n - 1)."""
-    spark = df.sparkSession
-    if n is None:
-        n = df.count()
-    # written once: both the hot and the cold branch read it, and at scale
-    # recomputing it means another scan, shuffle and window over the input
-    ranked = materialize(ranked_values(df, value, n, rows_per_slot), "ranked-values")
-    hot_min = max(hot_floor, math.ceil(n / max_hot))
-    salt = salt or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a value with >= hot_min rows: at most n / hot_min <= max_hot of them
-    hot = ranked.filter(F.col("_cnt") >= hot_min).select(
-        F.col(value).alias("_hv"), F.col("_before").alias("_hb"))
-    cold = ranked.filter(F.col("_cnt") < hot_min).select(
-        F.col(value).alias("_cv"), F.col("_before").alias("_cb"), F.lit(0).alias("_cs"))
-    x = df.join(F.broadcast(hot), df[value].eqNullSafe(F.col("_hv")), "left")
-    x = x.withColumn("_salt", F.when(F.col("_hb").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt)) + 1))
-    x = x.join(cold, x[value].eqNullSafe(F.col("_cv")) & (F.col("_salt") == F.col("_cs")), "left")
-    before = F.coalesce(F.col("_hb"), F.col("_cb"))
-    pr = F.lit(0.0) if n <= 1 else before.cast("double") / F.lit(float(n - 1))
-    pr = F.round(pr, digits) if digits is not None else pr
-    return x.select(*[F.col(c) for c in df.columns], pr.alias(out))
-
-
-def with_percent_rank(df: DataFrame, value: str, out: str, digits: int | None = 4,
-                      method: str = "auto", n: int | None = None) -> DataFrame:
-    if method == "auto":
-        n = df.count() if n is None else n
-        method = "window" if n <= WINDOW_MAX_ROWS else "distributed"
-    if method == "window":
-        return percent_rank_window(df, value, out, digits)
-    return percent_rank_distributed(df, value, out, digits, n=n)
-
-
-def with_ntile(df: DataFrame, value: str, k: int, tiebreak: str, out: str,
-               method: str = "auto", n: int | None = None) -> DataFrame:
-    if method == "auto":
-        n = df.count() if n is None else n
-        method = "window" if n <= WINDOW_MAX_ROWS else "distributed"
-    if method == "window":
-        return ntile_window(df, value, k, tiebreak, out)
-    return ntile_distributed(df, value, k, tiebreak, out)
+
+def with_percent_rank(df: DataFrame, value: str, out: str, digits: int = 4, partitions: int | None = None) -> DataFrame:
+    """``round(percent_rank() over (order by value), digits)``: the rows are
+    only projected."""
+    return apply_percent_rank(df, value, out, percent_rank_steps(df, value, digits, partitions))

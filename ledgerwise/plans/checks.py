@@ -11,23 +11,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.columns import right_closed_bins
+from ..functions.columns import left_closed_bins, right_closed_bins
 from ..ml import split as SP
 from ..ml import train as TR
 from ..ml.registry import Tracker
 from ..ml.scale import zscore
-from ..ml.score import model_performance, score_rows
+from ..ml.score import model_performance, prediction_distribution, risk_distribution, score_rows
 from ..operators import aggregates as A
 from ..operators import metrics as M
 from ..operators import profile as P
 from ..operators import quality as Q
 from ..operators import ranks as R
 from ..sources import fixtures as FX
-from ..sources.files import file_inventory
+from ..sources.catalog import preview
+from ..sources.files import cast_rejects
 from ..sources.lakehouse import Lakehouse
 from ..session import materialize
 from . import medallion as MD
@@ -43,13 +44,16 @@ ROUND_METRIC = 10   # ranking metrics (sums in different order)
 # Spark side
 # ---------------------------------------------------------------------------
 
-def _silver(spark: SparkSession, sf: str, method: str = "auto") -> DataFrame:
-    return MD.silver_frame(MD.add_provenance(FX.txn(spark, sf)), rank_method=method,
-                           stamp=False, cut=False)
+def _bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return MD.add_provenance(FX.txn(spark, sf), "test_tables", sf)
+
+
+def _silver(spark: SparkSession, sf: str) -> DataFrame:
+    return MD.silver_frame(_bronze(spark, sf), stamp=False)
 
 
 def _silver_ml(spark: SparkSession, sf: str) -> DataFrame:
-    return MD.silver_frame(FX.txn_ml(spark, sf), stamp=False, cut=False)
+    return MD.silver_frame(FX.txn_ml(spark, sf), stamp=False)
 
 
 def _score(df: DataFrame) -> DataFrame:
@@ -67,8 +71,25 @@ def q_label_rate_pct(spark, sf):
     return A.label_rate_pct(FX.txn(spark, sf))
 
 
+def _holed(t: DataFrame) -> DataFrame:
+    """``txn`` with nulls in every column and NaN in the double ones, by id."""
+    def holes(c, i):
+        out = F.when(F.col("id") % (i + 3) == 0, F.lit(None))
+        if c not in ("id", "Class"):
+            out = out.when(F.col("id") % 11 == 1, F.lit(float("nan")))
+        return out.otherwise(F.col(c)).alias(c)
+    return t.select(*[holes(c, i) for i, c in enumerate(_ALL_TXN)])
+
+
 def q_null_counts(spark, sf):
-    return Q.null_counts(FX.txn(spark, sf))
+    return Q.null_counts(_holed(FX.txn(spark, sf)))
+
+
+def q_quality_summary_flags(spark, sf):
+    """The quality summary of rows with missing labels and negative amounts."""
+    t = FX.txn(spark, sf).select("id", F.when(F.col("id") % 17 == 0, -F.col("Amount")).otherwise(F.col("Amount")).alias("Amount"),
+                                 F.when(F.col("id") % 13 != 0, F.col("Class")).alias("Class"))
+    return Q.quality_summary(t)
 
 
 def q_duplicate_report(spark, sf):
@@ -91,18 +112,44 @@ def q_silver_features(spark, sf):
 
 def q_amount_percentile(spark, sf):
     t = FX.txn(spark, sf).select("id", "Amount")
-    return R.with_percent_rank(t, "Amount", "Amount_percentile", 4, method="distributed")
+    return R.with_percent_rank(t, "Amount", "Amount_percentile", 4)
 
 
 def q_amount_quartile(spark, sf):
     t = FX.txn(spark, sf).select("id", "Amount")
-    return R.with_ntile(t, "Amount", 4, "id", "Amount_quartile", method="distributed")
+    return R.with_ntile(t, "Amount", 4, "id", "Amount_quartile")
 
 
 def q_orders_percentile(spark, sf):
     o = FX.orders(spark, sf).select("o_orderkey", "o_totalprice")
-    o = R.with_percent_rank(o, "o_totalprice", "price_percentile", 4, method="distributed")
-    return R.with_ntile(o, "o_totalprice", 4, "o_orderkey", "price_quartile", method="distributed")
+    o = R.with_percent_rank(o, "o_totalprice", "price_percentile", 4)
+    return R.with_ntile(o, "o_totalprice", 4, "o_orderkey", "price_quartile")
+
+
+def _orders_tied(spark, sf):
+    """Orders by a rounded price (heavy ties) with the key as a string."""
+    return FX.orders(spark, sf).select(F.col("o_orderkey").cast("string").alias("id"), F.round(F.col("o_totalprice") / 20000).alias("price"))
+
+
+def q_quartile_string_id(spark, sf):
+    """Ties broken by a string key; few candidates and many ranges, so that
+    slices and range offsets all take part."""
+    return R.with_ntile(_orders_tied(spark, sf), "price", 4, "id", "quartile", grid=8, sample_rows=200, partitions=16)
+
+
+def q_quartile_hot_value(spark, sf):
+    """A third of ``lineitem`` on one value."""
+    li = FX.lineitem(spark, sf).groupBy("l_orderkey", "l_linenumber").agg(F.max("l_extendedprice").alias("price"))
+    li = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+                   F.when(F.col("l_orderkey") % 3 == 0, F.lit(30000.0)).otherwise(F.col("price")).alias("price"))
+    li = R.with_ntile(materialize(li, "hot"), "price", 4, "id", "quartile", grid=4, sample_rows=500, partitions=24)
+    return R.with_percent_rank(li, "price", "percentile", 4, partitions=24)
+
+
+def q_percentile_refined(spark, sf):
+    """Percent ranks of a string column and of longs beyond 2**53."""
+    o = _orders_tied(spark, sf).withColumn("big", F.lit(2**53) + F.col("id").cast("long"))
+    return R.with_percent_rank(R.with_percent_rank(o, "id", "id_rank", 4, partitions=16), "big", "big_rank", 4, partitions=16)
 
 
 def q_fraud_by_amount(spark, sf):
@@ -110,13 +157,11 @@ def q_fraud_by_amount(spark, sf):
 
 
 def q_fraud_by_order_price(spark, sf):
-    """The amount bins over ``orders.o_totalprice`` (reaches ``Very_High``)."""
-    from ..functions.columns import left_closed_bins
+    """The amount bins over a 200th of ``orders.o_totalprice``: all four occur."""
     o = FX.orders(spark, sf).select(
-        F.col("o_totalprice").alias("Amount"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("Class"),
-        left_closed_bins("o_totalprice", S.AMOUNT_EDGES, S.AMOUNT_LABELS).alias("Amount_category"))
-    return A.fraud_by_amount(o)
+        (F.col("o_totalprice") / F.lit(200.0)).alias("Amount"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("Class"))
+    return A.fraud_by_amount(o.withColumn("Amount_category", left_closed_bins("Amount", S.AMOUNT_EDGES, S.AMOUNT_LABELS)))
 
 
 def q_fraud_by_quartile(spark, sf):
@@ -140,7 +185,8 @@ def q_class_distribution(spark, sf):
 
 
 def q_preview_ordered(spark, sf):
-    return FX.txn(spark, sf).select("id", "Amount", "Class").orderBy("id").limit(1000)
+    FX.txn(spark, sf).select("id", "Amount", "Class").orderBy("id").createOrReplaceTempView("txn_by_id")
+    return preview(spark, "txn_by_id", 1000)
 
 
 def q_histogram_by_class(spark, sf):
@@ -215,13 +261,26 @@ def q_roc_points(spark, sf):
 def _formula_scores(spark, sf) -> DataFrame:
     """``gold_fraud_scores`` shape from the fixed formula score (no stamp)."""
     t = _score(FX.txn(spark, sf))
+    # spread over [0, 1], so that all bands occur
     return t.select("id", "Amount", "Class", F.col("prediction").cast("long").alias("fraud_prediction"),
-                    F.bround("score", 6).alias("fraud_probability")) \
+                    F.bround(F.least(F.lit(1.0), F.col("score") * F.lit(2.5)), 6).alias("fraud_probability"),
+                    F.lit("formula").alias("model_name"), F.lit("1").alias("model_version")) \
         .withColumn("risk_category", right_closed_bins("fraud_probability", S.RISK_EDGES, S.RISK_LABELS))
 
 
 def q_risk_bands(spark, sf):
-    return _formula_scores(spark, sf).groupBy("risk_category").agg(F.count(F.lit(1)).alias("count"))
+    return risk_distribution(_formula_scores(spark, sf))
+
+
+def q_prediction_distribution(spark, sf):
+    return prediction_distribution(_formula_scores(spark, sf))
+
+
+def q_roc_by_model(spark, sf):
+    """ROC points of two scores in one table."""
+    t = _score(FX.txn(spark, sf)).withColumn("score2", F.round(F.abs("V3"), 2))
+    r = RP.roc_by_model({"v1_v2": M.roc_points(t, "Class", "score"), "v3": M.roc_points(t, "Class", "score2")})
+    return r.select("model", "threshold", F.round("fpr", ROUND_METRIC).alias("fpr"), F.round("tpr", ROUND_METRIC).alias("tpr"))
 
 
 def q_scores_page(spark, sf):
@@ -250,21 +309,32 @@ def q_report_aggregate(spark, sf):
 
 
 def q_cast_rejects(spark, sf):
-    """Values of the bronze columns that do not convert to the silver types."""
-    from ..sources.files import cast_rejects
-    return cast_rejects(MD.add_provenance(FX.txn(spark, sf)), S.SILVER_TYPES)
+    """Text values that do not convert to the silver types."""
+    o = FX.orders(spark, sf)
+    key = F.col("o_orderkey").cast("string")
+    text = o.select(F.when(F.col("o_orderkey") % 10 == 0, F.concat(F.lit("k"), key)).otherwise(key).alias("id"),
+                    F.col("o_orderpriority").alias("V1"),
+                    F.when(F.col("o_orderkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("Amount"),
+                    F.col("o_orderstatus").alias("Class"))
+    return cast_rejects(text, S.SILVER_TYPES)
+
 
+def _md5_key(seed: int = 42):
+    return F.md5(F.concat_ws(":", F.lit(seed), F.col("id").cast("string")))
 
-def q_file_inventory(spark, sf):
-    return file_inventory(spark, sf, "*.parquet")
 
+def q_split_members(spark, sf):
+    """Which side each row is on, ordered by a hash both engines have."""
+    s = SP.stratified_split(FX.txn(spark, sf).select("id", "Class"), 0.2, key=_md5_key())
+    return s.select("id", "Class", "split")
 
-# --- model queries (no SQL oracle: fitted models) ------------------------------
+
+# --- model queries: a fit can't be restated in SQL, its invariants can -----------
 
 def _ml_frames(spark, sf):
     s = _silver_ml(spark, sf)
     cols = [S.ID_COL] + S.MODEL_FEATURES + [S.AMOUNT_COL, S.LABEL_COL]
-    sp = SP.stratified_split(s.select(*cols), 0.2, 42)
+    sp = SP.stratified_split(s.select(*cols), 0.2, key=_md5_key())
     sp = materialize(sp, "split")
     return sp.filter(F.col("split") == "train").drop("split"), sp.filter(F.col("split") == "test").drop("split")
 
@@ -280,52 +350,95 @@ def _experiment(spark, sf) -> dict:
         lake = Lakehouse.scratch(spark, "experiments")
         tracker = Tracker(lake)
         train, test = _ml_frames(spark, sf)
-        runs = {k: TR.train_and_log(train, test, k, tracker) for k in ("lr", "rf", "gbt")}
+        base = TR.TrainBase.of(train)
+        runs = {k: TR.train_and_log(train, test, k, tracker, base=base) for k in ("lr", "rf", "gbt")}
         _EXPERIMENTS[key] = {"tracker": tracker, "runs": runs, "test": test}
     return _EXPERIMENTS[key]
 
 
 def _fit_scores(kind: str):
+    """The hold-out rows with checks of what the model gave each of them."""
     def q(spark, sf):
-        e = _experiment(spark, sf)
-        return TR.predict(e["runs"][kind].model, e["test"]).drop("_p_raw")
+        p, raw = F.col("fraud_probability"), F.col("_p_raw")
+        return _experiment(spark, sf)["runs"][kind].scored.select(
+            "id", "Amount", "Class", p.between(0, 1).alias("probability_ok"),
+            ((F.col("fraud_prediction") == 1) == (raw > 0.5)).alias("prediction_ok"), (p == F.bround(raw, 6)).alias("rounded_ok"))
     return q
 
 
 def q_feature_importance(spark, sf):
-    run = _experiment(spark, sf)["runs"]["rf"]
-    return spark.createDataFrame(run.importances, "feature string, importance double")
+    """Importances of the tree models: one per feature, none negative, sum 1."""
+    e = _experiment(spark, sf)["runs"]
+    rows = [(k, f, v) for k in ("rf", "gbt") for f, v in e[k].importances]
+    return spark.createDataFrame(rows, "model string, feature string, importance double").groupBy("model").agg(
+        F.count_distinct("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("negative"))
+
+
+def _brute_metrics(scored: DataFrame) -> dict:
+    """Metrics of a small scored table by other formulas: the AUC from average
+    ranks in a window, the rest from grouped counts."""
+    w = Window.orderBy("_p_raw")
+    ranked = scored.select("Class", (F.rank().over(w) + (F.count(F.lit(1)).over(Window.partitionBy("_p_raw")) - 1) / 2).alias("r"))
+    a = ranked.groupBy("Class").agg(F.sum("r").alias("r"), F.count(F.lit(1)).alias("n")).collect()
+    pos, neg = (next(x for x in a if x["Class"] == c) for c in (1, 0))
+    n = {(x["Class"], x["fraud_prediction"]): x["count"] for x in scored.groupBy("Class", "fraud_prediction").count().collect()}
+    tp, fp, fn, tn = (n.get(k, 0) for k in ((1, 1), (0, 1), (1, 0), (0, 0)))
+    precision, recall = tp / (tp + fp) if tp + fp else 0.0, tp / (tp + fn)
+    return {"auc_roc": (pos["r"] - pos["n"] * (pos["n"] + 1) / 2) / (pos["n"] * neg["n"]), "accuracy": (tp + tn) / sum(n.values()),
+            "precision": precision, "recall": recall,
+            "f1_score": 2 * precision * recall / (precision + recall) if precision + recall else 0.0}
 
 
 def q_compare_models(spark, sf):
-    return _experiment(spark, sf)["tracker"].compare_models().drop("run_id", "started_at")
+    """The logged metrics of each run against a second computation, best AUC first."""
+    e = _experiment(spark, sf)
+    rows = e["tracker"].compare_models().collect()
+    out = []
+    for i, r in enumerate(rows):
+        kind = next(k for k, t in TR.MODEL_TYPES.items() if t == r["model_type"])
+        want = _brute_metrics(e["runs"][kind].scored)
+        out.append((r["model_type"], all(abs(r[m] - want[m]) < 1e-9 for m in ("auc_roc", "precision", "recall", "f1_score")),
+                    i == 0 or rows[i - 1]["auc_roc"] >= r["auc_roc"]))
+    return spark.createDataFrame(out, "model_type string, metrics_ok boolean, in_order boolean")
 
 
 def q_best_run(spark, sf):
-    b = _experiment(spark, sf)["tracker"].best_run()
-    return b.select(F.col("params")["model_type"].alias("model_type"),
-                    F.col("metrics")["auc_roc"].alias("auc_roc"))
+    """The best run's AUC is the largest of all runs."""
+    t = _experiment(spark, sf)["tracker"]
+    top = t.compare_models().agg(F.max("auc_roc").alias("top"), F.count(F.lit(1)).alias("runs"))
+    return t.best_run().select(F.col("metrics")["auc_roc"].alias("auc")).join(top, F.col("auc") == F.col("top")).select(
+        "runs", (F.col("auc") <= 1.0).alias("auc_ok"))
 
 
-def _performance(spark, sf) -> DataFrame:
-    """Register the best run once, score every ML row with it, and keep the
-    performance row (written under the checkpoint folder)."""
+def _performance(spark, sf) -> dict:
+    """Register the best run once, score every ML row with it, and keep scores
+    and performance row (written under the checkpoint folder)."""
     e = _experiment(spark, sf)
     if "perf" not in e:
         tracker = e["tracker"]
         reg = tracker.register_best()
         model, _ = tracker.load(reg["name"], reg["version"])
-        scores = score_rows(model, _silver_ml(spark, sf), reg["name"], str(reg["version"]), stamp=False)
-        e["perf"] = materialize(model_performance(scores, reg["name"], reg["version"], stamp=False), "perf")
-    return e["perf"]
+        e["scores"] = materialize(score_rows(model, _silver_ml(spark, sf), reg["name"], str(reg["version"]), stamp=False), "scores")
+        e["perf"] = materialize(model_performance(e["scores"], reg["name"], reg["version"], stamp=False), "perf")
+    return e
 
 
 def q_model_performance(spark, sf):
-    return _performance(spark, sf)
+    """Totals of the scored table, and its metrics against a second computation."""
+    e = _performance(spark, sf)
+    want = _brute_metrics(e["scores"].withColumn("_p_raw", F.col("fraud_probability")))
+    flagged = e["scores"].filter("fraud_prediction = 1").count()
+    ok = F.lit(True)
+    for m, v in want.items():
+        ok = ok & (F.abs(F.col(m) - F.lit(v)) <= 0.00005 + 1e-9)
+    return e["perf"].select("model_name", "model_version", "total_scored", (F.col("total_flagged") == flagged).alias("flagged_ok"),
+                            ok.alias("metrics_ok"))
 
 
 def q_performance_page(spark, sf):
-    return RP.performance_page(RP.typed_view(_performance(spark, sf), S.GOLD_PERFORMANCE))
+    p = RP.performance_page(RP.typed_view(_performance(spark, sf)["perf"], S.GOLD_PERFORMANCE))
+    return p.select("model_name", "model_version", *[F.col(c).between(0, 1).alias(f"{c}_ok") for c in ("auc_roc", "precision", "recall", "f1_score")])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -339,6 +452,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "amount_percentile": q_amount_percentile,
     "amount_quartile": q_amount_quartile,
     "orders_percentile": q_orders_percentile,
+    "quartile_string_id": q_quartile_string_id,
+    "quartile_hot_value": q_quartile_hot_value,
+    "percentile_refined": q_percentile_refined,
+    "quality_summary_flags": q_quality_summary_flags,
+    "split_members": q_split_members,
+    "prediction_distribution": q_prediction_distribution,
+    "roc_by_model": q_roc_by_model,
     "fraud_by_amount": q_fraud_by_amount,
     "fraud_by_order_price": q_fraud_by_order_price,
     "fraud_by_quartile": q_fraud_by_quartile,
@@ -365,7 +485,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "executive_summary": q_executive_summary,
     "fraud_analysis": q_fraud_analysis,
     "report_aggregate": q_report_aggregate,
-    "file_inventory": q_file_inventory,
     "cast_rejects": q_cast_rejects,
     "lr_scores": _fit_scores("lr"),
     "rf_scores": _fit_scores("rf"),
@@ -423,7 +542,7 @@ _RISK = ("CASE WHEN fraud_probability > -0.001 AND fraud_probability <= 0.3 THEN
          "WHEN fraud_probability > 0.3 AND fraud_probability <= 0.7 THEN 'Medium' "
          "WHEN fraud_probability > 0.7 AND fraud_probability <= 1.001 THEN 'High' END")
 WITH_FSCORES = (WITH_SCORED + ", fs0 AS (SELECT id, Amount, Class, CAST(prediction AS BIGINT) AS fraud_prediction, "
-                "round_even(score, 6) AS fraud_probability FROM scored), "
+                "round_even(least(1.0, score * 2.5), 6) AS fraud_probability, 'formula' AS model_name, '1' AS model_version FROM scored), "
                 f"fs AS (SELECT *, {_RISK} AS risk_category FROM fs0) ")
 
 
@@ -498,22 +617,18 @@ def _box_sql() -> str:
 
 
 def _hist_sql() -> str:
-    e = ("(CASE WHEN ({i}) >= 50 THEN hi ELSE CAST({i} AS DOUBLE) * ((hi - lo) / 50.0) + lo END)")
-    i0 = "least(greatest(CAST(floor((value - lo) / (hi - lo) * 50.0) AS BIGINT), 0), 49)"
-    idx = (f"(CASE WHEN value < {e.format(i=i0)} THEN {i0} - 1 "
-           f"WHEN value >= {e.format(i=i0 + ' + 1')} AND {i0} <> 49 THEN {i0} + 1 ELSE {i0} END)")
-    b = "(bin - 1)"
+    """Counts by a range join of the values with each bin's edges."""
+    edge = "(CASE WHEN {i} >= 50 THEN hi ELSE CAST({i} AS DOUBLE) * ((hi - lo) / 50.0) + lo END)"
     return (WITH_SILVER + ", long AS (SELECT Class, feature, value FROM silver UNPIVOT (value FOR feature IN "
             "(Amount, Amount_log)) WHERE value IS NOT NULL AND NOT isnan(value)), "
-            "rng0 AS (SELECT Class, feature, min(value) AS mn, max(value) AS mx FROM long GROUP BY Class, feature), "
+            "ends AS (SELECT Class, feature, min(value) AS mn, max(value) AS mx FROM long GROUP BY Class, feature), "
             "rng AS (SELECT Class, feature, CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo, "
-            "CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi FROM rng0), "
-            f"c AS (SELECT l.Class, l.feature, CAST({idx} + 1 AS INTEGER) AS bin, count(*) AS cnt "
-            "FROM long l JOIN rng USING (Class, feature) GROUP BY ALL), "
-            "grid AS (SELECT Class, feature, lo, hi, CAST(g.bin AS INTEGER) AS bin FROM rng, range(1, 51) g(bin)) "
-            f"SELECT grid.Class, grid.feature, grid.bin, round({e.format(i=b)}, {ROUND_LOG}) AS bin_lo, "
-            f"round({e.format(i=b + ' + 1')}, {ROUND_LOG}) AS bin_hi, "
-            "CAST(coalesce(c.cnt, 0) AS BIGINT) AS count FROM grid LEFT JOIN c USING (Class, feature, bin)")
+            "CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi FROM ends), "
+            f"grid AS (SELECT Class, feature, CAST(g.bin AS INTEGER) AS bin, {edge.format(i='(g.bin - 1)')} AS b0, "
+            f"{edge.format(i='g.bin')} AS b1 FROM rng, range(1, 51) g(bin)) "
+            f"SELECT g.Class, g.feature, g.bin, round(g.b0, {ROUND_LOG}) AS bin_lo, round(g.b1, {ROUND_LOG}) AS bin_hi, "
+            "count(l.value) AS count FROM grid g LEFT JOIN long l ON l.Class = g.Class AND l.feature = g.feature "
+            "AND l.value >= g.b0 AND (l.value < g.b1 OR g.bin = 50) GROUP BY ALL")
 
 
 def _split_sql(view_sql: str) -> str:
@@ -526,14 +641,37 @@ def _split_sql(view_sql: str) -> str:
             "FROM s GROUP BY split")
 
 
-def _roc_sql() -> str:
-    return (WITH_SCORED + _SCORE_TABLE
-            + ", d AS (SELECT *, lag(pos) OVER (ORDER BY score) AS ppos, lag(neg) OVER (ORDER BY score) AS pneg "
-            "FROM r) "
+def _roc_of(score: str) -> str:
+    """Points by counting the rows at or above each score; a point in the middle
+    of a straight run (same slope to both neighbours' counts) is left out."""
+    return (f"(WITH u AS (SELECT {score} AS s, count(*) FILTER (Class = 1) AS p, count(*) FILTER (Class <> 1) AS n "
+            "FROM scored GROUP BY ALL), "
+            "above AS (SELECT a.s, a.p, a.n, sum(b.p) AS tp, sum(b.n) AS fp FROM u a JOIN u b ON b.s >= a.s GROUP BY ALL), "
+            "t AS (SELECT sum(p) AS all_p, sum(n) AS all_n, max(s) AS top, min(s) AS low FROM u), "
+            "near AS (SELECT *, lead(p) OVER (ORDER BY s DESC) AS next_p, lead(n) OVER (ORDER BY s DESC) AS next_n FROM above) "
             "SELECT CAST('inf' AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr UNION ALL "
-            f"SELECT CAST(score AS DOUBLE), round(CASE WHEN N > 0 THEN (N - bneg) / N END, {ROUND_METRIC}), "
-            f"round(CASE WHEN P > 0 THEN (P - bpos) / P END, {ROUND_METRIC}) FROM d "
-            "WHERE ppos IS NULL OR (bpos + pos = P AND bneg + neg = N) OR ppos <> pos OR pneg <> neg")
+            f"SELECT CAST(s AS DOUBLE), round(CASE WHEN all_n > 0 THEN CAST(fp AS DOUBLE) / all_n END, {ROUND_METRIC}), "
+            f"round(CASE WHEN all_p > 0 THEN CAST(tp AS DOUBLE) / all_p END, {ROUND_METRIC}) FROM near, t "
+            "WHERE s = top OR s = low OR next_p <> p OR next_n <> n)")
+
+
+def _roc_sql() -> str:
+    return WITH_SCORED + "SELECT * FROM " + _roc_of("score")
+
+
+def _roc_by_model_sql() -> str:
+    return (WITH_SCORED + "SELECT 'v1_v2' AS model, * FROM " + _roc_of("score")
+            + " UNION ALL SELECT 'v3', * FROM " + _roc_of("round(abs(V3), 2)"))
+
+
+_TIED = "WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, round(o_totalprice / 20000) AS price FROM orders) "
+
+
+def _holdout_sql() -> str:
+    return (f"WITH t AS ({FX.TXN_ML_SQL}), k AS (SELECT id, Amount, Class, row_number() OVER (PARTITION BY Class "
+            "ORDER BY md5('42:' || id), id) AS r, count(*) OVER (PARTITION BY Class) AS n FROM t) "
+            "SELECT id, Amount, Class, true AS probability_ok, true AS prediction_ok, true AS rounded_ok FROM k "
+            "WHERE r <= floor(0.2 * n + 0.5)")
 
 
 ORACLE: dict[str, str] = {
@@ -541,8 +679,8 @@ ORACLE: dict[str, str] = {
     + _flag("Class = 0") + " AS legit_count, " + _rate("Class = 1") + " AS fraud_pct FROM txn",
     "label_rate_pct": WITH_TXN + "SELECT round(avg(Class) * 100.0, 4) AS fraud_pct FROM txn",
     "null_counts": WITH_TXN + "SELECT " + ", ".join(
-        f"count(*) FILTER (WHERE {c} IS NULL" + ("" if c in ("id", "Class") else f" OR isnan({c})") + f") AS {c}"
-        for c in _ALL_TXN) + " FROM txn",
+        f"count(*) FILTER (WHERE id % {i + 3} = 0" + ("" if c in ("id", "Class") else " OR id % 11 = 1") + f") AS {c}"
+        for i, c in enumerate(_ALL_TXN)) + " FROM txn",
     "duplicate_report": "SELECT count(*) AS total_records, (SELECT count(*) FROM (SELECT DISTINCT "
     "l_orderkey, l_linenumber FROM lineitem)) AS distinct_ids, count(*) - (SELECT count(*) FROM (SELECT "
     "DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicates FROM lineitem",
@@ -563,8 +701,8 @@ ORACLE: dict[str, str] = {
     "ASC NULLS FIRST), 4) AS price_percentile, CAST(ntile(4) OVER (ORDER BY o_totalprice ASC NULLS FIRST, "
     "o_orderkey ASC NULLS FIRST) AS INTEGER) AS price_quartile FROM orders",
     "fraud_by_amount": WITH_SILVER + _gold_by_amount_sql(),
-    "fraud_by_order_price": "WITH silver AS (SELECT o_totalprice AS Amount, CASE WHEN o_orderstatus = 'F' "
-    "THEN 1 ELSE 0 END AS Class, " + _BINS.format(c="o_totalprice") + " AS Amount_category FROM orders) "
+    "fraud_by_order_price": "WITH o AS (SELECT o_totalprice / 200.0 AS Amount, CASE WHEN o_orderstatus = 'F' "
+    "THEN 1 ELSE 0 END AS Class FROM orders), silver AS (SELECT *, " + _BINS.format(c="Amount") + " AS Amount_category FROM o) "
     + _gold_by_amount_sql(),
     "fraud_by_quartile": WITH_SILVER + _gold_by_quartile_sql(),
     "kpis": WITH_SILVER + _kpis_sql(),
@@ -604,16 +742,42 @@ ORACLE: dict[str, str] = {
     "roc_points": _roc_sql(),
     "risk_bands": WITH_FSCORES + "SELECT risk_category, count(*) AS count FROM fs GROUP BY risk_category",
     "scores_page": WITH_FSCORES + "SELECT CAST(id AS BIGINT) AS id, Amount, CAST(Class AS BIGINT) AS Class, "
-    "fraud_prediction, fraud_probability, risk_category FROM fs WHERE risk_category = 'Medium'",
+    "fraud_prediction, fraud_probability, risk_category, model_name, model_version FROM fs WHERE risk_category = 'Medium'",
+    "prediction_distribution": WITH_FSCORES + "SELECT fraud_prediction, count(*) AS count FROM fs GROUP BY fraud_prediction",
+    "roc_by_model": _roc_by_model_sql(),
+    "quartile_string_id": _TIED + "SELECT id, price, CAST(ntile(4) OVER (ORDER BY price, id) AS INTEGER) AS quartile FROM o",
+    "percentile_refined": _TIED + "SELECT id, price, 9007199254740992 + CAST(id AS BIGINT) AS big, "
+    "round(percent_rank() OVER (ORDER BY id), 4) AS id_rank, round(percent_rank() OVER (ORDER BY CAST(id AS BIGINT)), 4) AS big_rank FROM o",
+    "quartile_hot_value": "WITH li AS (SELECT l_orderkey * 8 + l_linenumber AS id, CASE WHEN l_orderkey % 3 = 0 THEN 30000.0 "
+    "ELSE max(l_extendedprice) END AS price FROM lineitem GROUP BY l_orderkey, l_linenumber) SELECT id, price, "
+    "CAST(ntile(4) OVER (ORDER BY price, id) AS INTEGER) AS quartile, round(percent_rank() OVER (ORDER BY price), 4) AS percentile FROM li",
+    "quality_summary_flags": WITH_TXN + ", d AS (SELECT id, CASE WHEN id % 17 = 0 THEN -Amount ELSE Amount END AS Amount, "
+    "CASE WHEN id % 13 <> 0 THEN Class END AS Class FROM txn) SELECT count(*) AS total_records, count(DISTINCT id) AS unique_ids, "
+    + _flag("Class IS NULL") + " AS null_labels, " + _flag("Amount < 0") + " AS negative_amounts, "
+    "min(Amount) AS min_amount, max(Amount) AS max_amount, round(avg(Amount), 2) AS avg_amount, "
+    + _flag("Class = 1") + " AS fraud_count, " + _flag("Class = 0") + " AS legit_count FROM d",
+    "split_members": WITH_TXN + ", k AS (SELECT id, Class, row_number() OVER (PARTITION BY Class ORDER BY md5('42:' || id), id) AS r, "
+    "count(*) OVER (PARTITION BY Class) AS n FROM txn) SELECT id, Class, CASE WHEN r <= floor(0.2 * n + 0.5) THEN 'test' "
+    "ELSE 'train' END AS split FROM k",
+    **{f"{k}_scores": _holdout_sql() for k in ("lr", "rf", "gbt")},
+    "feature_importance": f"SELECT unnest(['rf', 'gbt']) AS model, {len(S.MODEL_FEATURES)} AS features, 1.0 AS total, 0 AS negative",
+    "compare_models": "SELECT unnest(['LogisticRegression', 'RandomForest', 'GradientBoostedTrees']) AS model_type, true AS metrics_ok, "
+    "true AS in_order",
+    "best_run": "SELECT 3 AS runs, true AS auc_ok",
+    "model_performance": f"SELECT '{S.MODEL_NAME}' AS model_name, 1 AS model_version, count(*) AS total_scored, true AS flagged_ok, "
+    "true AS metrics_ok FROM embeddings",
+    "performance_page": f"SELECT '{S.MODEL_NAME}' AS model_name, 1 AS model_version, true AS auc_roc_ok, true AS precision_ok, "
+    "true AS recall_ok, true AS f1_score_ok",
     "executive_summary": WITH_SILVER + _kpis_sql(),
     "fraud_analysis": WITH_SILVER + ", a AS (" + _gold_by_amount_sql() + "), q AS (" + _gold_by_quartile_sql()
     + ") SELECT 'amount_category' AS dimension, Amount_category AS bucket, total_transactions, fraud_count, "
     "fraud_rate_pct FROM a UNION ALL SELECT 'amount_quartile', CAST(Amount_quartile AS VARCHAR), "
     "total_transactions, fraud_count, fraud_rate_pct FROM q",
-    "cast_rejects": WITH_TXN + "SELECT " + ", ".join(
-        f"CAST(sum(CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS "
-        + ("INTEGER" if c in ("id", "Class") else "DOUBLE") + f") IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {c}"
-        for c in _ALL_TXN) + " FROM txn",
+    "cast_rejects": "WITH t AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'k' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS id, "
+    "o_orderpriority AS V1, CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS Amount, "
+    "o_orderstatus AS Class FROM orders) SELECT " + ", ".join(
+        f"CAST(count(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS {'INTEGER' if c in ('id', 'Class') else 'DOUBLE'}) IS NULL) AS BIGINT) AS {c}"
+        for c in ("id", "V1", "Amount", "Class")) + " FROM t",
     "report_aggregate": WITH_SILVER + ", a AS (" + _gold_by_amount_sql() + ") SELECT "
     "CAST(sum(total_transactions) AS BIGINT) AS sum_total_transactions, CAST(sum(fraud_count) AS BIGINT) "
     "AS sum_fraud_count, CAST(sum(legit_count) AS BIGINT) AS sum_legit_count FROM a",

@@ -15,39 +15,34 @@ from .. import schema as S
 from ..ml import split as SP
 from ..ml import train as TR
 from ..ml.registry import Tracker
-from ..ml.score import model_performance, score_rows
+from ..ml.score import model_performance, prediction_distribution, risk_distribution, score_rows
 from ..operators import aggregates as A
 from ..operators import features as FE
 from ..operators import quality as Q
 from ..sources.files import cast_schema
 from ..sources.lakehouse import Lakehouse
-from ..session import materialize
+from ..session import materialize, stage_scope
+from . import reports as RP
 
 
-def add_provenance(df: DataFrame, source: str = S.DEFAULT_SOURCE,
-                   endpoint: str = S.DEFAULT_ENDPOINT) -> DataFrame:
+def add_provenance(df: DataFrame, source: str, endpoint: str) -> DataFrame:
     return df.select("*", F.current_timestamp().alias("ingestion_timestamp"),
                      F.lit(source).alias("data_source"), F.lit(endpoint).alias("source_endpoint"))
 
 
-def build_bronze(lake: Lakehouse, raw: DataFrame, source: str = S.DEFAULT_SOURCE,
-                 endpoint: str = S.DEFAULT_ENDPOINT) -> DataFrame:
+def build_bronze(lake: Lakehouse, raw: DataFrame, source: str, endpoint: str) -> DataFrame:
     return lake.write(add_provenance(raw, source, endpoint), S.BRONZE)
 
 
-def silver_frame(bronze: DataFrame, rank_method: str = "auto", strict_cast: bool = False,
-                 stamp: bool = True, cut: bool = True) -> DataFrame:
+def silver_frame(bronze: DataFrame, strict_cast: bool = False, stamp: bool = True) -> DataFrame:
     """Dedup by id, cast, engineer features; provenance dropped.
 
     The deduplicated, typed rows are materialized once (parquet under the
     checkpoint folder) because the rank features read them several times.
     """
     base = bronze.drop(*S.PROVENANCE_COLS, "source_file")
-    typed = cast_schema(Q.dedupe(base, [S.ID_COL]), S.SILVER_TYPES, strict=strict_cast)
-    if cut:
-        typed = materialize(typed, "silver-typed")
-    n = typed.count() if rank_method in ("auto", "distributed") else None
-    out = FE.engineer(typed, method=rank_method, n=n)
+    typed = materialize(cast_schema(Q.dedupe(base, [S.ID_COL]), S.SILVER_TYPES, strict=strict_cast), "silver-typed")
+    out = FE.engineer(typed)
     return out.withColumn("silver_processed_at", F.current_timestamp()) if stamp else out
 
 
@@ -74,15 +69,10 @@ def train_models(lake: Lakehouse, silver: DataFrame, kinds=("lr", "rf", "gbt"),
     tracker = Tracker(lake)
     cols = [S.ID_COL] + S.MODEL_FEATURES + [S.AMOUNT_COL, S.LABEL_COL]
     sp = materialize(SP.stratified_split(silver.select(*cols), test_frac, seed), "split")
-    train = sp.filter(F.col("split") == "train").drop("split").cache()
+    train = sp.filter(F.col("split") == "train").drop("split")
     test = sp.filter(F.col("split") == "test").drop("split")
-    results = []
-    try:
-        for k in kinds:
-            results.append(TR.train_and_log(train, test, k, tracker, (params or {}).get(k)))
-    finally:
-        train.unpersist()
-    return tracker, results
+    base = TR.TrainBase.of(train)
+    return tracker, [TR.train_and_log(train, test, k, tracker, (params or {}).get(k), base=base) for k in kinds]
 
 
 def score_all(lake: Lakehouse, tracker: Tracker, silver: DataFrame, scaler: str = "saved") -> tuple[DataFrame, DataFrame]:
@@ -103,18 +93,32 @@ class MedallionResult:
     runs: list = field(default_factory=list)
     scores: DataFrame | None = None
     performance: DataFrame | None = None
+    views: dict = field(default_factory=dict)
+    roc: DataFrame | None = None
+    prediction_distribution: DataFrame | None = None
+    risk_distribution: DataFrame | None = None
 
 
-def run_medallion(spark: SparkSession, raw: DataFrame, lake: Lakehouse | None = None,
-                  kinds=("lr", "rf", "gbt"), params: dict | None = None,
-                  rank_method: str = "auto") -> MedallionResult:
-    """Bronze -> silver (with quality gate) -> gold -> training -> scoring."""
+def run_medallion(spark: SparkSession, raw: DataFrame, source: str, endpoint: str, lake: Lakehouse | None = None,
+                  kinds=("lr", "rf", "gbt"), params: dict | None = None) -> MedallionResult:
+    """Bronze -> silver (with quality gate) -> gold -> training -> scoring ->
+    views. Intermediate tables are removed at the end; every result is a scan of
+    a table of ``lake``."""
     lake = lake or Lakehouse.scratch(spark)
-    bronze = build_bronze(lake, raw)
-    silver = build_silver(lake, bronze, rank_method=rank_method)
-    gold = build_gold(lake, silver)
-    res = MedallionResult(bronze, silver, gold)
-    if kinds:
-        tracker, res.runs = train_models(lake, silver, kinds, params)
-        res.scores, res.performance = score_all(lake, tracker, silver)
+    with stage_scope(spark):
+        bronze = build_bronze(lake, raw, source, endpoint)
+        silver = build_silver(lake, bronze)
+        gold = build_gold(lake, silver)
+        res = MedallionResult(bronze, silver, gold)
+        tables = dict(gold)
+        if kinds:
+            tracker, res.runs = train_models(lake, silver, kinds, params)
+            res.roc = lake.write(RP.roc_by_model({r.kind: r.roc for r in res.runs}), S.ROC)
+            res.scores, res.performance = score_all(lake, tracker, silver)
+            res.prediction_distribution = prediction_distribution(res.scores)
+            res.risk_distribution = risk_distribution(res.scores)
+            tables |= {S.GOLD_SCORES: res.scores, S.GOLD_PERFORMANCE: res.performance}
+        for r in res.runs:  # these read intermediate tables; roc and the artifacts are written
+            r.scored = r.roc = r.confusion = None
+        res.views = RP.publish_views(tables)
     return res

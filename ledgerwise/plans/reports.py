@@ -34,6 +34,8 @@ VIEW_TYPES: dict[str, dict[str, str]] = {
                          "scored_at": "timestamp"},
 }
 
+OPTIONAL = {"report_generated_at", "scored_at"}
+
 # Columns never summed by default (rates, averages, ids, labels)
 NOT_SUMMED = {"avg_amount", "fraud_rate_pct", "overall_fraud_rate", "avg_transaction_amount",
               "id", "Class", "Amount_quartile", "fraud_probability", "model_version",
@@ -41,7 +43,12 @@ NOT_SUMMED = {"avg_amount", "fraud_rate_pct", "overall_fraud_rate", "avg_transac
 
 
 def typed_view(df: DataFrame, name: str) -> DataFrame:
+    """The view's columns in their types. A missing column raises, but for the
+    stamps and model names in ``OPTIONAL``, which unstamped frames do without."""
     types = VIEW_TYPES[name]
+    missing = [c for c in types if c not in df.columns and c not in OPTIONAL]
+    if missing:
+        raise ValueError(f"{name} lacks the columns {missing}")
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in types.items() if c in df.columns])
 
 
@@ -84,6 +91,15 @@ def fraud_analysis(by_amount: DataFrame, by_quartile: DataFrame) -> DataFrame:
     return a.unionByName(q)
 
 
+def roc_by_model(curves: dict[str, DataFrame]) -> DataFrame:
+    """The ROC points of each model in one table."""
+    out = None
+    for model, points in curves.items():
+        part = points.select(F.lit(model).alias("model"), "threshold", "fpr", "tpr")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def performance_page(perf: DataFrame) -> DataFrame:
     return perf.select("model_name", "model_version", "auc_roc", "precision", "recall", "f1_score")
 

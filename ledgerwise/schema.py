@@ -41,8 +41,6 @@ SUMMARY_COLS = V_COLS + ["Amount", "Amount_log"]
 
 # Provenance columns of bronze, dropped at silver
 PROVENANCE_COLS = ["ingestion_timestamp", "data_source", "source_endpoint"]
-DEFAULT_SOURCE = "kaggle_api"
-DEFAULT_ENDPOINT = "https://www.kaggle.com/api/v1/datasets/download"
 
 # Table names
 BRONZE = "bronze_transactions"
@@ -55,6 +53,7 @@ GOLD_SCORES = "gold_fraud_scores"
 GOLD_PERFORMANCE = "gold_model_performance"
 RUNS = "experiment_runs"
 REGISTRY = "model_registry"
+ROC = "roc_points"
 MODEL_NAME = "fraud-detection-model"
 EXPERIMENT_NAME = "fraud-detection-experiment"
 # ---------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import re
 import tempfile
 import uuid
@@ -65,9 +66,28 @@ def _join(base: str, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def stage_scope(spark: SparkSession):
+    """Removes the intermediate tables made inside when the block ends. For jobs
+    that write their results: what is still to be read must not depend on them."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A unique path under the checkpoint folder for an intermediate table."""
-    return _join(checkpoint_dir(spark), f"ledgerwise-stage/{name}-{uuid.uuid4().hex}")
+    path = _join(checkpoint_dir(spark), f"ledgerwise-stage/{name}-{uuid.uuid4().hex}")
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -81,16 +101,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, rows: int | None = None, rows_per_partition: int = 100_000) -> DataFrame:
-    """At least one partition per core of the cluster (``defaultParallelism``)
-    for CPU-heavy per-row work (model fitting, scoring); more for large inputs
-    (one per ``rows_per_partition`` rows when ``rows`` is known). A no-op when
-    the input already has enough partitions, as it does at scale."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if rows is not None:
-        want = max(want, -(-rows // rows_per_partition))
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)

@@ -32,7 +32,9 @@ def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     broadcast threshold, otherwise a sort-merge join.
     """
     emb = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    n = emb.count()
+    n, low, high = emb.agg(F.count(F.lit(1)), F.min("vec_id"), F.max("vec_id")).first()
+    if (low, high) != (0, n - 1):
+        raise ValueError("vec_id must run from 0 to the number of embeddings less one")
     ev = _table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     ev = ev.withColumn("_vec", F.col("event_id") % F.lit(n))
     j = ev.join(emb, ev["_vec"] == emb["vec_id"], "inner")

@@ -30,6 +30,10 @@ class Lakehouse:
         return cls(spark, _join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}"))
 
     def path(self, name: str) -> str:
+        """Files of ``name``; with a catalog, ``root`` is a database and files that
+        are no tables (models, artifacts) go beside its tables."""
+        if self.catalog:
+            return _join(self.spark.catalog.getDatabase(self.spark.catalog.currentDatabase()).locationUri, f"_files/{self.root}/{name}")
         return _join(self.root, name)
 
     def write(self, df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
@@ -47,11 +51,8 @@ class Lakehouse:
     def exists(self, name: str) -> bool:
         if self.catalog:
             return self.spark.catalog.tableExists(name)
-        try:
-            self.read(name).schema
-            return True
-        except Exception:
-            return False
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
     def view(self, name: str) -> DataFrame:
         df = self.read(name)

@@ -3,9 +3,9 @@
 The same bronze step as ``plans.medallion.build_bronze`` (raw columns plus
 ingest stamp, source and endpoint), run as a file-source stream: each new
 CSV file landed in the folder is read once, with the declared schema (no
-inference), and appended to the bronze table. The checkpoint (under the
-session's checkpoint folder unless given) records which files were taken, so
-a restarted or failed job neither drops nor repeats a file.
+inference), and appended to the bronze table. The checkpoint (beside the
+bronze table unless given) records which files were taken, so a restarted,
+failed or repeated job neither drops nor repeats a file.
 ``trigger(availableNow=True)`` drains what has landed and stops, which keeps
 it a batch job for a scheduler.
 """
@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
 from ..plans.medallion import add_provenance
-from ..session import stage_path
 
 
 def landed_stream(spark: SparkSession, landing_dir: str, schema: T.StructType = S.RAW_SCHEMA,
@@ -31,14 +30,13 @@ def landed_stream(spark: SparkSession, landing_dir: str, schema: T.StructType =
 
 
 def ingest_landed(spark: SparkSession, landing_dir: str, bronze_path: str,
-                  checkpoint: str | None = None, source: str = S.DEFAULT_SOURCE,
-                  endpoint: str = S.DEFAULT_ENDPOINT, fmt: str = "parquet",
+                  source: str, endpoint: str, checkpoint: str | None = None, fmt: str = "parquet",
                   wait: bool = True) -> StreamingQuery:
     """Append every not-yet-ingested landed file to the bronze table."""
     stream = add_provenance(landed_stream(spark, landing_dir), source, endpoint)
     q = (stream.writeStream.format(fmt).outputMode("append")
          .option("path", bronze_path)
-         .option("checkpointLocation", checkpoint or stage_path(spark, "bronze-stream"))
+         .option("checkpointLocation", checkpoint or bronze_path.rstrip("/") + "_checkpoint")
          .trigger(availableNow=True)
          .start())
     if wait:
