@@ -31,12 +31,12 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session(master="local[8]", shuffle_partitions=8)
     txn = materialize(FX.txn(spark, sf), "plan-txn")
-    n = txn.count()
+    from ledgerwise.operators import profile as P
     cases = {
-        "percent_rank (distributed)": R.with_percent_rank(txn.select("id", "Amount"), "Amount", "p",
-                                                           method="distributed", n=n),
-        "ntile (distributed; borders found beforehand)": R.with_ntile(txn.select("id", "Amount"), "Amount", 4,
-                                                                      "id", "q", method="distributed", n=n),
+        "percent_rank (steps found beforehand)": R.with_percent_rank(txn.select("id", "Amount"), "Amount", "p"),
+        "ntile (borders found beforehand)": R.with_ntile(txn.select("id", "Amount"), "Amount", 4, "id", "q"),
+        "correlation_matrix": P.correlation_matrix(txn, ["V1", "V2", "Amount"]),
+        "histogram": P.histogram(txn, ["Amount"], 50, "Class"),
         "dedupe": Q.dedupe(FX.lineitem(spark, sf), checks.LINEITEM_KEYS),
         "auc_roc": M.auc_roc(checks._score(txn), "Class", "score"),
         "fraud_by_amount from raw tables": checks.q_fraud_by_amount(spark, sf),
