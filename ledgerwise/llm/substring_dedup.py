@@ -24,6 +24,8 @@ compact into spans (doc_id, start, end, source_doc, source_start), and a join
 of the texts with their spans yields what is kept. Every grouping is by a key
 of 128 bits with map-side combine; copies of a passage are compared with the
 passage's source, never with each other, so the work is linear in the words.
+Grouped tables are written before rows are joined to them: both sides of the
+join are then plain shuffles, of which adaptive execution can split a hot key.
 
 Results in odd cases: a null or empty text has no words; rows of one doc_id are
 one document and never remove each other's words; a null id counts as larger
@@ -157,16 +159,19 @@ def repeated_edges(docs: DataFrame, window: int = 50, anchor: int = 10,
     texts = _texts(docs, id_col, text_col)
     pieces = materialize(_pieces(texts, window, anchor), "pieces")
     twice = pieces.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
-    shared = materialize(pieces.join(twice.select("anchor"), "anchor"), "shared-pieces")
+    twice = materialize(twice.select("anchor"), "shared-anchors")
+    shared = materialize(pieces.join(twice, "anchor"), "shared-pieces")
     classes = materialize(_with_source(shared), "piece-classes")
     whole = _occurrences(shared, classes)
 
     branching = classes.groupBy("anchor").agg(F.count("*").alias("ways")).filter("ways > 1").select("anchor")
+    branching = materialize(branching, "branching-anchors")
     ways = classes.join(branching, "anchor").select("anchor", "digest", "n", F.col("source.doc").alias("source_doc"))
+    ways = materialize(ways, "branching-pieces")
     split = (shared.join(ways, ["anchor", "digest", "n"]).filter("doc = source_doc")
              .groupBy("doc", "row").agg(F.collect_list(F.struct("start", "n")).alias("pieces")))
     edges = materialize(_edges(texts.join(split, ["doc", "row"]).select("doc", "row", "text", "pieces"), window, anchor), "branch-edges")
-    single = _occurrences(edges, _with_source(edges))
+    single = _occurrences(edges, materialize(_with_source(edges).filter("last > source.doc"), "edge-classes"))
     return whole.unionByName(single)
 
 
