@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import columns as C
+from ..session import materialize
 from . import ranks
 
 
@@ -26,10 +27,11 @@ def add_scalar_features(df: DataFrame, amount: str = S.AMOUNT_COL) -> DataFrame:
 
 def add_rank_features(df: DataFrame, amount: str = S.AMOUNT_COL, tiebreak: str = S.ID_COL) -> DataFrame:
     """``Amount_percentile`` (percent_rank rounded to 4) and ``Amount_quartile``
-    (ntile 4, ties broken by ``id``) over the whole table. Both are found on
-    ``df`` first and applied as projections."""
-    tile = ranks.ntile_column(df, amount, 4, tiebreak)
-    steps = ranks.percent_rank_steps(df, amount, 4)
+    (ntile 4, ties broken by ``id``) over the whole table. Both are read off one
+    table of ranked amounts first and applied as projections."""
+    ranked = materialize(ranks.ranked_values(df, amount), "ranked-amounts")
+    tile = ranks.ntile_column(df, amount, 4, tiebreak, ranked=ranked)
+    steps = ranks.percent_rank_steps(ranked, amount, 4)
     return ranks.apply_percent_rank(df, amount, "Amount_percentile", steps).withColumn("Amount_quartile", tile)
 
 

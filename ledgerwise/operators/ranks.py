@@ -280,13 +280,23 @@ def _border_keys(df: DataFrame, value: str, tiebreak: str, borders: list[int], n
     return out
 
 
-def ntile_column(df: DataFrame, value: str, k: int, tiebreak: str, **search) -> Column:
+def _positions_in(ranked: DataFrame, value: str, positions: list[int], n_null: int) -> dict[tuple, tuple]:
+    """Order statistics read off a table of ranked values; positions count valid rows."""
+    at = F.from_json(F.lit(json.dumps([p + n_null for p in positions])), "array<bigint>")
+    hits = F.filter(at, lambda x: (x > F.col("_before")) & (x <= F.col("_before") + F.col("_cnt")))
+    rows = ranked.withColumn("_hits", hits).filter(F.size("_hits") > 0).collect()
+    return {((), x - n_null): (r[value], r["_before"] - n_null, r["_cnt"]) for r in rows for x in r["_hits"]}
+
+
+def ntile_column(df: DataFrame, value: str, k: int, tiebreak: str, ranked: DataFrame | None = None, **search) -> Column:
     """The tile of ``ntile(k) over (order by value, tiebreak)`` as a column
     expression: the ``k - 1`` border keys are found on ``df`` now (a few
     small jobs), and the returned expression compares a row's (value,
     tiebreak) key with them, so it can be applied to ``df`` or to any frame
     derived from it that keeps both columns, without recomputing that frame.
     Struct comparison orders null first and NaN last, as the window does.
+    With ``ranked`` (``ranked_values`` of the same rows) the borders' values are
+    read off that table.
     """
     agg = df.agg(F.count(F.lit(1)).alias("n"),
                  F.count_if(F.col(value).isNull()).alias("nulls"),
@@ -294,7 +304,10 @@ def ntile_column(df: DataFrame, value: str, k: int, tiebreak: str, **search) ->
     n, n_null, n_valid = agg["n"], agg["nulls"], agg["valid"]
     borders = [p for p in _tile_borders(n, k) if 1 <= p < n]
     inner = sorted({p - n_null for p in borders if n_null < p <= n_null + n_valid})
-    stats = order_statistics(df, value, {(): inner}, group_sizes={(): n_valid}, **search) if inner else {}
+    if ranked is not None:
+        stats = _positions_in(ranked, value, inner, n_null)
+    else:
+        stats = order_statistics(df, value, {(): inner}, group_sizes={(): n_valid}, **search)
     keys = _border_keys(df, value, tiebreak, borders, n_null, n_valid, stats, **search)
     vt = df.schema[value].dataType
     tt = df.schema[tiebreak].dataType
@@ -324,11 +337,11 @@ def ranked_values(df: DataFrame, value: str, partitions: int | None = None) -> D
         .withColumnRenamed("_before__cnt", "_before").withColumnRenamed("_total__cnt", "_n")
 
 
-def percent_rank_steps(df: DataFrame, value: str, digits: int = 4, partitions: int | None = None) -> list[tuple]:
-    """(rank, smallest non-null value of that rank as a string) in rank order:
-    at most ``10**digits + 1`` rows."""
+def percent_rank_steps(ranked: DataFrame, value: str, digits: int = 4) -> list[tuple]:
+    """(rank, smallest non-null value of that rank as a string) in rank order, from
+    ``ranked_values``: at most ``10**digits + 1`` rows."""
     rank = F.when(F.col("_n") > 1, F.round(F.col("_before").cast("double") / (F.col("_n") - 1).cast("double"), digits)).otherwise(F.lit(0.0))
-    steps = (ranked_values(df, value, partitions).filter(F.col(value).isNotNull())
+    steps = (ranked.filter(F.col(value).isNotNull())
              .groupBy(rank.alias("rank")).agg(F.min(value).cast("string").alias("low")))
     return sorted((r["rank"], r["low"]) for r in steps.collect())
 
@@ -346,4 +359,4 @@ def apply_percent_rank(df: DataFrame, value: str, out: str, steps: list[tuple])
 def with_percent_rank(df: DataFrame, value: str, out: str, digits: int = 4, partitions: int | None = None) -> DataFrame:
     """``round(percent_rank() over (order by value), digits)``: the rows are
     only projected."""
-    return apply_percent_rank(df, value, out, percent_rank_steps(df, value, digits, partitions))
+    return apply_percent_rank(df, value, out, percent_rank_steps(ranked_values(df, value, partitions), value, digits))

@@ -186,3 +186,13 @@ def test_skewed_600k_rows_equal_windows(spark):
     j = _both(li)
     bad = j.filter((F.col("w") != F.col("d")) | ~F.col("pw").eqNullSafe(F.col("pd"))).count()
     assert j.count() == li.count() and bad == 0
+
+
+def test_tiles_read_off_the_ranked_table(spark):
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit(5.0)).when(F.col("o_orderkey") % 4 == 1, F.lit(None))
+        .when(F.col("o_orderkey") % 5 == 1, F.lit(NAN)).otherwise(F.round(F.col("o_totalprice") / 500)).alias("v")).cache()
+    ranked = R.ranked_values(o, "v", partitions=7)
+    got = ntile_window(o, "v", 9, "id", "w").withColumn("d", R.ntile_column(o, "v", 9, "id", ranked=ranked))
+    assert got.filter("w <> d").count() == 0 and got.select("d").distinct().count() == 9
