@@ -93,6 +93,14 @@ def test_keep_one_drops_only_copies(odd_docs):
     assert kept == {d for d, c in found.items() if d == c}
 
 
+def test_near_duplicates_with_null_ids(spark):
+    rows = [(None, "a b c d"), (7, "A b  c D"), (3, "a b c d"), (None, "other words here now")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in SH.near_duplicates(df).collect()}
+    assert got == {(None, 3), (7, 3), (3, 3), (None, None)}
+    assert sorted(str(r.doc_id) for r in SH.keep_one(df).collect()) == ["3", "None", "None"]
+
+
 def test_components_of_a_path(spark):
     from ledgerwise.llm.graph import components
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "u long, v long")

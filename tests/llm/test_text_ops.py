@@ -241,3 +241,31 @@ def test_ball_tables_find_all_within_radius():
             if np.unpackbits(queries[i] ^ c.prints[j]).sum() <= DC.RADIUS}
     got = {(j, int(i)) for j, at in c.candidates(queries) for i in at}
     assert got == want and len(want) > 100
+
+
+def test_crf_gradients_match_differences():
+    """The likelihood by enumeration of all paths, against the forward-backward gradients."""
+    from itertools import product
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 2, (3, 4, 2)).astype(float)
+    mask = np.array([[1, 1, 1, 1], [1, 1, 0, 0], [1, 0, 0, 0]], dtype=float)
+    gold = rng.integers(0, 2, (3, 4))
+    truth, weight = np.eye(2)[gold] * mask[:, :, None], np.array([0.2, 0.5, 0.3])
+    w, t = rng.normal(size=(2, 2)), rng.normal(size=(2, 2))
+
+    def likelihood():
+        total = 0.0
+        for i in range(3):
+            n = int(mask[i].sum())
+            score = lambda p: sum(w[s] @ x[i, j] for j, s in enumerate(p)) + sum(t[a, b] for a, b in zip(p, p[1:]))  # noqa: B023,E731
+            total += weight[i] * (score(gold[i, :n]) - np.log(sum(np.exp(score(p)) for p in product((0, 1), repeat=n))))
+        return total
+
+    for value, grad in zip((w, t), QL._crf_gradients(w, t, x, mask, truth, weight)):
+        for i in np.ndindex(value.shape):
+            old, both = value[i], []
+            for shift in (1e-5, -1e-5):
+                value[i] = old + shift
+                both.append(likelihood())
+            value[i] = old
+            assert abs((both[0] - both[1]) / 2e-5 - grad[i]) < 1e-6
