@@ -169,7 +169,7 @@ read AS (
   SELECT source_id, target_uri, warc_date, 'sha256:' || sha256(html) AS source_digest,
          {_sql_urn("source_id || '|conversion'")} AS text_id, {_sql_urn("source_id || '|metadata'")} AS meta_id,
          {_sql_text("html")} AS text, trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title', 1), chr(32) || chr(10)) AS title,
-         regexp_extract_all(html, '(?i)<a\s[^>]*?href="([^"]*)"', 1) AS links, strlen(html) AS size
+         regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1) AS links, strlen(html) AS size
   FROM src),
 filled AS (
   SELECT *, CASE WHEN title <> '' THEN 'title: ' || title || {_CRLF} ELSE '' END
