@@ -4,7 +4,9 @@ Alternating large-star and small-star steps (Kiveris et al., "Connected
 Components in MapReduce and Beyond", SoCC 2014): every step replaces a node's
 edges by edges to the smallest neighbour it knows, so the edge count never
 grows and a path of n nodes needs O(log n) rounds. Each round is written to
-the shared checkpoint folder; only its count and checksum reach the driver.
+the shared checkpoint folder; only its count and checksum reach the driver. The
+smallest neighbours are written before edges are joined to them, so that adaptive
+execution can split a node with many edges.
 """
 
 from __future__ import annotations
@@ -18,13 +20,14 @@ from ledgerwise.session import materialize
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m"))
+    low = materialize(low, "cc-low")
     return (both.filter("v > u").join(low, "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
-    low = down.groupBy("u").agg(F.min("v").alias("m"))
+    low = materialize(down.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
     moved = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 

@@ -118,7 +118,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
     placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "low", F.coalesce("root", "fp").alias("root"))
     placed = materialize(placed, "simhash-class")
-    lows = placed.groupBy("root").agg(F.min("low").alias("component_id"))
+    # written, so that the join can split a root that holds many fingerprints
+    lows = materialize(placed.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-low")
     by_fp = placed.join(lows, "root").select("fp", "component_id")
     return each.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
