@@ -111,7 +111,8 @@ def dropped_positions(docs: DataFrame, min_chars: int, min_docs: int, n_batches:
     frequent = runs.frequent()
     if frequent is None:
         return keys.select("doc", "text_hash", F.array("pos").alias("drops")).limit(0)
-    gone = keys.join(frequent, KEY).filter(F.col("doc") != F.col("last_doc"))
+    # written, so that the join can split a key that many lines have
+    gone = keys.join(materialize(frequent, "frequent-lines"), KEY).filter(F.col("doc") != F.col("last_doc"))
     return gone.groupBy("doc", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("drops"))
 
 
