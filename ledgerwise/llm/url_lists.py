@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerwise.session import materialize
+
 PERIOD_DAYS = 32
 FOREVER = "9999-12-31"
 
@@ -94,6 +96,7 @@ def judge(captures: DataFrame, events: DataFrame, url_col: str = "url", day_col:
     rank = F.struct((-F.char_length("pattern")).alias("length"), F.col("verb"), F.col("list"), F.col("pattern"))
     verdict = (hits.groupBy("url", "day").agg(F.count("*").alias("n_active"), F.min(rank).alias("first"))
                .select(F.col("url").alias("v_url"), F.col("day").alias("v_day"), "n_active", "first"))
+    verdict = materialize(verdict, "url-verdicts")  # so that the join can split a hot URL
     names = [c for c in captures.columns if c not in ("blocked", "list", "pattern", "n_active")]
     rows = captures.select(F.struct(*names).alias("row"))
     joined = rows.join(verdict, (F.col("row")[url_col] == F.col("v_url")) & (F.col("row")[day_col] == F.col("v_day")), "left")
