@@ -57,15 +57,6 @@ def stratified_split(df: DataFrame, test_frac: float = 0.2, seed: int = 42,
     return x.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train"))).select(*df.columns, out)
 
 
-def hash_split(df: DataFrame, test_frac: float = 0.2, seed: int = 42, id_col: str = "id",
-               out: str = "split") -> DataFrame:
-    """Fixed hash threshold: a row's side never changes when other rows come
-    or go; class shares are only approximately kept. A pure projection."""
-    h = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 20))
-    return df.withColumn(out, F.when(h < F.lit(int(test_frac * (1 << 20))), F.lit("test"))
-                         .otherwise(F.lit("train")))
-
-
 def split_report(df: DataFrame, label: str = "Class", split: str = "split") -> DataFrame:
     """Size and fraud rate of both sides, one grouped aggregate."""
     return df.groupBy(split).agg(

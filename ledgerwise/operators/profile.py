@@ -16,7 +16,7 @@ from .. import schema as S
 from ..functions.columns import no_nan
 from ..session import materialize
 from . import ranks
-from .aggregates import with_share
+from .aggregates import top_k, with_share
 
 
 def class_distribution(df: DataFrame, label: str = S.LABEL_COL) -> DataFrame:
@@ -139,7 +139,7 @@ def top_correlated(df: DataFrame, k: int = 10, cols: Sequence[str] = S.V_COLS +
                    label: str = S.LABEL_COL, digits: int | None = None) -> DataFrame:
     """Top ``k`` columns by absolute correlation with the label."""
     lc = label_correlation(df, cols, label).withColumn("abs_corr", F.abs("corr"))
-    top = lc.orderBy(F.col("abs_corr").desc_nulls_last(), F.col("feature").asc()).limit(k)
+    top = top_k(lc, k, "abs_corr", ties=["feature"])
     if digits is not None:
         top = top.select("feature", F.round("corr", digits).alias("corr"),
                          F.round("abs_corr", digits).alias("abs_corr"))

@@ -19,6 +19,7 @@ from ..ml.score import model_performance, prediction_distribution, risk_distribu
 from ..operators import aggregates as A
 from ..operators import features as FE
 from ..operators import quality as Q
+from ..sources.catalog import drop_columns
 from ..sources.files import cast_schema
 from ..sources.lakehouse import Lakehouse
 from ..session import materialize, stage_scope
@@ -40,7 +41,7 @@ def silver_frame(bronze: DataFrame, strict_cast: bool = False, stamp: bool = Tru
     The deduplicated, typed rows are materialized once (parquet under the
     checkpoint folder) because the rank features read them several times.
     """
-    base = bronze.drop(*S.PROVENANCE_COLS, "source_file")
+    base = drop_columns(bronze, [*S.PROVENANCE_COLS, "source_file"])
     typed = materialize(cast_schema(Q.dedupe(base, [S.ID_COL]), S.SILVER_TYPES, strict=strict_cast), "silver-typed")
     out = FE.engineer(typed)
     return out.withColumn("silver_processed_at", F.current_timestamp()) if stamp else out

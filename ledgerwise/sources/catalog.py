@@ -64,7 +64,3 @@ def show(df: DataFrame, n: int = 20, truncate: bool = False) -> None:
 def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
     """Drop columns; names that do not exist are ignored."""
     return df.drop(*names)
-
-
-def stamp(df: DataFrame, name: str) -> DataFrame:
-    return df.withColumn(name, F.current_timestamp())
