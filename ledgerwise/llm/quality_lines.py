@@ -275,42 +275,32 @@ def fit_crf(sample: list, steps: int = 120, rate: float = 0.2, l2: float = 1e-3)
     """Maximum likelihood by gradient ascent (Adam) with batched forward-backward."""
     if {q for q, _ in sample} != {0, 1}:
         return DEFAULT
-    n, width, k = len(sample), max(len(x) for _, x in sample), len(FEATURES)
-    mask = np.zeros((n, width))
-    x = np.zeros((n, width, k))
-    truth = np.zeros((n, width, 2))
-    poor = np.array([q == 0 for q, _ in sample])
+    k = len(FEATURES)
     signs = [FEATURES.index(f) for f in SIGNS]
-    for i, (q, codes) in enumerate(sample):
-        mask[i, :len(codes)] = 1
-        x[i, :len(codes)] = (np.array(codes)[:, None] >> np.arange(k)) & 1
-        junk = (q == 0) & (x[i][:, signs].sum(1) > 0)
-        truth[i] = np.eye(2)[np.where(junk, BOILERPLATE, CONTENT)] * mask[i, :, None]
-    # each document weighs the same, and so does each class
-    weight = np.where(poor, 0.5 / poor.sum(), 0.5 / (~poor).sum()) / mask.sum(1)
+    n_poor = sum(q == 0 for q, _ in sample)
+    # sequences of like length share an array
+    by_width: dict[int, list] = {}
+    for q, codes in sample:
+        by_width.setdefault(1 << (len(codes) - 1).bit_length(), []).append((q, codes))
+    parts = []
+    for width, rows in sorted(by_width.items()):
+        mask, x = np.zeros((len(rows), width)), np.zeros((len(rows), width, k))
+        truth, weight = np.zeros((len(rows), width, 2)), np.zeros(len(rows))
+        for i, (q, codes) in enumerate(rows):
+            mask[i, :len(codes)] = 1
+            x[i, :len(codes)] = (np.array(codes)[:, None] >> np.arange(k)) & 1
+            junk = (q == 0) & (x[i][:, signs].sum(1) > 0)
+            truth[i] = np.eye(2)[np.where(junk, BOILERPLATE, CONTENT)] * mask[i, :, None]
+            # each document weighs the same, and so does each class
+            weight[i] = 0.5 / (n_poor if q == 0 else len(sample) - n_poor) / len(codes)
+        parts.append((x, mask, truth, weight))
     w, t = np.zeros((2, k)), np.zeros((2, 2))
     moments = [np.zeros_like(w), np.zeros_like(t), np.zeros_like(w), np.zeros_like(t)]
-
-    def lse(a, axis):
-        top = a.max(axis=axis, keepdims=True)
-        return np.squeeze(top, axis) + np.log(np.exp(a - top).sum(axis=axis))
-
     for step in range(1, steps + 1):
-        e = x @ w.T
-        alpha, beta = np.zeros((n, width, 2)), np.zeros((n, width, 2))
-        alpha[:, 0] = e[:, 0]
-        for j in range(1, width):
-            new = e[:, j] + lse(alpha[:, j - 1][:, :, None] + t, 1)
-            alpha[:, j] = np.where(mask[:, j, None] > 0, new, alpha[:, j - 1])
-        for j in range(width - 2, -1, -1):
-            new = lse(t + (e[:, j + 1] + beta[:, j + 1])[:, None, :], 2)
-            beta[:, j] = np.where(mask[:, j + 1, None] > 0, new, 0)
-        z = lse(alpha[:, -1], 1)
-        state = np.exp(alpha + beta - z[:, None, None]) * mask[:, :, None]
-        pair = np.exp(alpha[:, :-1, :, None] + t + (e + beta)[:, 1:, None, :] - z[:, None, None, None]) * mask[:, 1:, None, None]
-        gold_pair = truth[:, :-1, :, None] * truth[:, 1:, None, :]
-        grads = [np.einsum("njs,njk,n->sk", truth - state, x, weight) - l2 * w,
-                 np.einsum("njab,n->ab", gold_pair - pair, weight) - l2 * t]
+        grads = [-l2 * w, -l2 * t]
+        for part in parts:
+            for g, d in zip(grads, _crf_gradients(w, t, *part)):
+                g += d
         for i, (p, g) in enumerate(zip((w, t), grads)):
             moments[i] = 0.9 * moments[i] + 0.1 * g
             moments[i + 2] = 0.999 * moments[i + 2] + 0.001 * g * g
@@ -318,5 +308,31 @@ def fit_crf(sample: list, steps: int = 120, rate: float = 0.2, l2: float = 1e-3)
     return Crf(w, t)
 
 
+def _lse(a: np.ndarray, axis: int) -> np.ndarray:
+    top = a.max(axis=axis, keepdims=True)
+    return np.squeeze(top, axis) + np.log(np.exp(a - top).sum(axis=axis))
+
+
+def _crf_gradients(w, t, x, mask, truth, weight) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the weighted log likelihood of padded sequences, by forward
+    and backward sums."""
+    e = x @ w.T
+    alpha, beta = np.zeros_like(e), np.zeros_like(e)
+    alpha[:, 0] = e[:, 0]
+    width = e.shape[1]
+    for j in range(1, width):
+        new = e[:, j] + _lse(alpha[:, j - 1][:, :, None] + t, 1)
+        alpha[:, j] = np.where(mask[:, j, None] > 0, new, alpha[:, j - 1])
+    for j in range(width - 2, -1, -1):
+        new = _lse(t + (e[:, j + 1] + beta[:, j + 1])[:, None, :], 2)
+        beta[:, j] = np.where(mask[:, j + 1, None] > 0, new, 0)
+    z = _lse(alpha[:, -1], 1)
+    state = np.exp(alpha + beta - z[:, None, None]) * mask[:, :, None]
+    pair = np.exp(alpha[:, :-1, :, None] + t + (e + beta)[:, 1:, None, :] - z[:, None, None, None]) * mask[:, 1:, None, None]
+    gold_pair = truth[:, :-1, :, None] * truth[:, 1:, None, :]
+    return (np.einsum("njs,njk,n->sk", truth - state, x, weight, optimize=True),
+            np.einsum("njab,n->ab", gold_pair - pair, weight, optimize=True))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Crf:
     return fit_crf(fit_sample(docs, labels))
