@@ -92,6 +92,11 @@ def links(fps: DataFrame, max_bits: int = 2, segments: int = SEGMENTS) -> DataFr
         raise ValueError("the ball enumeration covers max_bits 0, 1 and 2")
     if max_bits == 0:
         return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
+    # a set number of partitions: adaptive execution would size them by the
+    # fingerprints, which the table holds 65 times (by a hash of fp, as a plain
+    # repartition by fp is left out after a grouping by fp)
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fps = fps.repartition(parts, F.xxhash64("fp"))
     flips = F.array(F.lit(0).cast("long"), *[F.lit(m) for m in _flips(segments)])
     table = (fps.select("fp", F.explode(flips).alias("flip"))
              .select(F.col("fp").bitwiseXOR(F.col("flip")).alias("key"), "flip"))
