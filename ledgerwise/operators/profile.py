@@ -98,31 +98,40 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: str | None
     return out
 
 
+PAIRS_PER_AGGREGATE = 8  # ten running sums each; wider aggregates leave code generation
+
 # --- correlation -----------------------------------------------------------------
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson ``(x, y, r)`` for each column pair, over the rows where both
     are present (not null, not NaN), as pandas pairs them; null when either
-    side is constant (no division by zero). One aggregate over the columns
-    (``regr_*`` skip a row with a null on either side); rows are
-    neither expanded nor moved.
+    side is constant (no division by zero). Aggregates over the columns
+    (``regr_*`` skip a row with a null on either side), so many pairs at a time
+    as still run as compiled code; rows are neither expanded nor moved.
     """
     pairs = list(dict.fromkeys(pairs))
     names = list(dict.fromkeys(c for p in pairs for c in p))
     at = {c: f"_c{i}" for i, c in enumerate(names)}
     clean = df.select(*[no_nan(F.col(c).cast("double")).alias(at[c]) for c in names])
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(at[a]), F.col(at[b])
-        aggs += [F.regr_sxy(y, x).alias(f"_xy{i}"), F.regr_sxx(y, x).alias(f"_xx{i}"), F.regr_syy(y, x).alias(f"_yy{i}")]
-    row = clean.agg(*aggs)
-
-    def r(i):
-        den = F.sqrt(F.col(f"_xx{i}")) * F.sqrt(F.col(f"_yy{i}"))
-        return F.when(den > 0, F.col(f"_xy{i}") / den)
-
-    return row.select(F.inline(F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r(i).alias("r"))
-                                         for i, (a, b) in enumerate(pairs)])))
+
+    def some(part: list[tuple[str, str]]) -> DataFrame:
+        aggs = []
+        for i, (a, b) in enumerate(part):
+            x, y = F.col(at[a]), F.col(at[b])
+            aggs += [F.regr_sxy(y, x).alias(f"_xy{i}"), F.regr_sxx(y, x).alias(f"_xx{i}"), F.regr_syy(y, x).alias(f"_yy{i}")]
+
+        def r(i):
+            den = F.sqrt(F.col(f"_xx{i}")) * F.sqrt(F.col(f"_yy{i}"))
+            return F.when(den > 0, F.col(f"_xy{i}") / den)
+
+        return clean.agg(*aggs).select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r(i).alias("r")) for i, (a, b) in enumerate(part)])))
+
+    out = None
+    for lo in range(0, len(pairs), PAIRS_PER_AGGREGATE):
+        part = some(pairs[lo:lo + PAIRS_PER_AGGREGATE])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def label_correlation(df: DataFrame, cols: Sequence[str] = S.V_COLS + ["Amount"],
