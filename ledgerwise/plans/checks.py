@@ -760,13 +760,13 @@ ORACLE: dict[str, str] = {
     "count(*) OVER (PARTITION BY Class) AS n FROM txn) SELECT id, Class, CASE WHEN r <= floor(0.2 * n + 0.5) THEN 'test' "
     "ELSE 'train' END AS split FROM k",
     **{f"{k}_scores": _holdout_sql() for k in ("lr", "rf", "gbt")},
-    "feature_importance": f"SELECT unnest(['rf', 'gbt']) AS model, {len(S.MODEL_FEATURES)} AS features, 1.0 AS total, 0 AS negative",
+    "feature_importance": f"SELECT unnest(['rf', 'gbt']) AS model, CAST({len(S.MODEL_FEATURES)} AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS negative",
     "compare_models": "SELECT unnest(['LogisticRegression', 'RandomForest', 'GradientBoostedTrees']) AS model_type, true AS metrics_ok, "
     "true AS in_order",
-    "best_run": "SELECT 3 AS runs, true AS auc_ok",
-    "model_performance": f"SELECT '{S.MODEL_NAME}' AS model_name, 1 AS model_version, count(*) AS total_scored, true AS flagged_ok, "
+    "best_run": "SELECT CAST(3 AS BIGINT) AS runs, true AS auc_ok",
+    "model_performance": f"SELECT '{S.MODEL_NAME}' AS model_name, CAST(1 AS BIGINT) AS model_version, count(*) AS total_scored, true AS flagged_ok, "
     "true AS metrics_ok FROM embeddings",
-    "performance_page": f"SELECT '{S.MODEL_NAME}' AS model_name, 1 AS model_version, true AS auc_roc_ok, true AS precision_ok, "
+    "performance_page": f"SELECT '{S.MODEL_NAME}' AS model_name, CAST(1 AS BIGINT) AS model_version, true AS auc_roc_ok, true AS precision_ok, "
     "true AS recall_ok, true AS f1_score_ok",
     "executive_summary": WITH_SILVER + _kpis_sql(),
     "fraud_analysis": WITH_SILVER + ", a AS (" + _gold_by_amount_sql() + "), q AS (" + _gold_by_quartile_sql()
