@@ -48,7 +48,7 @@ STAGES = [
     ("mixing", stage_mixing),
 ]
 
-#: SQL can't express the line labels; tests/llm/test_pipeline.py has the brute-force version
+#: SQL can't express the line labels; tests/llm/test_corpus_pipeline.py has the brute-force version
 ORACLE_SQL = None
 
 
