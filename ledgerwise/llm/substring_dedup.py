@@ -209,11 +209,11 @@ def _kept(texts: DataFrame) -> DataFrame:
             for d in range(b.num_rows):
                 lo, hi = int(w.first[d]), int(w.first[d + 1])
                 if removed[d] == 0:
-                    texts_out.append(text_of(joined, starts, ends, lo, hi).decode())
+                    texts_out.append(text_of(joined, starts, ends, lo, hi).decode("utf-8", "replace"))
                     continue
                 edge = np.flatnonzero(np.diff(np.concatenate(([True], gone[lo:hi], [True])).astype(np.int8)))
                 runs = [text_of(joined, starts, ends, lo + a, lo + z) for a, z in edge.reshape(-1, 2).tolist()]
-                texts_out.append(b" ".join(runs).decode())
+                texts_out.append(b" ".join(runs).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc"), pa.array(w.counts.astype(np.int64)), pa.array(removed.astype(np.int64)),
                  pa.array(texts_out, pa.string())], ["doc", "n_words", "n_removed", "kept"])

@@ -61,7 +61,7 @@ class WordEndCounter:
                 size += len(pieces[hi])
                 hi += 1
             part = pieces[lo:hi]
-            found = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in part], add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)
             out.update(zip(part, map(len, found)))
             lo = hi
         return out
@@ -128,7 +128,7 @@ class WholeCounter:
             self._len = lambda s: len(t.encode(s, add_special_tokens=False))
 
     def count_all(self, texts: list[bytes]) -> list[int]:
-        return [self._len(t.decode("utf-8")) if t else 0 for t in texts]
+        return [self._len(t.decode("utf-8", "replace")) if t else 0 for t in texts]
 
 
 def _spec(path: str) -> dict:
