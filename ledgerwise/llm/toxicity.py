@@ -15,15 +15,18 @@ Training, in the driver, on a bounded sample: at most ``FIT_DOCS`` labelled
 documents of each class (those of smallest id hash), at most ``FIT_CHARS``
 characters of each. Two thirds fill the tables, one third trains the network
 (Adam, backpropagation through time), so it sees the tables as new documents do.
-The gradient of a document runs through its best window.
+The gradient of a document runs through its best window. As the limit per class
+binds on large inputs, the sample's class ratio is not that of the labels; the
+classes are counted over all labelled rows, and the output bias and the prior are
+shifted to their ratio (``ratio_shift``), so a score means the same at any size.
 
 Scoring is one pass over the texts in Arrow batches; the model, four tables of
 ``BUCKETS`` bytes and some hundred weights, is broadcast.
 
-Results in odd cases: a null, empty or white-space text gets the sample's prior
-as its score, as does every text if a class has no labelled document; repeated
-rows are scored each; a null doc_id stays null and counts as not held out; an
-empty table gives an empty result; further columns are ignored.
+Results in odd cases: a null, empty or white-space text gets the labels' prior
+(0.01 to 0.49) as its score, as does every text if a class has no labelled
+document; repeated rows are scored each; a null doc_id stays null and counts as
+not held out; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -294,11 +297,13 @@ class Model:
         return np.clip(out, 0.0, 1.0), np.bincount(doc, minlength=len(counts))
 
 
-def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 0) -> Model:
-    """Tables and network from (text, label) in the order of their id hash."""
+def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 0, shift: float = 0.0) -> Model:
+    """Tables and network from (text, label) in the order of their id hash;
+    ``shift`` is added to the log odds of toxic that the sample has."""
     sample = [(t, y) for t, y in sample if t and t.split()]
     y = np.array([label for _, label in sample], dtype=int)
-    prior = float(np.clip(y.mean() if len(y) else 0.0, 0.01, 0.49))
+    odds = np.exp(shift) * y.sum()
+    prior = float(np.clip(odds / (odds + (y == 0).sum()) if len(y) else 0.0, 0.01, 0.49))
     if len(set(y.tolist())) < 2:
         return Model(prior)
     rng = np.random.default_rng(seed)
@@ -334,15 +339,28 @@ def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS, seed: int = 0) -> M
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 net.par[k] -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    net.par["p"] += shift
     return Model(prior, word_odds, gram_odds, net.typed(np.float32))
 
 
+def _usable(labels: DataFrame) -> DataFrame:
+    return labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+
+
+def ratio_shift(labels: DataFrame, fit_docs: int = FIT_DOCS) -> float:
+    """Log odds of toxic among all usable labels, less those among the ids that
+    ``fit_sample`` takes: zero if ``fit_docs`` binds on neither class."""
+    n = {r.toxic: r.n for r in _usable(labels).groupBy("toxic").agg(F.count_distinct("doc_id").alias("n")).collect()}
+    toxic, clean = (max(n.get(label, 0) / fit_docs, 1.0) for label in (1, 0))
+    return float(np.log(toxic / clean))
+
+
 def fit_sample(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS) -> list[tuple[str, int]]:
     """The bounded sample: labelled rows that are not held out, by id hash."""
     spark = docs.sparkSession
     ids = []
     for label in (0, 1):
-        ids += (labels.filter((F.col("toxic") == label) & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
+        ids += (_usable(labels).filter(F.col("toxic") == label).select("doc_id").distinct()
                 .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs).select("doc_id", F.lit(label).alias("toxic")).collect())
     chosen = spark.createDataFrame([(r.doc_id, r.toxic) for r in ids], "doc_id long, toxic int")
     # the id list is bounded by fit_docs, so it may be broadcast; texts do not move
@@ -357,8 +375,8 @@ def held_out(doc_id: F.Column) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    return fit(fit_sample(docs, labels))
+def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
+    return fit(fit_sample(docs, labels, fit_docs), shift=ratio_shift(labels, fit_docs))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

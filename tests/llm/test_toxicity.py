@@ -115,3 +115,28 @@ def test_one_class_or_no_labels(spark, odd_docs):
     model = TX.train(odd_docs.select("doc_id", "text"), none)
     assert model.network is None
     assert {r.score for r in TX.score(odd_docs, model).collect()} == {model.prior}
+
+
+def test_threshold_does_not_move_with_the_sample(spark):
+    """One labelled row in ten is toxic; the mark stands in 60% of the toxic and
+    10% of the clean rows, so a marked text is toxic with a chance of 0.4."""
+    rng = np.random.default_rng(4)
+    vocab, rows = [f"plain{i}" for i in range(300)], []
+    for i in range(6_000):
+        toxic = int(rng.random() < 0.1)
+        words = rng.choice(vocab, 12).tolist()
+        words[5] = "zzmark" if rng.random() < (0.6 if toxic else 0.1) else words[5]
+        rows.append((i, " ".join(words), toxic))
+    data = spark.createDataFrame(rows, "doc_id long, text string, toxic int").cache()
+    docs, labels = data.select("doc_id", "text"), data.select("doc_id", "toxic")
+    used = [t for i, _, t in rows if zlib.crc32(str(i).encode()) % 5]
+    share, texts = np.mean(used), pa.array([t for _, t, _ in rows])
+    marked = np.array(["zzmark" in t for _, t, _ in rows])
+    assert 400 < sum(used) < 1_000
+    for fit_docs in (10_000, 1_000, 300):  # binds on no class, on one, on both
+        model = TX.train(docs, labels, fit_docs)
+        score = model.score(texts)[0]
+        assert abs(model.prior - share) < 0.01
+        assert abs(score.mean() - share) < 0.04
+        assert (score[marked] >= 0.5).mean() < 0.2
+    assert TX.ratio_shift(labels, 10_000) == 0
