@@ -227,6 +227,37 @@ def test_leaks_in_item_blocks_and_empty(spark, odd_docs, monkeypatch):
     assert DC.remove_contaminated(odd_docs, bench.limit(0)).count() == odd_docs.count()
 
 
+def test_leaks_before_a_run_of_one_word(spark):
+    """Passages at the start of a text, followed by one repeated word, at a similarity just above 0.8."""
+    rng = np.random.default_rng(8)
+    items, docs = [], []
+    for i in range(12):
+        words = [f"w{rng.integers(10**6)}" for _ in range(200)]
+        items += [(i, " ".join(words)), (100 + i, " ".join(words[:179] + ["tail"] * 21))]
+        docs += [(i, " ".join(words[:180] + ["the"] * (20 + 5 * i))), (100 + i, " ".join(words))]
+    got = DC.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = brute_leaks(docs, items)
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 36
+
+
+def test_fingerprints_number_the_occurrences():
+    rng = np.random.default_rng(3)
+    h = rng.integers(1, 2**63, 6, dtype=np.uint64)[rng.integers(0, 6, 90)]
+    run = np.repeat([1, 2, 5], [40, 7, 43])
+    size = np.repeat([9, 7, 20], [40, 7, 43])
+    start = np.array([0, 1, 2, 17, 31, 40, 47, 50, 69, 70])
+    got = DC.window_fingerprints(h, run, size, start)
+    for s, fp in zip(start, got):
+        seen, elements = Counter(), []
+        for x in h[s:s + size[s]]:
+            seen[x] += 1
+            elements.append(DC.scramble(np.array([x]) ^ DC.scramble(np.array([seen[x]], dtype=np.uint64))))
+        first = np.concatenate(elements)
+        both = np.column_stack([first, DC.scramble(first ^ DC._SALT)])
+        bits = np.unpackbits(both.view(np.uint8), axis=1, bitorder="little")
+        assert np.array_equal(np.packbits(2 * bits.sum(axis=0) > size[s], bitorder="little"), fp)
+
+
 def test_ball_tables_find_all_within_radius():
     rng = np.random.default_rng(1)
     c = DC.ItemClass(10)
