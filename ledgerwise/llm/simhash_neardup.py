@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerwise.llm.blocks import Words, blocks
 from ledgerwise.llm.graph import components
@@ -130,11 +131,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The documents of which each class keeps the one with the smallest
-    doc_id (all rows of that id; rows without an id are kept)."""
+    """The rows of which each class keeps those with its smallest doc_id (all of
+    its rows in that class; rows without an id are kept). An id whose rows lie in
+    several classes is judged in each of them, so every class keeps a row."""
     found = near_duplicates(docs, shingle, max_bits)
-    drop = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti")
+    name = "fp"
+    while name in {c.lower() for c in docs.columns}:
+        name = "_" + name
+
+    def run(batches):  # the fingerprint again, rather than a copy of the texts with it on disk
+        for b in blocks(batches, "text"):
+            fp = simhash_block(b.column("text"), shingle)
+            yield b.append_column(name, pa.array(fp.view(np.int64)))
+
+    drop = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id", F.col("fp").alias(name)).distinct()
+    rows = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    return rows.join(drop, ["doc_id", name], "left_anti").select(*docs.columns)
 
 
 def hex_fingerprint(fp: F.Column) -> F.Column:

@@ -101,6 +101,15 @@ def test_near_duplicates_with_null_ids(spark):
     assert sorted(str(r.doc_id) for r in SH.keep_one(df).collect()) == ["3", "None", "None"]
 
 
+def test_keep_one_with_an_id_in_two_classes(spark):
+    """Id 5 is a copy of 1 in one class and the smallest id of another one."""
+    a, b = "some words of the first text here", "quite other things stand in that second one"
+    df = spark.createDataFrame([(1, a, "x"), (5, a, "x"), (5, b, "x"), (8, b, "x"), (8, a, "x")], "doc_id long, text string, fp string")
+    kept = SH.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, a), (5, b)]
+
+
 def test_components_of_a_path(spark):
     from ledgerwise.llm.graph import components
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "u long, v long")
