@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwise.llm import decontaminate as DC
+from ledgerwise.llm import importance as IM
 from ledgerwise.llm import line_dedup as LD
 from ledgerwise.llm import mixing as MX
 from ledgerwise.llm import quality_lines as QL
@@ -78,6 +79,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = IM.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), shortest=1, longest=1,
+                        buckets=10_000, min_words=20, percent=10, seed=2024)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_lists": op2_url_lists,
@@ -89,12 +96,15 @@ QUERIES = {
     "op8_poisson_mix": op8_poisson_mix,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
+    "op11_importance_resample": op11_importance_resample,
 }
 
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
 _LOWER_WORDS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
                 r"'[^\x20\x09-\x0D]+')")
 
+_IMPORTANCE_WORDS = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+                     f"'{IM.WORD_PATTERN}')")
 
 
 def _sql_text(html: str) -> str:
@@ -263,5 +273,36 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    # CRC-32 by its table of 256 remainders, which the reversed polynomial gives bit by bit
+    "op11_importance_resample": f"""
+WITH RECURSIVE steps AS (
+  SELECT i::UBIGINT AS i, i::UBIGINT AS r, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::UBIGINT) ELSE r >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(r ORDER BY i) AS t FROM steps WHERE k = 8),
+docs AS (SELECT doc_id, coalesce({_IMPORTANCE_WORDS}, []) AS w FROM documents),
+doc_words AS (SELECT doc_id, unnest(w) AS word FROM docs),
+target_words AS (SELECT unnest(coalesce({_IMPORTANCE_WORDS}, [])) AS word FROM benchmark),
+vocabulary AS (SELECT DISTINCT word, hex(encode(word)) AS h FROM (SELECT word FROM doc_words UNION ALL SELECT word FROM target_words)),
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::UBIGINT,
+           list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT) % 10000 AS bucket
+  FROM vocabulary, crc),
+raw AS (SELECT bucket, count(*) AS s FROM doc_words JOIN hashed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM target_words JOIN hashed USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(s), 0) FROM raw)::BIGINT AS big_s, (SELECT coalesce(sum(t), 0) FROM target)::BIGINT AS big_t),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (big_s + 10000) / ((s + 1)::DOUBLE * (big_t + 10000))))::BIGINT AS gain
+  FROM raw LEFT JOIN target USING (bucket), totals),
+sums AS (SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM doc_words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM docs d LEFT JOIN sums USING (doc_id)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= (SELECT count(*) FROM scored WHERE n_features >= 20) * 10 // 100 THEN place END AS rank
+FROM ranked
 """,
 }
