@@ -16,6 +16,7 @@ from ledgerwise.llm import mixing as MX
 from ledgerwise.llm import quality_lines as QL
 from ledgerwise.llm import simhash_neardup as SH
 from ledgerwise.llm import substring_dedup as SD
+from ledgerwise.llm import token_alignment as TA
 from ledgerwise.llm import token_counts as TC
 from ledgerwise.llm import toxicity as TX
 from ledgerwise.llm import url_lists as UL
@@ -23,6 +24,7 @@ from ledgerwise.llm import warc as WA
 
 TOKENIZER = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +87,10 @@ def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TA.align(_table(spark, sf_dir, "documents"), *ALIGNED)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_lists": op2_url_lists,
@@ -97,6 +103,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
     "op11_importance_resample": op11_importance_resample,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
