@@ -9,6 +9,12 @@ share bytes, so the product stays block-diagonal. Pairs whose byte ranges end
 together are the *links*; the offsets where they end cut the tokens into groups,
 and products of token-group incidences give the pairs of tokens that share a group.
 
+Neither vocabulary has a token with a space after another character, so no token of
+either spans the place before a single space between two other characters. Texts
+are cut there, each distinct chunk of a block is encoded and aligned once (or
+remembered from an earlier block), and a text's result is put together from its chunks'.
+A vocabulary of another kind is applied to whole texts.
+
 The encoded links are written once (four bytes a link); their counts over the
 corpus are sums of per-task counts. Of two linked tokens one's bytes end with the
 other's, so the table of pairs is bounded by the vocabularies, whatever the corpus
@@ -24,7 +30,9 @@ table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -38,8 +46,10 @@ from pyspark.sql import functions as F
 from ledgerwise.llm.blocks import blocks, byte_view
 from ledgerwise.session import materialize
 
-BLOCK_BYTES = 256 << 10
+BLOCK_BYTES = 1 << 20
 PRODUCT_ROWS = 1 << 20    # products of a block come in slices of about so many entries
+MEMO_CHUNKS = 300_000     # chunks of texts whose alignment a task remembers,
+MEMO_BYTES = 32 << 20     # and their bytes
 MERGE_PAIRS = 2_000_000   # pair counts a task gathers before it merges them
 
 
@@ -114,7 +124,8 @@ def _byte_letters() -> dict[str, int]:
 
 
 class Vocabulary:
-    """A tokenizer with the bytes of each of its tokens."""
+    """A tokenizer with the bytes of each of its tokens. ``local``: no token spans
+    the place before a single space between two other characters."""
 
     def __init__(self, path: str):
         if path.endswith(".model"):
@@ -123,12 +134,16 @@ class Vocabulary:
             names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
             raw = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
             self.encode = lambda texts: model.encode(texts, num_threads=1)  # puts the space before a text itself
+            self.local = all("▁" not in p.lstrip("▁") for p in names)
         else:
             from tokenizers import Tokenizer
             t = Tokenizer.from_file(path)
             t.no_truncation()
             t.no_padding()
             t.encode_special_tokens = True
+            spec = json.loads(t.to_str())
+            cut = spec.get("pre_tokenizer") or {}
+            self.local = spec.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
             letters = _byte_letters()
             by_id = {i: s for s, i in t.get_vocab(with_added_tokens=True).items()}
             raw = [bytes(letters[c] for c in s) if all(c in letters for c in s) else s.encode()
@@ -212,7 +227,7 @@ class Alignment:
         found = [(i[same], j[same]) for i, j, _ in self.overlaps() for same in [self.end_a[i] == self.end_b[j]]]
         self.link_a = np.concatenate([i for i, _ in found]) if found else np.zeros(0, np.int64)
         self.link_b = np.concatenate([j for _, j in found]) if found else np.zeros(0, np.int64)
-        self.cuts = np.unique(self.end_a[self.link_a])
+        self.cuts = self.end_a[self.link_a]  # rising: of each side one token ends at a byte
         self.in_a, self.in_b = group_incidence(self.end_a, self.cuts), group_incidence(self.end_b, self.cuts)
 
     def shared_groups(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -232,10 +247,11 @@ class Alignment:
         n_a, n_b = len(self.ids_a), len(self.ids_b)
         by_a, by_b = self.in_a.transposed().ptr, self.in_b.transposed().ptr
         order = np.empty(n_a + n_b, dtype=np.int64)
-        order[np.arange(n_a) + by_b[self.in_a.cols]] = _written(self.a, self.b, 0, self.ids_a, np.isin(np.arange(n_a) + 1, by_a))
-        after = np.isin(np.arange(n_b) + 1, by_b).astype(np.int64)
-        after[self.first_b[1:][np.diff(self.first_b) > 0] - 1] = 2  # nothing stands after a text's last token
-        order[np.arange(n_b) + by_a[self.in_b.cols + 1]] = _written(self.a, self.b, 1, self.ids_b, after)
+        sign_a, sign_b = np.zeros(n_a, np.int64), np.zeros(n_b, np.int64)
+        sign_a[by_a[1:] - 1] = sign_b[by_b[1:] - 1] = 1
+        sign_b[self.first_b[1:][np.diff(self.first_b) > 0] - 1] = 2  # nothing stands after a text's last token
+        order[np.arange(n_a) + by_b[self.in_a.cols]] = sign_a * self.a.size + self.ids_a
+        order[np.arange(n_b) + by_a[self.in_b.cols + 1]] = 2 * self.a.size + sign_b * self.b.size + self.ids_b
         joined = _names(self.a.size, self.b.size).take(pa.array(order))
         off = np.frombuffer(joined.buffers()[1], dtype=np.int64)[joined.offset:joined.offset + len(joined) + 1]
         data = joined.buffers()[2]
@@ -251,9 +267,64 @@ def _names(size_a: int, size_b: int) -> pa.Array:
     return pa.array([x + s for ids, signs in ((a, ",|"), (b, [",", ";", ""])) for s in signs for x in ids], pa.large_binary())
 
 
-def _written(a: Vocabulary, b: Vocabulary, side: int, ids: np.ndarray, after: np.ndarray) -> np.ndarray:
-    """Places in ``_names`` of ids followed by sign number ``after``."""
-    return side * 2 * a.size + (b.size if side else a.size) * after.astype(np.int64) + ids
+_SAFE = re.compile(r"(?<=\S) (?=\S)")
+
+
+class Aligner:
+    """Alignments of whole texts, put together from those of their distinct chunks."""
+
+    def __init__(self, a: Vocabulary, b: Vocabulary):
+        self.a, self.b, self.local = a, b, a.local and b.local
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.held = 0
+        self.counts = np.zeros((0, 4), dtype=np.int64)  # tokens of A, of B, links, whether the bytes agree
+        self.written: list[bytes] = []
+        self.codes, self.ptr = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def _learn(self, chunks: list[str]) -> None:
+        x = Alignment([c.encode() for c in chunks], self.a, self.b)
+        cut = np.searchsorted(x.link_a, x.first_a)
+        n_a = np.diff(x.first_a)
+        self.place.update(zip(chunks, range(len(self.place), len(self.place) + len(chunks))))
+        self.counts = np.concatenate((self.counts, np.stack((n_a, np.diff(x.first_b), np.diff(cut), n_a > 0), axis=1)))
+        self.written += x.texts()
+        self.codes = np.concatenate((self.codes, x.ids_a[x.link_a] * self.b.size + x.ids_b[x.link_b]))
+        self.ptr = np.concatenate((self.ptr, self.ptr[-1] + cut[1:]))
+        self.held += sum(map(len, chunks))
+
+    def block(self, texts: list[bytes]) -> tuple[np.ndarray, list[bytes], list[np.ndarray]]:
+        """Of each text: (tokens of A, of B, links), the groups written out, its links' id pairs."""
+        cut = [(_SAFE.split(w) if self.local else [w]) if w else [] for w in (t.decode("utf-8", "replace") for t in texts)]
+        flat = [c for chunks in cut for c in chunks]
+        if len(self.place) > MEMO_CHUNKS or self.held > MEMO_BYTES:
+            self._forget()
+        fresh = list(dict.fromkeys(c for c in flat if c not in self.place))
+        if fresh:
+            self._learn(fresh)
+        at = np.fromiter(map(self.place.__getitem__, flat), dtype=np.int64, count=len(flat))
+        first = np.concatenate(([0], np.cumsum([len(c) for c in cut]))).astype(np.int64)
+        sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(self.counts[at], axis=0)))
+        counts = sums[first[1:]] - sums[first[:-1]]
+        # a text counts if all its chunks do; one that is not UTF-8 never does
+        size = np.diff(first)
+        for i, t in enumerate(texts):
+            if counts[i, 3] < size[i] or any(c.find("\ufffd") >= 0 for c in cut[i]) and t != " ".join(cut[i]).encode():
+                counts[i] = -1
+        out_text, out_codes = [], []
+        for i, (lo, hi) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+            if counts[i, 0] <= 0:
+                counts[i] = 0
+                out_text.append(b"")
+                out_codes.append(self.codes[:0])
+                continue
+            own = at[lo:hi]
+            out_text.append(b";".join(map(self.written.__getitem__, own.tolist())))
+            each = self.ptr[own + 1] - self.ptr[own]
+            out_codes.append(self.codes[np.arange(int(each.sum())) + np.repeat(self.ptr[own] - (np.cumsum(each) - each), each)])
+        return counts[:, :3], out_text, out_codes
 
 
 # ---------------------------------------------------------------------------
@@ -269,17 +340,15 @@ def aligned(docs: DataFrame, name_a: str, name_b: str, id_col: str = "doc_id", t
     the id pairs of a text's links, packed."""
     def run(batches):
         a, b = vocabulary(name_a), vocabulary(name_b)
-        kind = _code_type(a, b)
+        kind, aligner = _code_type(a, b), Aligner(a, b)
         for block in blocks(batches, "text", BLOCK_BYTES):
             buf, off = byte_view(block.column("text"))
             raw = buf.tobytes()
-            x = Alignment([raw[lo:hi] for lo, hi in zip(off[:-1].tolist(), off[1:].tolist())], a, b)
-            codes = (x.ids_a[x.link_a] * b.size + x.ids_b[x.link_b]).astype(kind)
-            cut = np.searchsorted(x.link_a, x.first_a)
-            links = [codes[lo:hi].tobytes() for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist())]
+            n, groups, codes = aligner.block([raw[lo:hi] for lo, hi in zip(off[:-1].tolist(), off[1:].tolist())])
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(np.diff(x.first_a)), pa.array(np.diff(x.first_b)), pa.array(x.group_counts()),
-                 pa.array(np.diff(cut)), pa.array([sha256(t).hexdigest() if t else "" for t in x.texts()]), pa.array(links, pa.binary())],
+                # of each side one token ends at a cut, so there are as many groups as links
+                [block.column("doc_id"), *[pa.array(np.ascontiguousarray(n[:, k])) for k in (0, 1, 2, 2)],
+                 pa.array([sha256(t).hexdigest() if t else "" for t in groups]), pa.array([c.astype(kind).tobytes() for c in codes], pa.binary())],
                 ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -62,7 +62,8 @@ def plain_rows(libraries, docs):
 
 TEXTS = ["Hello world, naïve Café", "a", " ", "\n\n\t x", "<|endoftext|> and <s></s> <unk>", "x▁y", "漢字かな交じり文", "é" * 20,
          "don't  stop   believing", "0123456789 3.14", "\x00\x01 nul", "🙂🙃 emoji", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", None, "",
-         "Hello world, naïve Café", "the <0x41> byte"]
+         "Hello world, naïve Café", "the <0x41> byte", " lead", "trail ", "a  b c", "a \n b", "tab\t x y", "x\u00a0 y\u3000z \x1c q",
+         "a b \u2581 c", "\ufffd b a"]
 
 
 def test_against_plain_loops(spark, libraries):
@@ -129,3 +130,15 @@ def test_pairs_are_bounded_by_the_vocabularies(spark):
     for r in TA.pair_counts(TA.aligned(docs, A, B), A, B).collect():
         x, y = raw[0][r.code // b.size], raw[1][r.code % b.size]
         assert x.endswith(y) or y.endswith(x)
+
+
+def test_chunks_and_whole_texts_agree(monkeypatch):
+    a, b = TA.vocabulary(A), TA.vocabulary(B)
+    texts = [(t or "").encode() for t in TEXTS] * 2 + [b"a\xff b", b""]
+    assert TA.Aligner(a, b).local
+    by_chunk, whole = TA.Aligner(a, b), TA.Aligner(a, b)
+    whole.local = False
+    monkeypatch.setattr(TA, "MEMO_CHUNKS", 20)
+    for lo in range(0, len(texts), 5):
+        got, want = by_chunk.block(texts[lo:lo + 5]), whole.block(texts[lo:lo + 5])
+        assert np.array_equal(got[0], want[0]) and got[1] == want[1] and all(map(np.array_equal, got[2], want[2]))
