@@ -37,6 +37,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -194,28 +195,41 @@ class Alignment:
 
     def __init__(self, texts: list[bytes | None], a: Vocabulary, b: Vocabulary):
         self.a, self.b = a, b
+        own: list[tuple[np.ndarray, np.ndarray]] = []  # (ids, tokens of each text)
         words = [t.decode("utf-8", "replace") if t else "" for t in texts]
-        at = [i for i, w in enumerate(words) if w]
-        ids = [dict(zip(at, v.encode([words[i] for i in at]))) if at else {} for v in (a, b)]
-        size = [len(t or b"") + 1 for t in texts]
-        for i in list(ids[0]):
-            want = b" " + texts[i]
-            for v, own in zip((a, b), ids):
-                got = np.array(own[i], dtype=np.int64)
-                if int(v.length[got].sum()) != size[i] or v.joined(got).tobytes() != want:
-                    for x in ids:
-                        x.pop(i, None)
-                    break
-        self.ids_a, self.first_a = self._flat(ids[0], len(texts))
-        self.ids_b, self.first_b = self._flat(ids[1], len(texts))
+        at = np.flatnonzero([bool(w) for w in words])
+        good = np.zeros(len(texts), dtype=bool)
+        good[at] = True
+        for v in (a, b):
+            found = v.encode([words[i] for i in at]) if len(at) else []
+            size = np.zeros(len(texts), dtype=np.int64)
+            size[at] = [len(x) for x in found]
+            own.append((np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(size.sum())), size))
+        for v, (ids, size) in zip((a, b), own):
+            good &= self._agree(v, ids, size, texts)
+        (self.ids_a, self.first_a), (self.ids_b, self.first_b) = (self._only(ids, size, good) for ids, size in own)
         self.end_a, self.end_b = np.cumsum(a.length[self.ids_a]), np.cumsum(b.length[self.ids_b])
         self._groups()
 
     @staticmethod
-    def _flat(ids: dict[int, list[int]], n: int) -> tuple[np.ndarray, np.ndarray]:
-        first = np.concatenate(([0], np.cumsum([len(ids.get(i, ())) for i in range(n)]))).astype(np.int64)
-        flat = [ids[i] for i in range(n) if i in ids]
-        return np.concatenate([np.array(x, dtype=np.int64) for x in flat]) if flat else np.zeros(0, np.int64), first
+    def _only(ids: np.ndarray, size: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of the good texts, and where each text's begin."""
+        return ids[np.repeat(good, size)], np.concatenate(([0], np.cumsum(np.where(good, size, 0))))
+
+    @staticmethod
+    def _agree(v: Vocabulary, ids: np.ndarray, size: np.ndarray, texts: list[bytes | None]) -> np.ndarray:
+        """Which texts' tokens join to a space and the text."""
+        want = np.array([len(t or b"") + 1 for t in texts])
+        spans = np.concatenate(([0], np.cumsum(v.length[ids])))
+        first = np.concatenate(([0], np.cumsum(size)))
+        good = spans[first[1:]] - spans[first[:-1]] == want
+        got = v.joined(ids[np.repeat(good, size)])
+        wanted = np.frombuffer(b"".join(b" " + t for t, g in zip(texts, good) if g), dtype=np.uint8)
+        wrong = np.flatnonzero(got != wanted)
+        if len(wrong):
+            ends = np.cumsum(want[good])
+            good[np.flatnonzero(good)[np.searchsorted(ends, wrong, side="right")]] = False
+        return good
 
     def overlaps(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(token of A, token of B, bytes shared) of all overlapping tokens."""
