@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerwise.llm import decontaminate as DC
 from ledgerwise.llm import importance as IM
 from ledgerwise.llm import line_dedup as LD
+from ledgerwise.llm import lm_scoring as LM
 from ledgerwise.llm import mixing as MX
 from ledgerwise.llm import quality_lines as QL
 from ledgerwise.llm import simhash_neardup as SH
@@ -87,6 +88,10 @@ def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LM.score(_table(spark, sf_dir, "documents"), folds=10)
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TA.align(_table(spark, sf_dir, "documents"), *ALIGNED)
 
@@ -103,6 +108,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
     "op11_importance_resample": op11_importance_resample,
+    "op12_lm_scores": op12_lm_scores,
     "op13_token_alignment": op13_token_alignment,
 }
 
