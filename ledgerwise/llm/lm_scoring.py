@@ -51,7 +51,7 @@ FREQUENT, SUFFIXES = 63, 64
 MAX_CLASSES = 256       # the triples of a task and of the driver are counted in memory
 LONG_TOKEN = 64
 SUFFIX_BYTES = 3
-SIZE, STEPS, BATCH, NOISE, RATE, SEED = 24, 3_000, 1_024, 64, 0.02, 12
+SIZE, STEPS, BATCH, NOISE, RATE, SEED = 24, 2_000, 512, 48, 0.02, 12
 SMOOTHING = 0.1         # of the base score
 END = b""               # no word is empty
 
@@ -88,7 +88,7 @@ class LogBilinear:
         for the batch; ``noise_log``: the log of its number times each class's noise share."""
         p, n = self.par, len(target)
         r = self.predicted(far, near)
-        true = np.einsum("nd,nd->n", r, p["Q"][target]) + p["b"][target] - noise_log[target]
+        true = (r * p["Q"][target]).sum(axis=1) + p["b"][target] - noise_log[target]
         false = r @ p["Q"][noise].T + p["b"][noise] - noise_log[noise]
         loss = (np.logaddexp(0, -true).sum() + np.logaddexp(0, false).sum()) / n
         g_true, g_false = (_sigmoid(true) - 1) / n, _sigmoid(false) / n
@@ -128,10 +128,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of ``values`` by row, as a product with a 0/1 matrix."""
-    hot = np.zeros((n, len(rows)))
-    hot[rows, np.arange(len(rows))] = 1.0
-    return hot @ values
+    """Sums of ``values`` by row."""
+    size = values.shape[1]
+    at = (rows[:, None] * size + np.arange(size)).ravel()
+    return np.bincount(at, values.ravel(), n * size).reshape(n, size)
 
 
 def triple_code(classes: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:

@@ -13,13 +13,19 @@ PER_DOCUMENT = {
     "op6_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op7_token_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
     "op10_line_dedup": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
+    "op11_importance_resample": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
+    "op12_lm_scores": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint",
+                       "base_score": "double", "score": "double"},
+    "op13_token_alignment": {"doc_id": "bigint", "n_a": "bigint", "n_b": "bigint", "n_groups": "bigint", "n_links": "bigint",
+                             "n_best": "bigint", "count_sum": "bigint", "groups_sha256": "string"},
 }
-WITH_SQL = ["op1_substring_dedup", "op2_url_lists", "op5_warc_derivatives", "op8_poisson_mix", "op9_decontaminate", "op10_line_dedup"]
+WITH_SQL = ["op1_substring_dedup", "op2_url_lists", "op5_warc_derivatives", "op8_poisson_mix", "op9_decontaminate", "op10_line_dedup",
+            "op11_importance_resample"]
 
 
 def test_one_query_for_each_operator():
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", PER_DOCUMENT)
