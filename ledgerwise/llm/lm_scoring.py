@@ -281,8 +281,10 @@ def class_triples(coded: DataFrame, classes: Classes) -> tuple[np.ndarray, np.nd
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["code", "n"])
 
     found = coded.select("held", "sizes", "codes", "tokens").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    table = found.toPandas().sort_values("code")  # bounded by the number of classes cubed
-    return table["code"].to_numpy(np.int64), table["n"].to_numpy(np.int64)
+    table = found.toArrow()  # bounded by the number of classes cubed; rows as objects would take a multiple
+    codes, counts = table.column("code").to_numpy(), table.column("n").to_numpy()
+    order = np.argsort(codes)
+    return codes[order], counts[order]
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

@@ -49,7 +49,7 @@ from ledgerwise.session import materialize
 
 BLOCK_BYTES = 1 << 20
 PRODUCT_ROWS = 1 << 20    # products of a block come in slices of about so many entries
-MEMO_CHUNKS = 300_000     # chunks of texts whose alignment a task remembers,
+MEMO_CHUNKS = 250_000     # chunks of texts whose alignment a worker remembers,
 MEMO_BYTES = 32 << 20     # and their bytes
 MERGE_PAIRS = 2_000_000   # pair counts a task gathers before it merges them
 
@@ -341,6 +341,12 @@ class Aligner:
         return counts[:, :3], out_text, out_codes
 
 
+@lru_cache(maxsize=1)
+def _aligner(name_a: str, name_b: str) -> Aligner:
+    """One per worker process, so that its tasks share what they remember."""
+    return Aligner(vocabulary(name_a), vocabulary(name_b))
+
+
 # ---------------------------------------------------------------------------
 # on tables
 # ---------------------------------------------------------------------------
@@ -353,8 +359,9 @@ def aligned(docs: DataFrame, name_a: str, name_b: str, id_col: str = "doc_id", t
     """(doc_id, n_a, n_b, n_groups, n_links, groups_sha256, links): ``links`` holds
     the id pairs of a text's links, packed."""
     def run(batches):
-        a, b = vocabulary(name_a), vocabulary(name_b)
-        kind, aligner = _code_type(a, b), Aligner(a, b)
+        aligner = _aligner(name_a, name_b)
+        a, b = aligner.a, aligner.b
+        kind = _code_type(a, b)
         for block in blocks(batches, "text", BLOCK_BYTES):
             buf, off = byte_view(block.column("text"))
             raw = buf.tobytes()
@@ -406,8 +413,8 @@ def pair_counts(found: DataFrame, name_a: str, name_b: str) -> DataFrame:
 def align(docs: DataFrame, name_a: str, name_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row."""
     found = materialize(aligned(docs, name_a, name_b, id_col, text_col), "alignment")
-    table = pair_counts(found, name_a, name_b).toPandas().sort_values("code")  # bounded by the vocabularies
-    codes, counts = table["code"].to_numpy(np.int64), table["n"].to_numpy(np.int64)
+    table = pair_counts(found, name_a, name_b).toArrow().sort_by("code")  # bounded by the vocabularies
+    codes, counts = table.column("code").to_numpy(), table.column("n").to_numpy()
     size_b = vocabulary(name_b).size
     top = np.zeros(size_b, dtype=np.int64)
     np.maximum.at(top, codes % size_b, counts)
