@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..operators import metrics as M
 from ..session import materialize
+from .boosting import BoostParams, fit_boosted
 from .scale import fit_scaler_stats, scaler_stage
 
 # Reference hyper-parameters (fixed values)
@@ -38,7 +39,7 @@ def _features_z(cols: Sequence[str]) -> list[str]:
 
 
 def make_estimator(kind: str, n_train: int, params: dict | None = None, label: str = S.LABEL_COL):
-    """Spark ML estimator for ``kind`` in {lr, rf, gbt}.
+    """Spark ML estimator for ``kind`` in {lr, rf, gbt_mllib}.
 
     LR: scikit-learn minimises ``0.5|w|^2 + C * sum(loss)``; Spark minimises
     ``mean(loss) + reg/2 |w|^2``, so ``reg = 1 / (C * n)``.
@@ -53,7 +54,7 @@ def make_estimator(kind: str, n_train: int, params: dict | None = None, label: s
         return RandomForestClassifier(numTrees=p.get("n_estimators", RF_PARAMS["n_estimators"]),
                                       maxDepth=p.get("max_depth", RF_PARAMS["max_depth"]),
                                       cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512, seed=p.get("seed", SEED), **common)
-    if kind == "gbt":
+    if kind == "gbt_mllib":
         return GBTClassifier(maxIter=p.get("n_estimators", GBT_PARAMS["n_estimators"]),
                              maxDepth=p.get("max_depth", GBT_PARAMS["max_depth"]),
                              stepSize=p.get("learning_rate", GBT_PARAMS["learning_rate"]),
@@ -61,8 +62,7 @@ def make_estimator(kind: str, n_train: int, params: dict | None = None, label: s
     raise ValueError(f"unknown model kind {kind!r}")
 
 
-MODEL_TYPES = {"lr": "LogisticRegression", "rf": "RandomForest", "gbt": "GradientBoostedTrees"}
-
+MODEL_TYPES = {"lr": "LogisticRegression", "rf": "RandomForest", "gbt": "GradientBoostedTrees", "gbt_mllib": "GradientBoostedTreesMLlib"}
 
 PARTITION_BYTES = 64 << 20   # of doubles in one training partition
 FOREST_PARTITIONS = 8        # at least, as tree growing is compute-bound per row
@@ -88,10 +88,15 @@ class TrainBase:
 
 
 def fit_pipeline(train: DataFrame, kind: str, features: Sequence[str] = S.MODEL_FEATURES,
-                 params: dict | None = None, label: str = S.LABEL_COL, base: TrainBase | None = None) -> PipelineModel:
+                 params: dict | None = None, label: str = S.LABEL_COL, base: TrainBase | None = None,
+                 evaluation: DataFrame | None = None) -> PipelineModel:
     """One cached copy of the training columns, in partitions of a set size.
-    Deep trees keep node ids in it instead of passing them down each level."""
+    Deep trees keep node ids in it instead of passing them down each level.
+    Boosted trees (``boosting``) code the rows in their own tasks and take
+    ``evaluation`` rows, whose metrics they keep for each round."""
     base = base or TrainBase.of(train, features)
+    if kind == "gbt":
+        return _fit_boosted(train, features, params, label, base, evaluation)
     rows = train.select(*features, label).repartition(training_partitions(base.n, len(features), kind)).cache()
     assembler = VectorAssembler(inputCols=_features_z(features), outputCol="features",
                                 handleInvalid="error")
@@ -102,6 +107,17 @@ def fit_pipeline(train: DataFrame, kind: str, features: Sequence[str] = S.MODEL_
         rows.unpersist()
 
 
+def _fit_boosted(train, features, params, label, base: TrainBase, evaluation) -> PipelineModel:
+    p = {**GBT_PARAMS, **(params or {})}
+    known = {k: v for k, v in p.items() if k in BoostParams.__dataclass_fields__}
+    scaler, cols = scaler_stage(base.stats), _features_z(features)
+    model = fit_boosted(scaler.transform(train.select(*features, label)), cols, label, BoostParams(**known), n_rows=base.n,
+                        evaluation=None if evaluation is None else scaler.transform(evaluation.select(*features, label)),
+                        rounds_per_job=p.get("rounds_per_job"))
+    assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error")
+    return PipelineModel(stages=[scaler, assembler, model])
+
+
 def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("id", "Amount", "Class"),
             digits: int = 6) -> DataFrame:
     """``fraud_prediction`` (0/1 at 0.5, long) and ``fraud_probability``
@@ -128,7 +144,8 @@ def feature_importance(model: PipelineModel, features: Sequence[str] = S.MODEL_F
     est = model.stages[-1]
     if not hasattr(est, "featureImportances"):
         return []
-    imp = est.featureImportances.toArray()
+    imp = est.featureImportances
+    imp = imp.toArray() if hasattr(imp, "toArray") else imp
     return sorted(zip(features, map(float, imp)), key=lambda t: (-t[1], t[0]))
 
 
@@ -145,6 +162,7 @@ class RunResult:
     confusion: DataFrame | None = None
     roc: DataFrame | None = None      # ROC points on the test side
     scored: DataFrame | None = None   # the test side with predictions
+    history: list = field(default_factory=list)   # metrics of each boosting round
 
 
 def train_and_log(train: DataFrame, test: DataFrame, kind: str, tracker=None,
@@ -152,9 +170,9 @@ def train_and_log(train: DataFrame, test: DataFrame, kind: str, tracker=None,
                   run_name: str | None = None, base: TrainBase | None = None) -> RunResult:
     """Fit one model, evaluate on ``test``, save it and log one run row."""
     started = time.time()
-    defaults = {"lr": LR_PARAMS, "rf": RF_PARAMS, "gbt": GBT_PARAMS}[kind]
+    defaults = {"lr": LR_PARAMS, "rf": RF_PARAMS, "gbt": GBT_PARAMS, "gbt_mllib": GBT_PARAMS}[kind]
     used = {**defaults, **(params or {})}
-    model = fit_pipeline(train, kind, features, used, base=base)
+    model = fit_pipeline(train, kind, features, used, base=base, evaluation=test)
     # written once: six aggregates and the curve read it
     scored = materialize(predict(model, test), "scored")
     mets = evaluate(scored)
@@ -164,7 +182,7 @@ def train_and_log(train: DataFrame, test: DataFrame, kind: str, tracker=None,
                     params={"model_type": MODEL_TYPES[kind], "n_features": len(features),
                             "resampling": "none", **used},
                     started_at=started, importances=feature_importance(model, features),
-                    confusion=confusion, roc=roc, scored=scored)
+                    confusion=confusion, roc=roc, scored=scored, history=getattr(model.stages[-1], "history", []))
     if tracker is not None:
         tracker.log_run(run, run_name or MODEL_TYPES[kind])
     return run

@@ -1,21 +1,22 @@
 """Exploratory statistics: the data behind each chart, computed in Spark.
 
-Nothing here collects rows: ranges, correlations and box statistics are
-aggregates; only per-(group, feature) numbers come back to be joined to the
-rows (AQE decides from their runtime size whether to broadcast them).
+Nothing here collects rows: ranges, counts, co-moments and order statistics
+are summed where the rows are (``blockwise``); only numbers per group and feature
+reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.columns import no_nan
-from ..session import materialize
-from . import ranks
+from . import blockwise
 from .aggregates import top_k, with_share
 
 
@@ -25,113 +26,57 @@ def class_distribution(df: DataFrame, label: str = S.LABEL_COL) -> DataFrame:
     return with_share(g, "count", "pct", 4)
 
 
-def long_form(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """``(keep..., feature, value)`` with one row per input row and column
-    (a linear expansion, never pairs)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
-                      for c in cols])
-    return df.select(*keep, F.inline(pairs))
-
-
 # --- histogram ------------------------------------------------------------------
 
-def _edge(i: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """numpy ``linspace(lo, hi, bins + 1)[i]``: ``i * step + lo``, last edge exact."""
-    step = (hi - lo) / F.lit(float(bins))
-    return F.when(i >= F.lit(bins), hi).otherwise(i.cast("double") * step + lo)
-
-
-def _bin_of(x: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """0-based bin of ``x``: an estimate, moved by one if it misses the edges."""
-    i0 = F.least(F.greatest(F.floor((x - lo) / (hi - lo) * F.lit(float(bins))), F.lit(0)), F.lit(bins - 1))
-    return (F.when(x < _edge(i0, lo, hi, bins), i0 - 1)
-            .when((x >= _edge(i0 + 1, lo, hi, bins)) & (i0 != F.lit(bins - 1)), i0 + 1)
-            .otherwise(i0))
-
-
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: str | None = S.LABEL_COL) -> DataFrame:
     """Equal-width histogram per column (and per ``by`` group), range taken
     per group as numpy does: ``[min, max]``, or ``min ± 0.5`` when all values
     are equal. A value is in bin ``i`` when ``edge_i <= x < edge_{i+1}``, the
     maximum in the last bin. Null and NaN are skipped. Every bin is returned,
-    empty ones with count 0. The ranges come from one aggregate; each column is
-    then binned by a projection of that column alone, so rows are never expanded.
+    empty ones with count 0. Two scans whatever the number of columns: the ranges,
+    and the counts against the edges, summed in each task. At most
+    ``blockwise.MAX_GROUPS`` groups (their edges are held by the driver).
     """
-    keep = [by] if by else []
+    spark, keep, cols = df.sparkSession, [by] if by else [], list(cols)
     val = {c: no_nan(F.col(c).cast("double")) for c in cols}
     # ranges of all columns in one aggregate; one row per group
     ends = df.groupBy(*keep).agg(*[f(val[c]).alias(f"_{n}{i}") for i, c in enumerate(cols) for n, f in (("mn", F.min), ("mx", F.max))])
-    # joined back without a hint: AQE broadcasts it from its runtime size (tiny
-    # for a class label) and falls back to a shuffle join for a large ``by``
-    ends = materialize(ends, "histogram-ranges").withColumnsRenamed({k: f"_{k}" for k in keep})
-    cond = F.lit(True)
-    for k in keep:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    out = None
-    for i, c in enumerate(cols):
-        same = F.col(f"_mn{i}") == F.col(f"_mx{i}")
-        rng = ends.filter(F.col(f"_mn{i}").isNotNull()).select(
-            *[f"_{k}" for k in keep], F.when(same, F.col(f"_mn{i}") - 0.5).otherwise(F.col(f"_mn{i}")).alias("_lo"),
-            F.when(same, F.col(f"_mx{i}") + 0.5).otherwise(F.col(f"_mx{i}")).alias("_hi"))
-        rows = df.select(*keep, val[c].alias("_x")).filter(F.col("_x").isNotNull())
-        if by:
-            rows = rows.join(rng, cond)
-        else:  # one range: its two numbers
-            one = rng.first()
-            if one is None:
-                continue
-            rows = rows.select("_x", F.lit(one["_lo"]).alias("_lo"), F.lit(one["_hi"]).alias("_hi"))
-        counts = rows.groupBy(*keep, (_bin_of(F.col("_x"), F.col("_lo"), F.col("_hi"), bins) + 1).cast("int").alias("bin")) \
-            .agg(F.count(F.lit(1)).alias("count"))
-        grid = rng.select(*[F.col(f"_{k}").alias(k) for k in keep], "_lo", "_hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-        on = grid["bin"] == counts["bin"]
-        for k in keep:
-            on = on & grid[k].eqNullSafe(counts[k])
-        b = grid["bin"] - 1
-        part = grid.join(counts, on, "left").select(
-            *[grid[k] for k in keep], F.lit(c).alias("feature"), grid["bin"],
-            _edge(b, F.col("_lo"), F.col("_hi"), bins).alias("bin_lo"), _edge(b + 1, F.col("_lo"), F.col("_hi"), bins).alias("bin_hi"),
-            F.coalesce(counts["count"], F.lit(0)).cast("long").alias("count"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    edges = {}
+    for r in ends.limit(blockwise.MAX_GROUPS + 1).collect():
+        for i in range(len(cols)):
+            lo, hi = r[f"_mn{i}"], r[f"_mx{i}"]
+            if lo is not None:
+                lo, hi = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+                edges[r[by] if by else 0, i] = np.append(np.arange(bins) * ((hi - lo) / bins) + lo, hi)
+    if not edges:
         raise ValueError("histogram needs a column with a value")
-    return out
-
+    if len({g for g, _ in edges}) > blockwise.MAX_GROUPS:
+        raise ValueError(f"more than {blockwise.MAX_GROUPS} groups of {by}")
+    counts = blockwise.counts_at(df, cols, edges, by)
+    rows = []
+    for (g, i), e in edges.items():
+        n = counts[g, i]
+        inside = n[1:-2:2] + n[2:-1:2]   # on the lower edge, and between it and the next
+        inside[-1] += n[-2]              # the maximum
+        rows += [(*([g] if by else []), cols[i], b + 1, float(e[b]), float(e[b + 1]), int(inside[b])) for b in range(bins)]
+    by_fields = [T.StructField(by, df.schema[by].dataType)] if by else []
+    return spark.createDataFrame(rows, T.StructType([*by_fields, T.StructField("feature", T.StringType()), T.StructField("bin", T.IntegerType()),
+                                                     T.StructField("bin_lo", T.DoubleType()), T.StructField("bin_hi", T.DoubleType()),
+                                                     T.StructField("count", T.LongType())]))
 
-PAIRS_PER_AGGREGATE = 8  # ten running sums each; wider aggregates leave code generation
 
 # --- correlation -----------------------------------------------------------------
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Pearson ``(x, y, r)`` for each column pair, over the rows where both
     are present (not null, not NaN), as pandas pairs them; null when either
-    side is constant (no division by zero). Aggregates over the columns
-    (``regr_*`` skip a row with a null on either side), so many pairs at a time
-    as still run as compiled code; rows are neither expanded nor moved.
+    side is constant (no division by zero). One scan for any number of columns
+    and pairs, by co-moments merged from block to block (``blockwise``).
     """
     pairs = list(dict.fromkeys(pairs))
     names = list(dict.fromkeys(c for p in pairs for c in p))
-    at = {c: f"_c{i}" for i, c in enumerate(names)}
-    clean = df.select(*[no_nan(F.col(c).cast("double")).alias(at[c]) for c in names])
-
-    def some(part: list[tuple[str, str]]) -> DataFrame:
-        aggs = []
-        for i, (a, b) in enumerate(part):
-            x, y = F.col(at[a]), F.col(at[b])
-            aggs += [F.regr_sxy(y, x).alias(f"_xy{i}"), F.regr_sxx(y, x).alias(f"_xx{i}"), F.regr_syy(y, x).alias(f"_yy{i}")]
-
-        def r(i):
-            den = F.sqrt(F.col(f"_xx{i}")) * F.sqrt(F.col(f"_yy{i}"))
-            return F.when(den > 0, F.col(f"_xy{i}") / den)
-
-        return clean.agg(*aggs).select(F.inline(F.array(*[
-            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r(i).alias("r")) for i, (a, b) in enumerate(part)])))
-
-    out = None
-    for lo in range(0, len(pairs), PAIRS_PER_AGGREGATE):
-        part = some(pairs[lo:lo + PAIRS_PER_AGGREGATE])
-        out = part if out is None else out.unionByName(part)
-    return out
+    at = {c: i for i, c in enumerate(names)}
+    return blockwise.correlations(df, names, [(at[a], at[b]) for a, b in pairs])
 
 
 def label_correlation(df: DataFrame, cols: Sequence[str] = S.V_COLS + ["Amount"],
@@ -169,52 +114,58 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int | None =
 
 # --- box statistics ---------------------------------------------------------------
 
-def box_stats(df: DataFrame, cols: Sequence[str], by: str = S.LABEL_COL,
-              whisker: float = 1.5) -> DataFrame:
+def _interpolated(at, n: int, p: float) -> float:
+    """The quantile ``p`` of ``n`` rows; ``at(position)`` is the value at a 1-based position."""
+    h = (n - 1) * p
+    lo = int(h)
+    a, b, t = at(lo + 1), at(min(lo + 2, n)), h - lo
+    return a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t)
+
+
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def _quartile_positions(n: int) -> list[int]:
+    return [q for p in QUARTILES for q in (int((n - 1) * p) + 1, min(int((n - 1) * p) + 2, n))]
+
+
+def box_stats(df: DataFrame, cols: Sequence[str], by: str = S.LABEL_COL, whisker: float = 1.5, approximate: bool = False) -> DataFrame:
     """Quartiles (linear interpolation), whiskers at the most extreme values
-    within ``whisker * IQR`` and the outlier count, per column and group.
+    within ``whisker * IQR`` and the outlier count, per column and group (the
+    group of rows without a value in ``by`` included).
 
-    Quartiles are exact order statistics found without sorting a group in
-    one task; whiskers and outliers are one more aggregate against the
-    per-group quartiles (a table of columns x groups rows; AQE broadcasts it
-    when its runtime size allows).
+    Quartiles are exact order statistics of all columns and groups, searched together
+    (``blockwise.order_statistics``); with ``approximate`` they are read off mergeable
+    sketches in one scan. Whiskers and outliers are one more aggregate in which each row is
+    compared with its group's fences; rows are not expanded.
     """
-    lf = long_form(df, cols, [by]).withColumn("value", no_nan("value")).filter(F.col("value").isNotNull())
-    gk = ["feature", by]
-    sizes = {(r["feature"], r[by]): r["n"]
-             for r in lf.groupBy(*gk).agg(F.count(F.lit(1)).alias("n")).collect()}
-    probs = [0.25, 0.5, 0.75]
-    wanted = {}
-    for key, n in sizes.items():
-        ps = set()
-        for p in probs:
-            h = (n - 1) * p
-            ps.update({int(h) + 1, min(int(h) + 2, n)})
-        wanted[key] = sorted(ps)
-    stats = ranks.order_statistics(lf, "value", wanted, group_cols=gk, group_sizes=sizes)
-    rows = []
-    for key, n in sizes.items():
-        qs = []
-        for p in probs:
-            h = (n - 1) * p
-            lo_i = int(h)
-            a = stats[(key, lo_i + 1)][0]
-            b = stats[(key, min(lo_i + 2, n))][0]
-            t = h - lo_i
-            qs.append(a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t))
-        rows.append((key[0], key[1], n, *qs))
-    spark = df.sparkSession
-    by_type = df.schema[by].dataType.simpleString()
-    q = spark.createDataFrame(rows, f"feature string, {by} {by_type}, n long, q1 double, median double, q3 double")
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    lo_f = F.col("q1") - F.lit(whisker) * F.col("iqr")
-    hi_f = F.col("q3") + F.lit(whisker) * F.col("iqr")
-    v = F.col("value")
-    agg = (lf.join(q, gk)
-           .groupBy(*gk)
-           .agg(F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
-                F.max(F.when(v <= hi_f, v)).alias("whisker_hi"),
-                F.count_if((v < lo_f) | (v > hi_f)).alias("outliers"),
-                F.min(v).alias("min"), F.max(v).alias("max")))
-    return q.join(agg, gk).select("feature", by, "n", "q1", "median", "q3", "iqr",
-                                  "whisker_lo", "whisker_hi", "outliers", "min", "max")
+    spark, cols = df.sparkSession, list(cols)
+    quart: dict = {}
+    if approximate:
+        for r in blockwise.sketch_quantiles(df, cols, QUARTILES, by).collect():
+            if r["n"]:
+                quart[r[by], cols.index(r["feature"])] = (r["n"], *r["quantiles"])
+    else:
+        sizes, found = blockwise.order_statistics(df, cols, _quartile_positions, by)
+        for (g, j), n in sizes.items():
+            quart[g, j] = (n, *[_interpolated(lambda q, g=g, j=j: found[g, j, q], n, p) for p in QUARTILES])
+    rows = [(g, cols[j], n, q1, q2, q3, q3 - q1, q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)) for (g, j), (n, q1, q2, q3) in quart.items()]
+    by_type = df.schema[by].dataType
+    double = [T.StructField(c, T.DoubleType()) for c in ("q1", "median", "q3", "iqr", "_low", "_high")]
+    q = spark.createDataFrame(rows, T.StructType([T.StructField(by, by_type), T.StructField("feature", T.StringType()), T.StructField("n", T.LongType()), *double]))
+    # one row per group: the fences of all its columns side by side
+    fences = q.groupBy(by).agg(*[F.max(F.when(F.col("feature") == c, F.col(f))).alias(f"_{f}{i}") for i, c in enumerate(cols) for f in ("_low", "_high")]) \
+        .withColumnRenamed(by, "_by")
+    v = [no_nan(F.col(c).cast("double")) for c in cols]
+    x = df.select(F.col(by).alias("_g"), *[c.alias(f"_v{i}") for i, c in enumerate(v)])
+    aggs = []
+    for i in range(len(cols)):
+        c, lo, hi = F.col(f"_v{i}"), F.col(f"__low{i}"), F.col(f"__high{i}")
+        aggs.append(F.struct(F.min(F.when(c >= lo, c)).alias("whisker_lo"), F.max(F.when(c <= hi, c)).alias("whisker_hi"),
+                             F.count_if((c < lo) | (c > hi)).alias("outliers"), F.min(c).alias("min"), F.max(c).alias("max")).alias(f"_a{i}"))
+    # at most MAX_GROUPS rows, all of them known to the driver
+    each = x.join(F.broadcast(fences), F.col("_g").eqNullSafe(F.col("_by"))).groupBy("_g").agg(*aggs)
+    wide = F.array(*[F.struct(F.lit(c).alias("_f"), F.col(f"_a{i}").alias("a")) for i, c in enumerate(cols)])
+    long = each.select("_g", F.inline(wide))
+    return q.join(long, q[by].eqNullSafe(F.col("_g")) & (F.col("feature") == F.col("_f"))).select(
+        "feature", by, "n", "q1", "median", "q3", "iqr", "a.whisker_lo", "a.whisker_hi", "a.outliers", "a.min", "a.max")
