@@ -8,6 +8,7 @@ Appends are small single-row writes; reads are table scans.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -78,19 +79,31 @@ class Tracker:
     def versions(self, name: str = S.MODEL_NAME) -> DataFrame:
         if not self.lake.exists(S.REGISTRY):
             return self.spark.createDataFrame([], S.REGISTRY_SCHEMA)
-        return self.lake.read(S.REGISTRY).filter(F.col("name") == F.lit(name))
+        return self.lake.read(S.REGISTRY).select(*S.REGISTRY_SCHEMA.names).filter(F.col("name") == F.lit(name))
 
     def register_best(self, name: str = S.MODEL_NAME, metric: str = "auc_roc") -> dict:
         best = self.best_run(metric).first()
         if best is None:
             raise LookupError("no runs to register")
-        last = self.versions(name).agg(F.max("version").alias("v")).first()["v"] or 0
-        row = (name, int(last) + 1, best["run_id"], best["model_path"],
+        version = self._claim_version(name)
+        row = (name, version, best["run_id"], best["model_path"],
                dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-        self.lake.write(self.spark.createDataFrame([row], S.REGISTRY_SCHEMA), S.REGISTRY, mode="append")
-        return {"name": name, "version": int(last) + 1, "run_id": best["run_id"],
+        entry = self.spark.createDataFrame([row], S.REGISTRY_SCHEMA)
+        if self.lake.catalog:
+            self.lake.write(entry, S.REGISTRY, mode="append")
+        else:  # a folder for each version: two jobs that append at once would share one commit folder
+            self.lake.write(entry, f"{S.REGISTRY}/entry={uuid.uuid4().hex}")
+        return {"name": name, "version": version, "run_id": best["run_id"],
                 "model_path": best["model_path"], "model_type": best["params"]["model_type"]}
 
+    def _claim_version(self, name: str) -> int:
+        """The next version no other job has: the first, after those in the table, whose
+        claim file this job creates."""
+        version = int(self.versions(name).agg(F.max("version").alias("v")).first()["v"] or 0) + 1
+        while not self.lake.claim(f"{name}/{version}"):
+            version += 1
+        return version
+
     def load(self, name: str = S.MODEL_NAME, version: int | None = None) -> tuple[PipelineModel, dict]:
         """A registered version (latest when ``version`` is None)."""
         v = self.versions(name)

@@ -22,6 +22,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,8 @@ SAMPLE_ROWS = 20_000      # distinct rows that candidates are drawn from
 GRID = 256                # candidates of a column
 OPEN_VALUES = 100_000     # values of open slices that are counted one by one
 MAX_GROUPS = 10_000
-MERGE_FAN_IN = 64         # states that one task merges
+MERGE_FAN_IN = 512        # states that one task merges,
+MERGE_LEVELS = 2          # so often before the last merge of what is left
 
 
 def _numbers(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
@@ -95,26 +97,31 @@ def _fold(states: Iterator[np.ndarray], k: int) -> np.ndarray:
 
 def comoments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row ``state``: the co-moments of all pairs of columns as packed doubles. The
-    tasks' states are merged ``MERGE_FAN_IN`` at a time."""
+    tasks' states are merged ``MERGE_FAN_IN`` at a time, so no task gathers them all."""
     k = len(cols)
 
     def scan(batches):
-        yield _state(_fold((_comoments_of(_matrix(b, 0, k)) for b in batches if b.num_rows), k))
+        part = TaskContext.get().partitionId()
+        yield _state(part, _fold((_comoments_of(_matrix(b, 0, k)) for b in batches if b.num_rows), k))
 
     def merge(batches):
-        yield _state(_fold((_read(s, k) for b in batches for s in b.column(0).to_pylist()), k))
+        for b in batches:
+            for part, states in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                yield _state(part, _fold((_read(s, k) for s in states), k))
+
+    states = _numbers(df, cols).drop("g").mapInArrow(scan, _STATE)
+    for _ in range(MERGE_LEVELS):
+        part = F.floor(F.col("part") / F.lit(MERGE_FAN_IN)).cast("long")
+        states = states.groupBy(part.alias("part")).agg(F.collect_list("state").alias("states")).mapInArrow(merge, _STATE)
+    whole = states.agg(F.lit(0).cast("long").alias("part"), F.collect_list("state").alias("states"))
+    return whole.mapInArrow(merge, _STATE).select("state")
+
 
-    rows = _numbers(df, cols).drop("g")
-    states = rows.mapInArrow(scan, "state binary")
-    tasks = rows.rdd.getNumPartitions()
-    while tasks > MERGE_FAN_IN:
-        tasks = -(-tasks // MERGE_FAN_IN)
-        states = states.repartition(tasks).mapInArrow(merge, "state binary")
-    return states.repartition(1).mapInArrow(merge, "state binary")
+_STATE = "part long, state binary"
 
 
-def _state(x: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x.astype("<f8").tobytes()], pa.binary())], ["state"])
+def _state(part: int, x: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([x.astype("<f8").tobytes()], pa.binary())], ["part", "state"])
 
 
 def _read(state: bytes, k: int) -> np.ndarray:

@@ -35,6 +35,8 @@ def add_rank_features(df: DataFrame, amount: str = S.AMOUNT_COL, tiebreak: str =
     return ranks.apply_percent_rank(df, amount, "Amount_percentile", steps).withColumn("Amount_quartile", tile)
 
 
-def engineer(df: DataFrame) -> DataFrame:
-    """All features; the ranks are found on the narrow input columns."""
-    return add_rank_features(add_scalar_features(df))
+def engineer(df: DataFrame, ranks: bool = True) -> DataFrame:
+    """All features; the ranks are found on the narrow input columns. Without
+    ``ranks`` the two rank columns are left out, and no job runs."""
+    scalar = add_scalar_features(df)
+    return add_rank_features(scalar) if ranks else scalar

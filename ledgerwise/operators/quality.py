@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import flag, is_missing
@@ -61,14 +61,15 @@ def dedupe(df: DataFrame, keys: Sequence[str] = ("id",), deterministic: bool = T
     return agg.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def quality_summary(df: DataFrame, id_col: str = "id", amount: str = "Amount",
-                    label: str = "Class") -> DataFrame:
-    """Nine checks in one row (total, unique ids, null labels, negative
-    amounts, min/max/avg amount, fraud and legit counts)."""
+def quality_checks(id_col: str = "id", amount: str = "Amount", label: str = "Class", unique: bool = False) -> list[Column]:
+    """The nine checks (total, unique ids, null labels, negative amounts, min/max/avg
+    amount, fraud and legit counts) as aggregates. ``unique``: the ids are known to be
+    distinct, so that counting those present will do, without a shuffle."""
     a, y = F.col(amount), F.col(label)
-    return df.agg(
+    ids = F.count(F.col(id_col)) if unique else F.count_distinct(F.col(id_col))
+    return [
         F.count(F.lit(1)).alias("total_records"),
-        F.count_distinct(F.col(id_col)).alias("unique_ids"),
+        ids.alias("unique_ids"),
         F.sum(flag(y.isNull())).cast("long").alias("null_labels"),
         F.sum(flag(a < F.lit(0))).cast("long").alias("negative_amounts"),
         F.min(a).alias("min_amount"),
@@ -76,7 +77,13 @@ def quality_summary(df: DataFrame, id_col: str = "id", amount: str = "Amount",
         F.round(F.avg(a), 2).alias("avg_amount"),
         F.sum(flag(y == F.lit(1))).cast("long").alias("fraud_count"),
         F.sum(flag(y == F.lit(0))).cast("long").alias("legit_count"),
-    )
+    ]
+
+
+def quality_summary(df: DataFrame, id_col: str = "id", amount: str = "Amount",
+                    label: str = "Class") -> DataFrame:
+    """``quality_checks`` of a table, in one row."""
+    return df.agg(*quality_checks(id_col, amount, label))
 
 
 def assert_quality(summary: DataFrame | dict) -> dict:

@@ -256,13 +256,13 @@ def _border_keys(df: DataFrame, value: str, tiebreak: str, borders: list[int], n
         return []
     tags = F.array(*[F.when(cond, F.lit(i)) for i, (_, _, cond) in enumerate(specs)])
     tagged = (df.select(tiebreak, F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("_b")))
-    counts = {r["_b"]: (r["nulls"], r["valid"]) for r in tagged.groupBy("_b").agg(
+    counts = {r["_b"]: (r["nulls"], r["valid"], r["rows"]) for r in tagged.groupBy("_b").agg(
         F.count_if(F.col(tiebreak).isNull()).alias("nulls"),
-        F.count_if(_valid(tagged, tiebreak)).alias("valid")).collect()}
+        F.count_if(_valid(tagged, tiebreak)).alias("valid"), F.count(F.lit(1)).alias("rows")).collect()}
     wanted, sizes = {}, {}
     for i, (_, rel, _) in enumerate(specs):
-        nulls, valid = counts.get(i, (0, 0))
-        if rel > nulls:
+        nulls, valid, _ = counts.get(i, (0, 0, 0))
+        if nulls < rel <= nulls + valid:
             wanted[(i,)] = [rel - nulls]
             sizes[(i,)] = valid
     got = order_statistics(tagged, tiebreak, wanted, group_cols=["_b"], group_sizes=sizes, **search) if wanted else {}
@@ -272,7 +272,9 @@ def _border_keys(df: DataFrame, value: str, tiebreak: str, borders: list[int], n
             t, before, ties = got[((i,), wanted[(i,)][0])]
             split = before + ties != wanted[(i,)][0]
         else:
-            t, split = None, rel != counts.get(i, (0, 0))[0]
+            nulls, _, rows = counts.get(i, (0, 0, 0))
+            t, last = (None, nulls) if rel <= nulls else (float("nan"), rows)
+            split = rel != last
         if split:
             raise ValueError(f"several rows have {value}={v!r}, {tiebreak}={t!r} at a tile border; "
                              "the tiebreak must tell rows apart")

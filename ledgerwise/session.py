@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import re
 import tempfile
 import uuid
@@ -66,18 +67,21 @@ def _join(base: str, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
-_scopes: list[list[str]] = []
+# one stack a thread: jobs that run side by side remove only their own tables
+_scopes: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("stage_scopes", default=())
 
 
 @contextlib.contextmanager
 def stage_scope(spark: SparkSession):
     """Removes the intermediate tables made inside when the block ends. For jobs
     that write their results: what is still to be read must not depend on them."""
-    _scopes.append([])
+    own: list[str] = []
+    token = _scopes.set((*_scopes.get(), own))
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scopes.reset(token)
+        for path in own:
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -85,8 +89,8 @@ def stage_scope(spark: SparkSession):
 def stage_path(spark: SparkSession, name: str) -> str:
     """A unique path under the checkpoint folder for an intermediate table."""
     path = _join(checkpoint_dir(spark), f"ledgerwise-stage/{name}-{uuid.uuid4().hex}")
-    if _scopes:
-        _scopes[-1].append(path)
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
     return path
 
 
