@@ -20,8 +20,9 @@ number of classes cubed (``MAX_CLASSES``), so they can go to the driver, where t
 training draws its batches from them: its length does not depend on the corpus.
 
 Texts are tokenised once, into blocks written as a table: a dictionary of the
-block's distinct tokens, and the texts as numbers into it. Dictionaries are joined to
-the token counts, one row a distinct token and block, and come back grouped by block.
+block's distinct tokens, most frequent first, and the texts as numbers into it.
+Dictionaries are joined to the counts and classes of tokens, one row a distinct token
+and block, and come back grouped by block to meet the texts.
 
 Results in odd cases: a null or empty text is its end token; a null id is hashed as an
 empty string (and so held out); repeated rows are documents of their own; with no training
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 from ledgerwise.llm.blocks import Words, blocks
 from ledgerwise.session import materialize, stage_path
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 FREQUENT, SUFFIXES = 63, 64
 MAX_CLASSES = 256       # the triples of a task and of the driver are counted in memory
 LONG_TOKEN = 64
@@ -162,23 +163,29 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     offsets = np.concatenate(([0], np.cumsum(length)))
     words = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(letters))])
     coded = words.dictionary_encode()
-    numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    numbers = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    falling = np.argsort(-np.bincount(numbers, minlength=len(coded.dictionary)), kind="stable")
+    place = np.empty(len(falling), dtype=np.int64)
+    place[falling] = np.arange(1, len(falling) + 1)
+    numbers = place[numbers]
     size = w.counts + 1
     out = np.zeros(len(numbers) + len(size), dtype=np.int64)
     at = np.ones(len(out), dtype=bool)
     at[np.cumsum(size) - 1] = False  # each text's end
     out[at] = numbers
-    distinct = [END] + [t if len(t) <= LONG_TOKEN else b" " + sha256(t).digest()[:16] for t in coded.dictionary.to_pylist()]
+    distinct = [END] + [t if len(t) <= LONG_TOKEN else b" " + sha256(t).digest()[:16] for t in coded.dictionary.take(pa.array(falling)).to_pylist()]
     return out, pa.array(distinct, pa.binary()), size
 
 
 def _packed(numbers: np.ndarray) -> bytes:
-    """Four planes of bytes; the higher ones hardly take place when compressed."""
-    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Four planes of bytes, compressed; most of the higher ones are zero."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+    raw = pa.decompress(data[8:], decompressed_size=4 * int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
 
 
 def coded_blocks(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,6 +239,16 @@ class Classes:
         return np.where(known >= 0, known, out)
 
 
+def with_classes(counts: DataFrame, classes: Classes) -> DataFrame:
+    """(token, c, class) of ``token_counts``."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column("token"), b.column("c"), pa.array(classes.of(b.column("token")))], ["token", "c", "class"])
+
+    return counts.mapInArrow(run, "token binary, c long, class long")
+
+
 def token_counts(coded: DataFrame) -> DataFrame:
     """(token, c): training counts of all tokens that occur, also of those only held out."""
     each = coded.select(F.explode(F.arrays_zip("tokens", "counts")).alias("x"))
@@ -329,9 +346,9 @@ class Model:
         p = np.where(c > 0, (c - discount) / n[k], unseen[k])
         return np.log10(np.where(k < open_from, 1.0, p))  # the others are alone in their classes
 
-    def token_scores(self, numbers: np.ndarray, size: np.ndarray, tokens: pa.Array, c: np.ndarray) -> np.ndarray:
-        """log10 probability of each token of a block's texts."""
-        k = self.classes.of(tokens)
+    def token_scores(self, numbers: np.ndarray, size: np.ndarray, k: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """log10 probability of each token of a block's texts; ``k`` and ``c`` are the class
+        and training count of each token of its dictionary."""
         own = k[numbers]
         code = triple_code(own, np.cumsum(size) - size, self.classes.n)
         contexts, at = np.unique(code // self.classes.n, return_inverse=True)
@@ -362,21 +379,22 @@ def score(docs: DataFrame, folds: int = 10, frequent: int = FREQUENT, suffixes:
     model = train(coded, counts, frequent, suffixes, steps)
     places = coded.select("block", F.posexplode("tokens").alias("pos", "token"))
     # a block has a bounded number of distinct tokens, or one text's
-    found = (places.join(counts, "token").groupBy("block")
-             .agg(F.collect_list(F.struct("pos", "c")).alias("found")))
+    found = (places.join(with_classes(counts, model.classes), "token").groupBy("block")
+             .agg(F.collect_list(F.struct((F.col("pos") * MAX_CLASSES + F.col("class")).alias("place"), "c")).alias("found")))
 
     def run(batches):
         for row in _rows(batches):
-            c = np.zeros(len(row["tokens"]), dtype=np.int64)
-            c[row["found"].field("pos").to_numpy()] = row["found"].field("c").to_numpy()
+            at, own = np.divmod(row["found"].field("place").to_numpy(), MAX_CLASSES)
+            k, c = np.zeros((2, len(at)), dtype=np.int64)
+            k[at], c[at] = own, row["found"].field("c").to_numpy()
             numbers, size = row["numbers"], row["sizes"].to_numpy()
             first = np.cumsum(size) - size
-            known, base, own = (np.add.reduceat(x, first) for x in (
-                (c > 0).astype(np.int64)[numbers], model.base(c)[numbers], model.token_scores(numbers, size, row["tokens"], c)))
+            known, base, full = (np.add.reduceat(x, first) for x in (
+                (c > 0).astype(np.int64)[numbers], model.base(c)[numbers], model.token_scores(numbers, size, k, c)))
             yield pa.RecordBatch.from_arrays(
                 [row["doc_ids"], row["held"], pa.array(size.astype(np.int64)), pa.array(known), pa.array(np.full(len(size), model.tokens)),
-                 pa.array(base), pa.array(own)],
+                 pa.array(base), pa.array(full)],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    rows = coded.select("block", "doc_ids", "held", "sizes", "codes", "tokens").join(found, "block")
+    rows = coded.select("block", "doc_ids", "held", "sizes", "codes").join(found, "block")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
