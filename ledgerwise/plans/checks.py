@@ -11,22 +11,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.columns import left_closed_bins, right_closed_bins
+from ..ml import boosting as BO
+from ..ml import importance as PI
 from ..ml import split as SP
 from ..ml import train as TR
+from ..ml.incremental import score_incremental
 from ..ml.registry import Tracker
 from ..ml.scale import zscore
 from ..ml.score import model_performance, prediction_distribution, risk_distribution, score_rows
+from ..ml.split_stable import stable_split
 from ..operators import aggregates as A
 from ..operators import metrics as M
 from ..operators import profile as P
 from ..operators import quality as Q
 from ..operators import ranks as R
 from ..sources import fixtures as FX
+from ..sources import quarantine as QU
 from ..sources.catalog import preview
 from ..sources.files import cast_rejects
 from ..sources.lakehouse import Lakehouse
@@ -48,8 +55,8 @@ def _bronze(spark: SparkSession, sf: str) -> DataFrame:
     return MD.add_provenance(FX.txn(spark, sf), "test_tables", sf)
 
 
-def _silver(spark: SparkSession, sf: str) -> DataFrame:
-    return MD.silver_frame(_bronze(spark, sf), stamp=False)
+def _silver(spark: SparkSession, sf: str, ranks: bool = True) -> DataFrame:
+    return MD.silver_frame(_bronze(spark, sf), stamp=False, ranks=ranks)
 
 
 def _silver_ml(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,7 +108,7 @@ def q_dedupe(spark, sf):
 
 
 def q_quality_summary(spark, sf):
-    return Q.quality_summary(_silver(spark, sf))
+    return Q.quality_summary(_silver(spark, sf, ranks=False))
 
 
 def q_silver_features(spark, sf):
@@ -153,7 +160,7 @@ def q_percentile_refined(spark, sf):
 
 
 def q_fraud_by_amount(spark, sf):
-    return A.fraud_by_amount(_silver(spark, sf))
+    return A.fraud_by_amount(_silver(spark, sf, ranks=False))
 
 
 def q_fraud_by_order_price(spark, sf):
@@ -169,11 +176,11 @@ def q_fraud_by_quartile(spark, sf):
 
 
 def q_kpis(spark, sf):
-    return A.kpis(_silver(spark, sf), stamp=False)
+    return A.kpis(_silver(spark, sf, ranks=False), stamp=False)
 
 
 def q_feature_summary(spark, sf):
-    return A.feature_summary(_silver(spark, sf))
+    return A.feature_summary(_silver(spark, sf, ranks=False))
 
 
 def q_value_counts(spark, sf):
@@ -190,7 +197,7 @@ def q_preview_ordered(spark, sf):
 
 
 def q_histogram_by_class(spark, sf):
-    h = P.histogram(_silver(spark, sf), ["Amount", "Amount_log"], 50, "Class")
+    h = P.histogram(_silver(spark, sf, ranks=False), ["Amount", "Amount_log"], 50, "Class")
     return h.withColumn("bin_lo", F.round("bin_lo", ROUND_LOG)).withColumn("bin_hi", F.round("bin_hi", ROUND_LOG))
 
 
@@ -287,25 +294,89 @@ def q_scores_page(spark, sf):
     return RP.scores_page(RP.typed_view(_formula_scores(spark, sf), S.GOLD_SCORES), "Medium")
 
 
-def _gold(spark, sf) -> dict[str, DataFrame]:
-    s = _silver(spark, sf)
-    return {S.GOLD_BY_AMOUNT: A.fraud_by_amount(s), S.GOLD_BY_QUARTILE: A.fraud_by_quartile(s),
-            S.GOLD_KPIS: A.kpis(s, stamp=False)}
-
-
 def q_executive_summary(spark, sf):
-    return RP.executive_summary(RP.typed_view(_gold(spark, sf)[S.GOLD_KPIS], S.GOLD_KPIS))
+    return RP.executive_summary(RP.typed_view(q_kpis(spark, sf), S.GOLD_KPIS))
 
 
 def q_fraud_analysis(spark, sf):
-    g = _gold(spark, sf)
-    return RP.fraud_analysis(RP.typed_view(g[S.GOLD_BY_AMOUNT], S.GOLD_BY_AMOUNT),
-                             RP.typed_view(g[S.GOLD_BY_QUARTILE], S.GOLD_BY_QUARTILE))
+    s = _silver(spark, sf)
+    return RP.fraud_analysis(RP.typed_view(A.fraud_by_amount(s), S.GOLD_BY_AMOUNT),
+                             RP.typed_view(A.fraud_by_quartile(s), S.GOLD_BY_QUARTILE))
 
 
 def q_report_aggregate(spark, sf):
-    v = RP.typed_view(_gold(spark, sf)[S.GOLD_BY_AMOUNT], S.GOLD_BY_AMOUNT)
-    return RP.report_aggregate(v)
+    return RP.report_aggregate(RP.typed_view(q_fraud_by_amount(spark, sf), S.GOLD_BY_AMOUNT))
+
+
+def q_report_by_risk(spark, sf):
+    """The default sums of the scores view, by its bands and models."""
+    r = RP.report_aggregate(RP.typed_view(_formula_scores(spark, sf), S.GOLD_SCORES), ["risk_category", "model_name"])
+    return r.withColumn("sum_Amount", F.round("sum_Amount", 2))
+
+
+def q_box_stats_null_class(spark, sf):
+    """Box statistics where a fifth of the rows has no class: they are a group of their own."""
+    t = FX.txn(spark, sf).withColumn("Class", F.when(F.col("id") % 5 != 0, F.col("Class")))
+    b = P.box_stats(t, NULL_CLASS_COLS, "Class")
+    return b.withColumns({c: F.round(c, ROUND_STAT) for c in ("q1", "median", "q3", "iqr")})
+
+
+NULL_CLASS_COLS = ["V1", "V2", "Amount"]
+
+
+def q_split_stable(spark, sf):
+    """The side of each row by a threshold on its own hash, one for each class."""
+    return stable_split(FX.txn(spark, sf).select("id", "Class"), {0: 0.2, 1: 0.35})
+
+
+def q_quarantine(spark, sf):
+    """Lines that landed, by what became of them: every tenth key, every seventh price and every
+    eleventh line's number of fields is damaged on the way."""
+    k = F.col("o_orderkey")
+    line = F.concat_ws(",", F.concat(F.when(k % 10 == 0, F.lit("k")).otherwise(F.lit("")), k.cast("string")),
+                       F.when(k % 7 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")), F.when(k % 11 != 0, F.col("o_orderstatus")))
+    lake = Lakehouse.scratch(spark, "landing")
+    FX.orders(spark, sf).select(line.alias("line")).write.text(lake.path("raw"))
+    fits = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("price", T.DoubleType()), T.StructField("status", T.StringType())])
+    got = QU.land(lake, lake.path("raw"), fits)
+    return QU.quarantine_summary(got.rejected).unionByName(got.accepted.agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("lines")))
+
+
+def q_incremental_scores(spark, sf):
+    """How many rows four runs in a row score, keep and remove: part of the rows, the same again,
+    all but others with every seventh row changed, and the same under another model version."""
+    t = FX.txn_ml(spark, sf).select("id", "V1", "V2", "Amount", "Class")
+    model = TR.fit_pipeline(t, "lr", ["V1", "V2"], {"max_iter": 5})
+    part = t.filter(F.col("id") % 10 != 0)
+    later = t.filter(F.col("id") % 10 != 1).withColumn("Amount", F.when(F.col("id") % 7 == 0, F.col("Amount") + 1).otherwise(F.col("Amount")))
+    lake, out = Lakehouse.scratch(spark, "incremental"), []
+    for i, (rows, version) in enumerate(((part, "1"), (part, "1"), (later, "1"), (later, "2")), 1):
+        r = score_incremental(lake, model, rows, "m", version, ["V1", "V2"], buckets=16)
+        out.append((i, r.scored, r.kept, r.removed, r.scores.count()))
+    return spark.createDataFrame(out, "run int, scored long, kept long, removed long, rows long")
+
+
+PERMUTED = ["V1", "V2"]
+
+
+def q_permuted_auc(spark, sf):
+    """The formula score's area as it is and with a column's values exchanged between rows."""
+    order = [F.md5(F.concat(F.lit(f"{s}:"), F.col("_id").cast("string"))) for s in ("take", "give")]
+    rows = PI.permuted_rows(FX.txn(spark, sf), PERMUTED, keep=["Class"], orders=tuple(order))
+    areas = PI.auc_by_group(_score(rows), "permuted", "Class", "score")
+    return areas.select("permuted", F.round("auc_roc", ROUND_METRIC).alias("auc_roc"))
+
+
+COARSE = ["V1", "V2", "V3"]
+
+
+def q_gbt_root_split(spark, sf):
+    """The first split of the first boosted tree over all transactions, its gain and its leaves."""
+    t = FX.txn(spark, sf).select("Class", *[F.round(F.col(c) * 8).alias(c) for c in COARSE])
+    body = BO.fit_boosted(t, COARSE, "Class", BO.BoostParams(n_estimators=1, max_depth=1)).body
+    tree = body["trees"][0]
+    row = (COARSE[tree["feature"][0]], float(tree["border"][0]), round(tree["gain"][0], 6), round(tree["value"][1], 8), round(tree["value"][2], 8))
+    return spark.createDataFrame([row], "feature string, border double, gain double, left_value double, right_value double")
 
 
 def q_cast_rejects(spark, sf):
@@ -379,20 +450,42 @@ def q_feature_importance(spark, sf):
 
 
 def _brute_metrics(scored: DataFrame) -> dict:
-    """Metrics of a small scored table by other formulas: the AUC from average
-    ranks in a window, the rest from grouped counts."""
-    w = Window.orderBy("_p_raw")
-    ranked = scored.select("Class", (F.rank().over(w) + (F.count(F.lit(1)).over(Window.partitionBy("_p_raw")) - 1) / 2).alias("r"))
-    a = ranked.groupBy("Class").agg(F.sum("r").alias("r"), F.count(F.lit(1)).alias("n")).collect()
-    pos, neg = (next(x for x in a if x["Class"] == c) for c in (1, 0))
+    """Metrics of a scored table by a second way: the AUC by Spark ML's evaluator over
+    every distinct score, the rest from grouped counts."""
+    auc = BinaryClassificationEvaluator(rawPredictionCol="_p_raw", labelCol="_y", numBins=0).evaluate(
+        scored.select("_p_raw", F.col("Class").cast("double").alias("_y")))
     n = {(x["Class"], x["fraud_prediction"]): x["count"] for x in scored.groupBy("Class", "fraud_prediction").count().collect()}
     tp, fp, fn, tn = (n.get(k, 0) for k in ((1, 1), (0, 1), (1, 0), (0, 0)))
     precision, recall = tp / (tp + fp) if tp + fp else 0.0, tp / (tp + fn)
-    return {"auc_roc": (pos["r"] - pos["n"] * (pos["n"] + 1) / 2) / (pos["n"] * neg["n"]), "accuracy": (tp + tn) / sum(n.values()),
+    return {"auc_roc": auc, "accuracy": (tp + tn) / sum(n.values()),
             "precision": precision, "recall": recall,
             "f1_score": 2 * precision * recall / (precision + recall) if precision + recall else 0.0}
 
 
+def q_gbt_history(spark, sf):
+    """The boosting rounds: the training loss never rises, and the last round's loss on the
+    hold-out is that of the scored rows."""
+    run = _experiment(spark, sf, ("gbt",))["runs"]["gbt"]
+    p = F.when(F.col("Class") == 1, F.col("_p_raw")).otherwise(1 - F.col("_p_raw"))
+    loss = run.scored.agg(F.avg(-F.log(p))).first()[0]
+    h, out = run.history, []
+    for i, r in enumerate(h):
+        falls = i == 0 or r["train_log_loss"] <= h[i - 1]["train_log_loss"] + 1e-9
+        out.append((r["round"], falls, 0 <= r["eval_auc_pr"] <= 1 and (i + 1 < len(h) or abs(r["eval_log_loss"] - loss) < 1e-6)))
+    return spark.createDataFrame(out, "round long, loss_falls boolean, eval_ok boolean")
+
+
+def q_permutation_importance(spark, sf):
+    """Every model's loss of area by feature on the hold-out: one row a feature, each within [-1, 1]."""
+    e = _experiment(spark, sf)
+    out = None
+    for k in KINDS:
+        part = PI.permutation_importance(e["runs"][k].model, e["test"]).groupBy(F.lit(k).alias("model")).agg(
+            F.count_distinct("feature").alias("features"), F.count_if(~F.col("importance").between(-1, 1)).alias("outside"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_compare_models(spark, sf):
     """The logged metrics of each run against a second computation, best AUC first."""
     e = _experiment(spark, sf)
@@ -489,6 +582,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fraud_analysis": q_fraud_analysis,
     "report_aggregate": q_report_aggregate,
     "cast_rejects": q_cast_rejects,
+    "report_by_risk": q_report_by_risk,
+    "box_stats_null_class": q_box_stats_null_class,
+    "split_stable": q_split_stable,
+    "quarantine": q_quarantine,
+    "incremental_scores": q_incremental_scores,
+    "permuted_auc": q_permuted_auc,
+    "gbt_root_split": q_gbt_root_split,
+    "gbt_history": q_gbt_history,
+    "permutation_importance": q_permutation_importance,
     "lr_scores": _fit_scores("lr"),
     "rf_scores": _fit_scores("rf"),
     "gbt_scores": _fit_scores("gbt"),
@@ -619,6 +721,59 @@ def _box_sql() -> str:
             "outliers, min, max FROM q JOIN w ON q.feature = w.feature AND q.Class = w.Class")
 
 
+def _box_null_sql() -> str:
+    names = ", ".join(NULL_CLASS_COLS)
+    return (WITH_TXN + f", v AS (SELECT CASE WHEN id % 5 <> 0 THEN Class END AS Class, feature, value FROM txn UNPIVOT (value FOR feature IN ({names})) "
+            "WHERE NOT isnan(value)), q AS (SELECT feature, Class, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median, "
+            "quantile_cont(value, 0.75) AS q3, min(value) AS min, max(value) AS max FROM v GROUP BY feature, Class) "
+            f"SELECT q.feature, q.Class, n, round(q1, {ROUND_STAT}) + 0.0 AS q1, round(median, {ROUND_STAT}) + 0.0 AS median, "
+            f"round(q3, {ROUND_STAT}) + 0.0 AS q3, round(q3 - q1, {ROUND_STAT}) + 0.0 AS iqr, "
+            "min(value) FILTER (value >= q1 - 1.5 * (q3 - q1)) AS whisker_lo, max(value) FILTER (value <= q3 + 1.5 * (q3 - q1)) AS whisker_hi, "
+            "count(*) FILTER (value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS outliers, min, max "
+            "FROM q JOIN v ON v.feature = q.feature AND v.Class IS NOT DISTINCT FROM q.Class GROUP BY ALL")
+
+
+def _permuted_sql() -> str:
+    """Places by two hashes; areas from average ranks."""
+    own = "SELECT t.Class, '{p}' AS permuted, abs({a}) + abs({b}) AS m FROM take t JOIN give g ON t.place = g.place"
+    variants = " UNION ALL ".join(own.format(p=p, a=a, b=b) for p, a, b in (("", "t.V1", "t.V2"), ("V1", "g.V1", "t.V2"), ("V2", "t.V1", "g.V2")))
+    return (WITH_TXN + "".join(f", {s} AS (SELECT *, row_number() OVER (ORDER BY md5('{s}:' || id), id) AS place FROM txn)" for s in ("take", "give"))
+            + f", x AS (SELECT permuted, Class, m / (1.0 + m) AS score FROM ({variants})), "
+            "r AS (SELECT *, rank() OVER (PARTITION BY permuted ORDER BY score) + (count(*) OVER (PARTITION BY permuted, score) - 1) / 2.0::DOUBLE AS r FROM x), "
+            "s AS (SELECT permuted, sum(r) FILTER (Class = 1) AS r, count(*) FILTER (Class = 1)::DOUBLE AS p, count(*) FILTER (Class = 0)::DOUBLE AS n "
+            f"FROM r GROUP BY permuted) SELECT permuted, round(CASE WHEN p * n > 0 THEN (r - p * (p + 1) / 2) / (p * n) END, {ROUND_METRIC}) AS auc_roc FROM s")
+
+
+def _root_split_sql() -> str:
+    """Gains of every cut of every feature, from running sums of gradients and hessians."""
+    names = ", ".join(COARSE)
+    gain = "(gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1)) / 2"
+    return (WITH_TXN + f", t AS (SELECT Class, {', '.join(f'round({c} * 8) AS {c}' for c in COARSE)} FROM txn), p AS (SELECT avg(Class) AS p FROM t), "
+            "v AS (SELECT feature, value + 0.0 AS value, sum(p - Class) AS g, sum(p * (1 - p)) AS h FROM (SELECT * FROM t "
+            f"UNPIVOT (value FOR feature IN ({names}))), p GROUP BY ALL), "
+            "c AS (SELECT feature, value, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY feature) AS g, "
+            "sum(h) OVER (PARTITION BY feature) AS h FROM v WINDOW w AS (PARTITION BY feature ORDER BY value)) "
+            f"SELECT feature, value AS border, round({gain}, 6) AS gain, round(-0.1 * gl / (hl + 1), 8) AS left_value, "
+            "round(-0.1 * (g - gl) / (h - hl + 1), 8) AS right_value FROM c WHERE hl >= 1 AND h - hl >= 1 "
+            f"ORDER BY {gain} DESC, feature, value LIMIT 1")
+
+
+def _quarantine_sql() -> str:
+    reason = ("CASE WHEN o_orderkey % 11 = 0 THEN 'columns' WHEN o_orderkey % 10 = 0 AND o_orderkey % 7 = 0 THEN 'cast: id, price' "
+              "WHEN o_orderkey % 10 = 0 THEN 'cast: id' WHEN o_orderkey % 7 = 0 THEN 'cast: price' ELSE 'accepted' END")
+    return f"SELECT {reason} AS reason, count(*) AS lines FROM orders GROUP BY ALL"
+
+
+def _incremental_sql() -> str:
+    n = "(SELECT count(*) FILTER (WHERE {c}) FROM embeddings)"
+    part, later = "vec_id % 10 <> 0", "vec_id % 10 <> 1"
+    runs = [(n.format(c=part), "0", "0", part), ("0", n.format(c=part), "0", part),
+            (n.format(c=f"{later} AND (vec_id % 10 = 0 OR vec_id % 7 = 0)"), n.format(c=f"{part} AND {later} AND vec_id % 7 <> 0"),
+             n.format(c="vec_id % 10 = 1"), later), (n.format(c=later), "0", "0", later)]
+    return " UNION ALL ".join(f"SELECT {i}::INTEGER AS run, {s}::BIGINT AS scored, {k}::BIGINT AS kept, {r}::BIGINT AS removed, {n.format(c=c)} AS rows"
+                              for i, (s, k, r, c) in enumerate(runs, 1))
+
+
 def _hist_sql() -> str:
     """Counts by a range join of the values with each bin's edges."""
     edge = "(CASE WHEN {i} >= 50 THEN hi ELSE CAST({i} AS DOUBLE) * ((hi - lo) / 50.0) + lo END)"
@@ -771,6 +926,17 @@ ORACLE: dict[str, str] = {
     "true AS metrics_ok FROM embeddings",
     "performance_page": f"SELECT '{S.MODEL_NAME}' AS model_name, CAST(1 AS BIGINT) AS model_version, true AS auc_roc_ok, true AS precision_ok, "
     "true AS recall_ok, true AS f1_score_ok",
+    "report_by_risk": WITH_FSCORES + "SELECT risk_category, model_name, round(sum(Amount), 2) AS sum_Amount, CAST(sum(fraud_prediction) AS BIGINT) "
+    "AS sum_fraud_prediction FROM fs GROUP BY ALL",
+    "box_stats_null_class": _box_null_sql(),
+    "split_stable": WITH_TXN + "SELECT id, Class, CASE WHEN ('0x' || substr(md5('42:' || id), 1, 8))::BIGINT / 4294967296.0::DOUBLE "
+    "< CASE Class WHEN 0 THEN 0.2::DOUBLE WHEN 1 THEN 0.35::DOUBLE ELSE 0 END THEN 'test' ELSE 'train' END AS split FROM txn",
+    "quarantine": _quarantine_sql(),
+    "incremental_scores": _incremental_sql(),
+    "permuted_auc": _permuted_sql(),
+    "gbt_root_split": _root_split_sql(),
+    "gbt_history": "SELECT CAST(r AS BIGINT) AS round, true AS loss_falls, true AS eval_ok FROM range(1, 301) t(r)",
+    "permutation_importance": f"SELECT unnest(['lr', 'rf', 'gbt']) AS model, CAST({len(S.MODEL_FEATURES)} AS BIGINT) AS features, CAST(0 AS BIGINT) AS outside",
     "executive_summary": WITH_SILVER + _kpis_sql(),
     "fraud_analysis": WITH_SILVER + ", a AS (" + _gold_by_amount_sql() + "), q AS (" + _gold_by_quartile_sql()
     + ") SELECT 'amount_category' AS dimension, Amount_category AS bucket, total_transactions, fraud_count, "
