@@ -5,9 +5,12 @@ share of the weights, times the rows wanted, over the rows it has). Each
 document draws its number of copies from a Poisson distribution of that mean by
 inversion: a uniform number from the hash of (seed, doc_id) is compared with the
 distribution's steps, which are tabulated once per source in log space (no
-underflow at large rates). Documents are exploded by their count and dealt out
-by the hash of (seed, doc_id, copy): a global shuffle in which no source, however
-hot, meets in one task.
+underflow at large rates), within 12 deviations of the mean: outside them the rest is
+below double precision. A source's table thus has some 24 * sqrt(rate) + 40 entries,
+made in linear time, and a document finds its count by binary search. Adaptive
+execution sends the table to the documents where its size at run time allows, and else splits a
+hot source's documents over tasks. Documents are exploded by their count and
+dealt out by the hash of (seed, doc_id, copy), a global shuffle.
 
 Results in odd cases: a null source is a source of its own; a source without a
 weight, or with a weight of null, zero or less, gives no copies; a null doc_id
@@ -19,12 +22,14 @@ replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwise.session import materialize
 
-BROADCAST_SOURCES = 10_000  # rates of so many sources, a few MB, may be broadcast
+DEVIATIONS = 12.0     # of the mean within which a distribution is tabulated
 
 
 def uniform(*parts: F.Column) -> F.Column:
@@ -33,18 +38,40 @@ def uniform(*parts: F.Column) -> F.Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def poisson_steps(rate: F.Column) -> F.Column:
-    """P(X <= k) for k = 0, 1, ... until the rest is below double precision."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    logs = F.concat(F.array(-rate), F.transform(F.sequence(F.lit(1), last), lambda k: F.log(rate / k)))
-    start = F.struct(F.lit(0.0).alias("log"), F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("steps"))
+def first_step(rate: F.Column) -> F.Column:
+    """The smallest count of the table: below it the probabilities add up to nothing."""
+    return F.greatest(F.lit(0), F.floor(rate - DEVIATIONS * F.sqrt(rate) - 40)).cast("long")
+
+
+def poisson_steps(rates: DataFrame) -> DataFrame:
+    """``rates(source, rate)`` with ``low`` and ``steps``: P(X <= k) for k = low, low + 1, ... until
+    the rest is below double precision. Running sums over one row a step."""
+    low = first_step(F.col("rate"))
+    last = F.ceil(F.col("rate") + DEVIATIONS * F.sqrt("rate") + 40).cast("long")
+    # log k! of the first step by Stirling's series for large counts, else by its logarithms
+    n = F.col("low").cast("double")
+    series = n * F.log(n) - n + 0.5 * F.log(2 * math.pi * n) + 1 / (12 * n) - 1 / (360 * F.pow(n, 3)) + 1 / (1260 * F.pow(n, 5))
+    exact = F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest("low", F.lit(1).cast("long"))), F.lit(0.0), lambda a, k: a + F.log(k))
+    start = F.when(F.col("low") == 0, -F.col("rate")).otherwise(
+        n * F.log("rate") - F.col("rate") - F.when(F.col("low") > 100, series).otherwise(exact))
+    each = rates.withColumn("low", low).withColumn("_start", start).select("*", F.explode(F.sequence("low", last)).alias("_k"))
+    order = Window.partitionBy("source").orderBy("_k")
+    log = F.col("_start") + F.sum(F.when(F.col("_k") > F.col("low"), F.log(F.col("rate") / F.col("_k"))).otherwise(0.0)).over(order)
+    summed = each.withColumn("_log", log).withColumn("_step", F.sum(F.exp("_log")).over(order))
+    # a few thousand steps a source at the rates of a mixture
+    return summed.groupBy("source", "low").agg(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_step"))), lambda x: x["_step"]).alias("steps"))
+
 
-    def step(acc, x):
-        log = acc["log"] + x
-        total = acc["sum"] + F.exp(log)
-        return F.struct(log.alias("log"), total.alias("sum"), F.concat(acc["steps"], F.array(total)).alias("steps"))
+def count_of(u: F.Column, low: F.Column, steps: F.Column, longest: int) -> F.Column:
+    """How many steps are at most ``u``, by binary search, above those left out below ``low``."""
+    def halved(at: F.Column, step: int) -> F.Column:
+        # the place found so far is named once, not nested into itself
+        return F.transform(F.array(at), lambda i: i + F.when(F.try_element_at(steps, i + step) <= u, F.lit(step)).otherwise(F.lit(0)))[0]
 
-    return F.aggregate(logs, start, step, lambda acc: acc["steps"])
+    at, step = F.lit(0), 1 << max(longest.bit_length() - 1, 0)
+    while step and longest:
+        at, step = halved(at, step), step >> 1
+    return low + at
 
 
 def repetition_rates(docs: DataFrame, weights: DataFrame, total: float | None = None) -> DataFrame:
@@ -65,16 +92,17 @@ def repetition_rates(docs: DataFrame, weights: DataFrame, total: float | None =
 def poisson_mix(docs: DataFrame, weights: DataFrame, total: float | None = None, seed: int = 11) -> DataFrame:
     """The copies: the columns of ``docs``, copy (from 1) and shuffle_key, dealt
     out and sorted by shuffle_key within partitions."""
-    rates = materialize(repetition_rates(docs, weights, total)
-                        .select(F.col("source").alias("w_source"), poisson_steps(F.col("rate")).alias("steps")), "mix-rates")
-    if rates.count() <= BROADCAST_SOURCES:
-        rates = F.broadcast(rates)
+    known = materialize(repetition_rates(docs, weights, total).select("source", "rate"), "mix-rates")
+    table = materialize(poisson_steps(known), "mix-steps")
+    longest = table.agg(F.max(F.size("steps"))).first()[0] or 0
+    rates = table.select(F.col("source").alias("w_source"), "low", "steps")
     names = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
     rows = docs.select(F.struct(*names).alias("row"))
     u = uniform(F.lit(seed), F.col("row.doc_id"))
+    times = count_of(F.col("u"), F.col("low"), F.col("steps"), longest)
     drawn = (rows.join(rates, F.col("row.source").eqNullSafe(F.col("w_source")))
-             .select("row", u.alias("u"), "steps")
-             .select("row", F.size(F.filter("steps", lambda c: c <= F.col("u"))).alias("times"))
+             .select("row", u.alias("u"), "low", "steps")
+             .select("row", times.alias("times"))
              .filter("times > 0")
              .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times").cast("long"))).alias("copy")))
     key = F.md5(F.concat_ws(":", F.lit("order"), F.lit(seed), F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null")),

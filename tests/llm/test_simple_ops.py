@@ -229,3 +229,25 @@ def test_empty_tables(odd_docs):
     none = odd_docs.limit(0)
     assert SH.near_duplicates(none).count() == 0
     assert TC.token_counts(none, "word_bpe_49k.json").count() == 0
+
+
+def test_steps_are_linear_and_exact_at_any_rate(spark):
+    import math
+    import time
+    rates = [0.001, 0.7, 30.0, 1_000.0, 1e6]
+    df = spark.createDataFrame([(f"s{i}", r) for i, r in enumerate(rates)], "source string, rate double")
+    start = time.time()
+    got = {r.source: r for r in MX.poisson_steps(df).collect()}
+    assert time.time() - start < 30
+    for i, rate in enumerate(rates):
+        low, steps = got[f"s{i}"].low, got[f"s{i}"].steps
+        total, want = 0.0, []
+        for k in range(low, low + len(steps)):
+            total += math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1))
+            want.append(total)
+        near = 1e-9 + 1e-13 * rate  # the logarithms of terms near rate * log(rate) end there
+        assert max(abs(a - b) for a, b in zip(steps, want)) < near and abs(steps[-1] - 1) < near
+        for u in (0.0, 1e-12, 0.25, 0.5, 0.999999, steps[0], steps[-2]):
+            row = spark.createDataFrame([(u, low, steps)], "u double, low long, steps array<double>")
+            n = row.select(MX.count_of(F.col("u"), F.col("low"), F.col("steps"), len(steps)).alias("n")).first().n
+            assert n == low + sum(x <= u for x in steps)
