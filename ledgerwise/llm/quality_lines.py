@@ -9,7 +9,8 @@ base rule rejects texts that are too short or mostly repeat themselves.
 
 The weights are fitted with forward-backward gradients in numpy on a bounded
 sample: at most ``FIT_DOCS`` labelled documents of each class (those of smallest
-id hash), ``FIT_LINES`` lines of each. A training line is boilerplate if its
+id hash; of several rows of an id one), and of each at most ``FIT_LINES`` lines in a
+row, whose place in the whole text is drawn by hash. A training line is boilerplate if its
 document's quality is 0 and it shows one of the ``SIGNS``, else content.
 Without labels of both classes the fixed ``DEFAULT`` weights are used.
 
@@ -22,6 +23,7 @@ in ``quality_rules``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -263,14 +265,23 @@ def fit_sample(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, fit
             at, x = t.features()
             code = x @ (1 << np.arange(x.shape[1]))
             cut = np.searchsorted(at, t.line_first)
-            rows = [code[cut[d]:min(cut[d + 1], cut[d] + fit_lines)].tolist() for d in range(len(t.doc_words))]
+            rows = [_run_of(code[cut[d]:cut[d + 1]], fit_lines).tolist() for d in range(len(t.doc_words))]
             yield pa.RecordBatch.from_arrays([b.column("quality"), pa.array(rows, pa.list_(pa.int32()))], ["quality", "lines"])
 
-    # the id list is bounded by fit_docs, so it may be broadcast; texts do not move
-    src = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "quality")
+    # the id list is bounded by fit_docs, so it may be broadcast; of several rows of one id one is taken
+    src = docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(
+        F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row")).select("row.text", "quality")
     return sorted((r.quality, list(r.lines)) for r in src.mapInArrow(run, "quality int, lines array<int>").collect() if r.lines)
 
 
+def _run_of(codes: np.ndarray, longest: int) -> np.ndarray:
+    """At most ``longest`` consecutive lines, from a place that a hash of the whole text's lines gives."""
+    if len(codes) <= longest:
+        return codes
+    at = crc32(codes.astype("<i8").tobytes()) % (len(codes) - longest + 1)
+    return codes[at:at + longest]
+
+
 def fit_crf(sample: list, steps: int = 120, rate: float = 0.2, l2: float = 1e-3) -> Crf:
     """Maximum likelihood by gradient ascent (Adam) with batched forward-backward."""
     if {q for q, _ in sample} != {0, 1}:

@@ -128,8 +128,14 @@ def _sql_text(html: str) -> str:
         return out
 
     out = steps(html, WA.TEXT_STEPS)
+    out = f"regexp_replace(replace({out}, chr(1), ''), '{WA.AMPERSAND}', chr(1), 'g')"
     for entity, char in WA.ENTITIES:
         out = f"replace({out}, '{entity}', chr({ord(char)}))"
+    number = "(CASE WHEN e[3] IN ('x', 'X') THEN ('0x' || e[4:-2])::BIGINT ELSE e[3:-2]::BIGINT END)"
+    char = f"chr((CASE WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 THEN {number} ELSE 65533 END)::INT)"
+    out = (f"list_reduce(list_prepend({out}, list_distinct(regexp_extract_all(html, '{WA.NUMERIC}'))), "
+           f"lambda t, e: replace(t, e, {char}))")
+    out = f"replace({out}, chr(1), '&')"
     return f"trim({steps(out, WA.SPACE_STEPS)}, chr(32) || chr(10))"
 
 
@@ -191,8 +197,9 @@ WITH src AS (
 read AS (
   SELECT source_id, target_uri, warc_date, 'sha256:' || sha256(html) AS source_digest,
          {_sql_urn("source_id || '|conversion'")} AS text_id, {_sql_urn("source_id || '|metadata'")} AS meta_id,
-         {_sql_text("html")} AS text, trim(regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title', 1), chr(32) || chr(10)) AS title,
-         regexp_extract_all(html, '(?i)<a\\s[^>]*?href="([^"]*)"', 1) AS links, strlen(html) AS size
+         {_sql_text("html")} AS text, trim(regexp_replace(regexp_extract(html, '{WA.TITLE}', 1), '{WA.TITLE_FOLD}', ' ', 'g')) AS title,
+         [replace(trim(regexp_replace(CASE WHEN x[1] IN ('"', chr(39)) THEN x[2:-2] ELSE x END, '{WA.LINK_DROP}', '', 'g')), ' ', '%20')
+          FOR x IN regexp_extract_all(html, '{WA.LINK.replace("'", "''")}', 1)] AS links, strlen(html) AS size
   FROM src),
 filled AS (
   SELECT *, CASE WHEN title <> '' THEN 'title: ' || title || {_CRLF} ELSE '' END

@@ -12,8 +12,8 @@ window's score. All overlapping windows of ``WINDOW`` words, ``STRIDE`` apart, a
 scored and the largest is the document's score.
 
 Training, in the driver, on a bounded sample: at most ``FIT_DOCS`` labelled
-documents of each class (those of smallest id hash), at most ``FIT_CHARS``
-characters of each. Two thirds fill the tables, one third trains the network
+documents of each class (those of smallest id hash; of several rows of an id one),
+at most ``FIT_CHARS`` characters of each, drawn over the whole text in pieces. Two thirds fill the tables, one third trains the network
 (Adam, backpropagation through time), so it sees the tables as new documents do.
 The gradient of a document runs through its best window. As the limit per class
 binds on large inputs, the sample's class ratio is not that of the labels; the
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ledgerwise.llm.blocks import Hasher, Words, blocks
 
-FIT_DOCS, FIT_CHARS = 2_000, 20_000
+FIT_DOCS, FIT_CHARS, FIT_PIECE = 2_000, 200_000, 2_000
 WINDOW, STRIDE = 64, 32
 GRAMS = (4, 5, 6)
 BUCKETS = 1 << 20
@@ -355,6 +355,18 @@ def ratio_shift(labels: DataFrame, fit_docs: int = FIT_DOCS) -> float:
     return float(np.log(toxic / clean))
 
 
+def drawn_text(text: F.Column, chars: int, piece: int = FIT_PIECE) -> F.Column:
+    """The text, or of a longer one than ``chars`` pieces of it, drawn by hash over its whole length
+    and in their order, without the words that their ends cut."""
+    n = F.ceil(F.length(text) / F.lit(piece)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
+        F.xxhash64(F.xxhash64(text), i).alias("h"), i.alias("i"),
+        F.regexp_replace(F.substring(text, i * piece + 1, F.lit(piece)), r"^\S*\s|\s\S*$", " ").alias("t")))
+    some = F.slice(F.array_sort(cut), 1, max(1, chars // piece))
+    joined = F.array_join(F.transform(F.array_sort(F.transform(some, lambda x: F.struct(x["i"], x["t"]))), lambda x: x["t"]), " ")
+    return F.when(F.length(text) > chars, joined).otherwise(text)
+
+
 def fit_sample(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS) -> list[tuple[str, int]]:
     """The bounded sample: labelled rows that are not held out, by id hash."""
     spark = docs.sparkSession
@@ -363,9 +375,10 @@ def fit_sample(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, fit
         ids += (_usable(labels).filter(F.col("toxic") == label).select("doc_id").distinct()
                 .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs).select("doc_id", F.lit(label).alias("toxic")).collect())
     chosen = spark.createDataFrame([(r.doc_id, r.toxic) for r in ids], "doc_id long, toxic int")
-    # the id list is bounded by fit_docs, so it may be broadcast; texts do not move
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .select("doc_id", F.substring("text", 1, fit_chars).alias("text"), "toxic", F.xxhash64("doc_id").alias("h")).collect())
+    # the id list is bounded by fit_docs, so it may be broadcast; of several rows of one id one is taken
+    rows = (docs.filter(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
+            .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("row"))
+            .select("doc_id", drawn_text(F.col("row.text"), fit_chars).alias("text"), "toxic", F.xxhash64("doc_id").alias("h")).collect())
     rows = {(r.doc_id, r.text): r for r in rows if r.text}
     return [(r.text, r.toxic) for r in sorted(rows.values(), key=lambda r: (r.h, r.doc_id, r.text))]
 

@@ -3,9 +3,12 @@
 For every response two records are built, as DataFrame expressions row by row:
 
 * ``conversion`` (text/plain): the page's text, without scripts, styles, comments
-  and tags, block elements as line ends, the common entities decoded;
+  and tags, block elements as line ends, the common and all numeric entities decoded;
 * ``metadata`` (application/warc-fields): title, out-links in their order, and
-  the response's own HTTP headers.
+  the response's own HTTP headers. Title and links are those of the page's source (entities
+  stay); as a field is one line, white space and control characters in a title become
+  one space, in a link control characters go and spaces become %20. Links may be
+  quoted either way or not at all.
 
 Both keep the response's target URI, date and payload digest, refer to it
 (``WARC-Refers-To``) and have an id derived from its id, so a rerun or a
@@ -33,7 +36,15 @@ TEXT_STEPS = [
     (rf"(?i)</?(?:{_BLOCK_TAGS})\b[^>]*>", "\n"),
     (r"<[^>]*>", ""),
 ]
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")]
+#: an ampersand stands as MARK until all other entities are decoded, so that none is decoded twice
+MARK = "\x01"
+AMPERSAND = r"(?i)&(?:amp|#0*38|#x0*26);"
+NUMERIC = r"&#(?:[0-9]{1,8}|[xX][0-9A-Fa-f]{1,7});"
+TITLE = r"(?is)<title[^>]*>([^<]*)</title"
+TITLE_FOLD = r"[\x00-\x20\x7F]+"
+LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+LINK_DROP = r"[\x00-\x1F\x7F]+"
 SPACE_STEPS = [(r"[ \t\r\x0b\f]+", " "), (r" ?\n[ \n]*", "\n")]
 
 
@@ -41,13 +52,25 @@ def plain_text(html: F.Column) -> F.Column:
     out = html
     for pattern, to in TEXT_STEPS:
         out = F.regexp_replace(out, pattern, to)
+    out = F.regexp_replace(F.replace(out, F.lit(MARK), F.lit("")), AMPERSAND, MARK)
     for entity, char in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
+    found = F.array_distinct(F.regexp_extract_all(out, F.lit(NUMERIC), 0))
+    out = F.aggregate(found, out, lambda text, e: F.replace(text, e, _character(e)))
+    out = F.replace(out, F.lit(MARK), F.lit("&"))
     for pattern, to in SPACE_STEPS:
         out = F.regexp_replace(out, pattern, to)
     return F.btrim(out, F.lit(" \n"))
 
 
+def _character(entity: F.Column) -> F.Column:
+    """The character of a numeric entity; U+FFFD for numbers that are none."""
+    digits = F.regexp_replace(entity, "[&#xX;]", "")
+    number = F.when(F.lower(F.substring(entity, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+
+
 def urn(*parts: F.Column) -> F.Column:
     """A urn:uuid from the md5 of the parts."""
     h = F.md5(F.concat_ws("|", *parts))
@@ -55,6 +78,13 @@ def urn(*parts: F.Column) -> F.Column:
                                                             ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">"))
 
 
+def _link(value: F.Column) -> F.Column:
+    """An attribute's value as one line."""
+    quoted = F.substring(value, 1, 1).isin('"', "'")
+    plain = F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+    return F.replace(F.btrim(F.regexp_replace(plain, LINK_DROP, "")), F.lit(" "), F.lit("%20"))
+
+
 def _digest(block: F.Column) -> F.Column:
     return F.concat(F.lit("sha256:"), F.sha2(block, 256))
 
@@ -67,8 +97,8 @@ def derivatives(responses: DataFrame) -> DataFrame:
     src = responses.select(
         F.coalesce("record_id", F.lit("")).alias("source_id"), "target_uri", "warc_date", "http_headers",
         F.coalesce("payload", F.lit("")).alias("html"))
-    title = F.btrim(F.regexp_extract("html", r"(?is)<title[^>]*>([^<]*)</title", 1), F.lit(" \n"))
-    links = F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*?href=\"([^\"]*)\""), 1)
+    title = F.btrim(F.regexp_replace(F.regexp_extract("html", TITLE, 1), TITLE_FOLD, " "))
+    links = F.transform(F.regexp_extract_all("html", F.lit(LINK), 1), _link)
     read = src.select(
         "source_id", "target_uri", "warc_date", _digest(F.col("html")).alias("source_digest"),
         urn(F.col("source_id"), F.lit("conversion")).alias("text_id"), urn(F.col("source_id"), F.lit("metadata")).alias("meta_id"),
@@ -94,7 +124,8 @@ def derivatives(responses: DataFrame) -> DataFrame:
 def serialized(records: DataFrame) -> DataFrame:
     """(record): header and block of each WARC/1.1 record, without the closing line ends."""
     def line(name, col):
-        return F.when(F.col(col).isNotNull(), F.concat(F.lit(f"{name}: "), F.col(col).cast("string"), F.lit("\r\n"))).otherwise("")
+        value = F.regexp_replace(F.col(col).cast("string"), r"[\r\n]+", " ")
+        return F.when(F.col(col).isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))).otherwise("")
 
     head = [("WARC-Type", "record_type"), ("WARC-Record-ID", "record_id"), ("WARC-Refers-To", "refers_to"),
             ("WARC-Concurrent-To", "concurrent_to"), ("WARC-Target-URI", "target_uri"), ("WARC-Date", "warc_date"),

@@ -300,3 +300,20 @@ def test_crf_gradients_match_differences():
                 both.append(likelihood())
             value[i] = old
             assert abs((both[0] - both[1]) / 2e-5 - grad[i]) < 1e-6
+
+
+def test_training_lines_come_from_the_whole_text():
+    seen = set()
+    for seed in range(200):
+        codes = np.concatenate(([seed], np.arange(1, 500)))
+        run = QL._run_of(codes, 64)
+        assert len(run) == 64 and (np.diff(run[1:]) == 1).all()
+        seen.add(int(run[-1]))
+    assert min(seen) < 130 and max(seen) > 430
+    assert QL._run_of(np.arange(5), 64).tolist() == [0, 1, 2, 3, 4]
+
+
+def test_training_sample_takes_one_row_of_an_id(spark):
+    docs = spark.createDataFrame([(i % 3, f"a line of row {i}") for i in range(90)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, quality int")
+    assert len(QL.fit_sample(docs, labels)) == 3

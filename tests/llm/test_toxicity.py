@@ -140,3 +140,20 @@ def test_threshold_does_not_move_with_the_sample(spark):
         assert abs(score.mean() - share) < 0.04
         assert (score[marked] >= 0.5).mean() < 0.2
     assert TX.ratio_shift(labels, 10_000) == 0
+
+
+def test_long_texts_are_drawn_over_their_whole_length(spark):
+    words = [f"w{i:05d}" for i in range(10_000)]
+    rows = [(1, " ".join(words)), (2, "short text"), (3, "x" * 7_001), (4, None)]
+    got = {r.i: r.t for r in spark.createDataFrame(rows, "i int, x string").select("i", TX.drawn_text(F.col("x"), 6_000, 500).alias("t")).collect()}
+    drawn = got[1].split()
+    assert 5_000 < len(got[1]) <= 6_100 and set(drawn) <= set(words) and drawn == sorted(drawn)
+    assert drawn[0] != words[0] or drawn[-1] > words[2_000]
+    assert max(map(int, (w[1:] for w in drawn))) > 8_000 and min(map(int, (w[1:] for w in drawn))) < 2_000
+    assert got[2] == "short text" and got[4] is None
+
+
+def test_repeated_ids_bring_one_text_each(spark):
+    docs = spark.createDataFrame([(i % 4, f"text number {i}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(4)], "doc_id long, toxic int")
+    assert len(TX.fit_sample(docs, labels)) <= 4

@@ -143,3 +143,37 @@ def test_warc_files_read_back(responses, tmp_path):
     assert sorted((h["WARC-Type"], h["WARC-Record-ID"], h["WARC-Refers-To"], h["WARC-Source-Payload-Digest"], b.decode()) for h, b in found) == want
     for h, b in found:
         assert h["WARC-Block-Digest"] == "sha256:" + hashlib.sha256(b).hexdigest()
+
+
+ODD_PAGE = """<html><title> one\r\nWARC-Type: fake\ttwo </title>
+<a href='single'>1</a><a href = "sp aced">2</a><a class=x href=bare>3</a><A\nHREF
+=\n'up "q"'>4</A><a data-href="no" href="a\nb">5</a><a name="x">6</a><a href="">7</a><abbr href="no">8</abbr>
+It&#8217;s &#x1F600; &#65; &amp;#65; &#38;lt; &amp;amp; &#0; &#xD800; &#99999999; &lt;b&gt; &quot;q&quot; &#39;s&#39;</html>"""
+
+
+def test_odd_titles_links_and_entities(spark):
+    from html import unescape
+    from html.parser import HTMLParser
+
+    class Links(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=False)
+            self.found = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a":
+                self.found += [v for k, v in attrs if k == "href"]
+
+    parser = Links()
+    parser.feed(ODD_PAGE)
+    rows = [("<urn:uuid:9>", "http://a.test/\r\nX: y", "d", "HTTP/1.1 200 OK\r\n", ODD_PAGE)]
+    got = {r.record_type: r for r in WA.derivatives(spark.createDataFrame(rows, SCHEMA)).collect()}
+    lines = got["metadata"].block.split("\r\n")
+    assert lines[0] == "title: one WARC-Type: fake two" and all("\n" not in x and "\r" not in x for x in lines)
+    links = [x[len("outlink: "):] for x in lines if x.startswith("outlink: ")]
+    assert links == [v.replace("\n", "").replace(" ", "%20") for v in parser.found] == ["single", "sp%20aced", "bare", "up%20\"q\"", "ab", ""]
+    last = got["conversion"].block.split("\n")[-1]
+    want = unescape("It&#8217;s &#x1F600; &#65; &amp;#65; &#38;lt; &amp;amp; &#0; &#xD800; &#99999999; &lt;b&gt; &quot;q&quot; &#39;s&#39;")
+    assert last.endswith(want), (last, want)
+    head = WA.serialized(WA.derivatives(spark.createDataFrame(rows, SCHEMA))).first().record.split("\r\n\r\n")[0]
+    assert "WARC-Target-URI: http://a.test/ X: y" in head.split("\r\n")
