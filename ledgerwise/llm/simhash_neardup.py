@@ -9,7 +9,8 @@ one table lookup finds all of them, and a key's bucket can hold no more than
 65 fingerprints: its centre and the centre with one bit flipped. The bucket is
 kept as a bit mask, so no pair list is built, however many documents or
 fingerprints resemble each other. Every link's complete distance is checked.
-``near_duplicates``: components of the links, spread to all documents.
+``near_duplicates``: components of the links, spread to all documents; the rows of
+a hot fingerprint are dealt out by a salt for that.
 
 Results in odd cases: a null or empty text, or one of separators only, has
 fingerprint zero and links like any other; repeated rows of a document id get
@@ -25,7 +26,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerwise.llm.blocks import Words, blocks
 from ledgerwise.llm.graph import components
@@ -33,6 +33,8 @@ from ledgerwise.session import materialize
 
 BITS = 64
 SEGMENTS = 4
+HOT_SHARE = 1_000   # a fingerprint of more than a thousandth of all rows is hot
+SALTS = 32          # parts that its rows are dealt into
 
 
 def simhash_block(column: pa.Array, shingle: int, seed: int = 42) -> np.ndarray:
@@ -68,14 +70,15 @@ def simhash_block(column: pa.Array, shingle: int, seed: int = 42) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): fp is the SimHash as a signed long."""
+    """(doc_id, content, fp): fp is the SimHash as a signed long, content XXH64 of the text."""
     def run(batches):
         for b in blocks(batches, "text"):
             fp = simhash_block(b.column("text"), shingle)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("content"), pa.array(fp.view(np.int64))], ["doc_id", "content", "fp"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                      F.xxhash64(F.col(text_col).cast("string")).alias("content"))
+    return src.mapInArrow(run, "doc_id long, content long, fp long")
 
 
 def _flips(segments: int) -> list[int]:
@@ -117,17 +120,35 @@ def links(fps: DataFrame, max_bits: int = 2, segments: int = SEGMENTS) -> DataFr
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): the smallest doc_id reachable over links."""
+    """(doc_id, content, fp, component_id): the smallest doc_id reachable over links."""
     each = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    classes = each.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    classes = materialize(each.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "simhash-fp")
     roots = components(links(classes.select("fp"), max_bits))
     placed = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "low", F.coalesce("root", "fp").alias("root"))
+        .select("fp", "low", "n", F.coalesce("root", "fp").alias("root"))
     placed = materialize(placed, "simhash-class")
     # written, so that the join can split a root that holds many fingerprints
     lows = materialize(placed.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-low")
-    by_fp = placed.join(lows, "root").select("fp", "component_id")
-    return each.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    by_fp = placed.join(lows, "root").select("fp", "n", "component_id")
+    return _spread(each, by_fp)
+
+
+def _spread(each: DataFrame, by_fp: DataFrame) -> DataFrame:
+    """Each row's class. A fingerprint of more than one row in ``HOT_SHARE`` is dealt out by a salt,
+    its class repeated for each; there are fewer than ``HOT_SHARE`` of them."""
+    total = each.count()
+    hot = [r["fp"] for r in by_fp.filter(F.col("n") > total / HOT_SHARE).select("fp").collect()]
+
+    def salts(of_rows: F.Column, of_classes: F.Column) -> tuple[F.Column, F.Column]:
+        if not hot:
+            return F.lit(0), F.array(F.lit(0))
+        is_hot = F.col("fp").isin(hot)
+        return F.when(is_hot, of_rows).otherwise(F.lit(0)), F.when(is_hot, of_classes).otherwise(F.array(F.lit(0)))
+
+    row_salt, class_salts = salts(F.pmod(F.xxhash64("doc_id", "content"), F.lit(SALTS)).cast("int"), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    rows = each.withColumn("salt", row_salt)
+    classes = by_fp.select("fp", "component_id", F.explode(class_salts).alias("salt"))
+    return rows.join(classes, ["fp", "salt"]).select("doc_id", "content", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
@@ -135,18 +156,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     its rows in that class; rows without an id are kept). An id whose rows lie in
     several classes is judged in each of them, so every class keeps a row."""
     found = near_duplicates(docs, shingle, max_bits)
-    name = "fp"
-    while name in {c.lower() for c in docs.columns}:
-        name = "_" + name
-
-    def run(batches):  # the fingerprint again, rather than a copy of the texts with it on disk
-        for b in blocks(batches, "text"):
-            fp = simhash_block(b.column("text"), shingle)
-            yield b.append_column(name, pa.array(fp.view(np.int64)))
-
-    drop = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id", F.col("fp").alias(name)).distinct()
-    rows = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
-    return rows.join(drop, ["doc_id", name], "left_anti").select(*docs.columns)
+    drop = found.filter(F.col("doc_id") != F.col("component_id")).select(
+        F.col("doc_id").alias("_drop_id"), F.col("content").alias("_drop_content")).distinct()
+    # a row is known by its id and the hash of its text, which the first pass carried along
+    same = (F.col("doc_id").cast("long") == F.col("_drop_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_drop_content"))
+    return docs.join(drop, same, "left_anti")
 
 
 def hex_fingerprint(fp: F.Column) -> F.Column:

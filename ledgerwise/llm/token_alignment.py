@@ -49,8 +49,9 @@ from ledgerwise.session import materialize
 
 BLOCK_BYTES = 1 << 20
 PRODUCT_ROWS = 1 << 20    # products of a block come in slices of about so many entries
-MEMO_CHUNKS = 250_000     # chunks of texts whose alignment a worker remembers,
+MEMO_CHUNKS = 200_000     # chunks of texts whose alignment a worker remembers,
 MEMO_BYTES = 32 << 20     # and their bytes
+LEARN_CHUNKS = 10_000     # new chunks encoded at a time
 MERGE_PAIRS = 2_000_000   # pair counts a task gathers before it merges them
 
 
@@ -316,8 +317,8 @@ class Aligner:
         if len(self.place) > MEMO_CHUNKS or self.held > MEMO_BYTES:
             self._forget()
         fresh = list(dict.fromkeys(c for c in flat if c not in self.place))
-        if fresh:
-            self._learn(fresh)
+        for lo in range(0, len(fresh), LEARN_CHUNKS):
+            self._learn(fresh[lo:lo + LEARN_CHUNKS])
         at = np.fromiter(map(self.place.__getitem__, flat), dtype=np.int64, count=len(flat))
         first = np.concatenate(([0], np.cumsum([len(c) for c in cut]))).astype(np.int64)
         sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(self.counts[at], axis=0)))
