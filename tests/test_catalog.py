@@ -41,3 +41,9 @@ def test_catalog_tables_round_trip(spark):
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     assert not lake.exists(name)
+
+
+def test_show_prints_rows(spark, capsys):
+    C.show(spark.range(3).selectExpr("id", "concat('a long value number ', id) as v"), 2)
+    out = capsys.readouterr().out
+    assert "a long value number 1" in out and "number 2" not in out and "only showing top 2 rows" in out
