@@ -22,6 +22,22 @@ def _test_size(n: int, frac: float) -> int:
     return int(math.floor(frac * n + 0.5))
 
 
+MAX_CLASSES = 10_000
+
+
+def _id_at(rows: DataFrame, id_col: str, place: int):
+    """The id at a 1-based place of the ascending order (null first): an order statistic, not a list."""
+    n_null = rows.filter(F.col(id_col).isNull()).count()
+    if place <= n_null:
+        idv, last = None, n_null
+    else:
+        idv, before, ties = ranks.order_statistics(rows, id_col, {(): [place - n_null]})[((), place - n_null)]
+        last = n_null + before + ties
+    if last != place:
+        raise ValueError(f"several rows have {id_col}={idv!r} at the border of the split; ids must be unique")
+    return idv
+
+
 def stratified_split(df: DataFrame, test_frac: float = 0.2, seed: int = 42,
                      label: str = "Class", id_col: str = "id", out: str = "split",
                      key: Column | None = None) -> DataFrame:
@@ -30,21 +46,18 @@ def stratified_split(df: DataFrame, test_frac: float = 0.2, seed: int = 42,
     raises: such rows can't be told apart."""
     h = F.xxhash64(F.col(id_col), F.lit(seed)) if key is None else key
     x = df.withColumn("_h", h)
-    sizes = {(r[label],): r["n"] for r in x.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {(r[label],): r["n"] for r in x.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()}
+    if len(sizes) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
     wanted = {k: [_test_size(n, test_frac)] for k, n in sizes.items() if _test_size(n, test_frac) >= 1}
     stats = ranks.order_statistics(x, "_h", wanted, group_cols=[label], group_sizes=sizes)
     borders = []
     for k, (t,) in wanted.items():
         hv, before, ties = stats[(k, t)]
-        left, idv = t - before, None
-        if left < ties:  # ids that share a hash: a handful, whatever the size
-            same = x.filter(F.col(label).eqNullSafe(F.lit(k[0])) & (F.col("_h") == F.lit(hv)))
-            for r in same.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col(id_col).asc_nulls_first()).collect():
-                if left <= 0:
-                    break
-                left, idv = left - r["n"], r[id_col]
-            if left < 0:
-                raise ValueError(f"several rows have {id_col}={idv!r} at the border of the split; ids must be unique")
+        left = t - before
+        if left < ties:  # the border runs between ids of one hash (of very many, if ``key`` has few values)
+            same = x.filter(F.col(label).eqNullSafe(F.lit(k[0])) & (F.col("_h") == F.lit(hv))).select(id_col)
+            idv = _id_at(same, id_col, left)
             borders.append((k[0], hv, False, idv))
         else:
             borders.append((k[0], hv, True, None))

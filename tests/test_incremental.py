@@ -98,3 +98,20 @@ def test_accepted_and_rejected_make_up_what_landed(spark):
                                                       "99999999999,1,z": "cast: id"}
     assert all("/in/" in f for _, f in rejected.values())
     assert {r.reason: r.lines for r in QU.quarantine_summary(got.rejected).collect()}["columns"] == 2
+
+
+def test_border_among_many_ids_of_one_key(spark):
+    """A key of two values: the border lies among thousands of ids that share one."""
+    from ledgerwise.ml import split as SP
+    df = spark.range(5_000).select("id", (F.col("id") % 5 == 0).cast("int").alias("Class"))
+    got = SP.stratified_split(df, 0.3, key=(F.col("id") % 2).cast("string"))
+    test = {r.id for r in got.filter("split = 'test'").collect()}
+    want = set()
+    for c in (0, 1):
+        own = sorted((i for i in range(5_000) if int(i % 5 == 0) == c), key=lambda i: (i % 2, i))
+        want |= set(own[:int(0.3 * len(own) + 0.5)])
+    assert test == want
+    nulls = spark.createDataFrame([(None, 0), (None, 0), (1, 0), (2, 0)], "id int, Class int")
+    assert SP.stratified_split(nulls, 0.5, key=F.lit("k")).filter("split = 'test' AND id IS NULL").count() == 2
+    with pytest.raises(ValueError, match="unique"):
+        SP.stratified_split(nulls, 0.25, key=F.lit("k"))
