@@ -48,21 +48,35 @@ LINK_DROP = r"[\x00-\x1F\x7F]+"
 SPACE_STEPS = [(r"[ \t\r\x0b\f]+", " "), (r" ?\n[ \n]*", "\n")]
 
 
-def plain_text(html: F.Column) -> F.Column:
+def _stripped(html: F.Column) -> F.Column:
+    """Without scripts, styles, comments and tags; only an ampersand's entity is decoded, to MARK."""
     out = html
     for pattern, to in TEXT_STEPS:
         out = F.regexp_replace(out, pattern, to)
     out = F.regexp_replace(F.replace(out, F.lit(MARK), F.lit("")), AMPERSAND, MARK)
     for entity, char in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    found = F.array_distinct(F.regexp_extract_all(out, F.lit(NUMERIC), 0))
-    out = F.aggregate(found, out, lambda text, e: F.replace(text, e, _character(e)))
-    out = F.replace(out, F.lit(MARK), F.lit("&"))
+    return out
+
+
+def _decoded(text: F.Column) -> F.Column:
+    """Numeric entities decoded, where there are any."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMERIC), 0))
+    each = F.aggregate(found, text, lambda t, e: F.replace(t, e, _character(e)))
+    return F.when(F.contains(text, F.lit("&#")), each).otherwise(text)
+
+
+def _spaced(text: F.Column) -> F.Column:
+    out = F.replace(text, F.lit(MARK), F.lit("&"))
     for pattern, to in SPACE_STEPS:
         out = F.regexp_replace(out, pattern, to)
     return F.btrim(out, F.lit(" \n"))
 
 
+def plain_text(html: F.Column) -> F.Column:
+    return _spaced(_decoded(_stripped(html)))
+
+
 def _character(entity: F.Column) -> F.Column:
     """The character of a numeric entity; U+FFFD for numbers that are none."""
     digits = F.regexp_replace(entity, "[&#xX;]", "")
@@ -99,10 +113,12 @@ def derivatives(responses: DataFrame) -> DataFrame:
         F.coalesce("payload", F.lit("")).alias("html"))
     title = F.btrim(F.regexp_replace(F.regexp_extract("html", TITLE, 1), TITLE_FOLD, " "))
     links = F.transform(F.regexp_extract_all("html", F.lit(LINK), 1), _link)
+    # a column of its own, as the next step names it several times
+    src = src.withColumn("stripped", _stripped(F.col("html")))
     read = src.select(
         "source_id", "target_uri", "warc_date", _digest(F.col("html")).alias("source_digest"),
         urn(F.col("source_id"), F.lit("conversion")).alias("text_id"), urn(F.col("source_id"), F.lit("metadata")).alias("meta_id"),
-        plain_text(F.col("html")).alias("text"),
+        _spaced(_decoded(F.col("stripped"))).alias("text"),
         F.concat(F.when(title != "", F.concat(F.lit("title: "), title, F.lit("\r\n"))).otherwise(""),
                  F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), x, F.lit("\r\n"))), ""),
                  F.array_join(F.transform(F.filter(F.split(F.coalesce("http_headers", F.lit("")), "\r?\n"), lambda x: x != ""),
