@@ -128,11 +128,10 @@ def _sql_text(html: str) -> str:
         return out
 
     out = steps(html, WA.TEXT_STEPS)
-    out = f"regexp_replace(replace({out}, chr(1), ''), '{WA.AMPERSAND}', chr(1), 'g')"
     for entity, char in WA.ENTITIES:
         out = f"replace({out}, '{entity}', chr({ord(char)}))"
     number = "(CASE WHEN e[3] IN ('x', 'X') THEN ('0x' || e[4:-2])::BIGINT ELSE e[3:-2]::BIGINT END)"
-    char = f"chr((CASE WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 THEN {number} ELSE 65533 END)::INT)"
+    char = f"CASE WHEN {number} = 38 THEN chr(1) ELSE chr((CASE WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 THEN {number} ELSE 65533 END)::INT) END"
     out = (f"list_reduce(list_prepend({out}, list_distinct(regexp_extract_all(html, '{WA.NUMERIC}'))), "
            f"lambda t, e: replace(t, e, {char}))")
     out = f"replace({out}, chr(1), '&')"

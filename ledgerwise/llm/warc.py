@@ -34,17 +34,16 @@ _BLOCK_TAGS = "p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|article|section|
 TEXT_STEPS = [
     (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", ""),
     (rf"(?i)</?(?:{_BLOCK_TAGS})\b[^>]*>", "\n"),
-    (r"<[^>]*>", ""),
+    (r"<[^>]*>|\x01", ""),
 ]
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")]
 #: an ampersand stands as MARK until all other entities are decoded, so that none is decoded twice
 MARK = "\x01"
-AMPERSAND = r"(?i)&(?:amp|#0*38|#x0*26);"
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", MARK)]
 NUMERIC = r"&#(?:[0-9]{1,8}|[xX][0-9A-Fa-f]{1,7});"
 TITLE = r"(?is)<title[^>]*>([^<]*)</title"
 TITLE_FOLD = r"[\x00-\x20\x7F]+"
-LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-LINK_DROP = r"[\x00-\x1F\x7F]+"
+LINK = r"""(?i)<a\s(?:[^>]*?\s)??href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+LINK_DROP, LINK_ODD = r"[\x00-\x1F\x7F]+", r"[\x00-\x20\x7F]"
 SPACE_STEPS = [(r"[ \t\r\x0b\f]+", " "), (r" ?\n[ \n]*", "\n")]
 
 
@@ -53,7 +52,6 @@ def _stripped(html: F.Column) -> F.Column:
     out = html
     for pattern, to in TEXT_STEPS:
         out = F.regexp_replace(out, pattern, to)
-    out = F.regexp_replace(F.replace(out, F.lit(MARK), F.lit("")), AMPERSAND, MARK)
     for entity, char in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
     return out
@@ -82,7 +80,8 @@ def _character(entity: F.Column) -> F.Column:
     digits = F.regexp_replace(entity, "[&#xX;]", "")
     number = F.when(F.lower(F.substring(entity, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits).cast("long")
     valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+    return F.when(number == 38, F.lit(MARK)).otherwise(char)
 
 
 def urn(*parts: F.Column) -> F.Column:
@@ -96,7 +95,8 @@ def _link(value: F.Column) -> F.Column:
     """An attribute's value as one line."""
     quoted = F.substring(value, 1, 1).isin('"', "'")
     plain = F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
-    return F.replace(F.btrim(F.regexp_replace(plain, LINK_DROP, "")), F.lit(" "), F.lit("%20"))
+    cleaned = F.replace(F.btrim(F.regexp_replace(plain, LINK_DROP, "")), F.lit(" "), F.lit("%20"))
+    return F.when(F.rlike(plain, F.lit(LINK_ODD)), cleaned).otherwise(plain)
 
 
 def _digest(block: F.Column) -> F.Column:
