@@ -49,7 +49,7 @@ from ledgerwise.session import materialize
 
 BLOCK_BYTES = 1 << 20
 PRODUCT_ROWS = 1 << 20    # products of a block come in slices of about so many entries
-MEMO_CHUNKS = 200_000     # chunks of texts whose alignment a worker remembers,
+MEMO_CHUNKS = 120_000     # chunks of texts whose alignment a worker remembers,
 MEMO_BYTES = 32 << 20     # and their bytes
 LEARN_CHUNKS = 10_000     # new chunks encoded at a time
 MERGE_PAIRS = 2_000_000   # pair counts a task gathers before it merges them
