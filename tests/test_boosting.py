@@ -138,3 +138,36 @@ def test_odd_inputs(spark):
     assert [len(t["feature"]) for t in m.body["trees"]] == [1, 1] and m.featureImportances.tolist() == [0, 0, 0]
     with pytest.raises(ValueError):
         B.fit_boosted(one, COLS, "Class", B.BoostParams(max_bins=300))
+
+
+def test_sums_of_the_heavier_child_are_the_rest(monkeypatch):
+    """Of two children one is summed, the last level not at all: half the rows a level, and the same histograms."""
+    rng = np.random.default_rng(5)
+    codes, y = rng.integers(1, 9, (4, 2000)).astype(np.uint8), rng.integers(0, 2, 2000).astype(float)
+    g, h = (B.rounded(v, 2000) for v in (0.3 - y, np.full(2000, 0.21)))
+    summed, plain = [], B._histograms
+
+    def watched(codes, node, *rest):
+        summed.append((node >= 0).sum())
+        return plain(codes, node, *rest)
+
+    monkeypatch.setattr(B, "_histograms", watched)
+    tree, step = B.grow(codes, g, h, B.BoostParams(max_depth=5), 9, lambda x: x)
+    assert len(summed) == 5 and summed[0] == 2000 and all(n <= 1000 for n in summed[1:])
+    assert np.array_equal(step, B.leaf_values(tree, codes))
+    for i, v in enumerate(tree.value):  # any order of the rows sums to the same bits
+        rows = reached(tree, codes, i)
+        again = rng.permutation(rows)
+        assert g[rows].sum() == g[again].sum() and v == -0.1 * g[rows].sum() / (h[rows].sum() + 1.0)
+
+
+def reached(tree, codes, node):
+    out, todo = np.zeros(codes.shape[1], bool), [(0, np.arange(codes.shape[1]))]
+    while todo:
+        i, rows = todo.pop()
+        if i == node:
+            out[rows] = True
+        if tree.feature[i] >= 0:
+            right = codes[tree.feature[i], rows] > tree.border[i]
+            todo += [(tree.left[i], rows[~right]), (tree.left[i] + 1, rows[right])]
+    return np.flatnonzero(out)
