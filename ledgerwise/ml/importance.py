@@ -25,6 +25,7 @@ from ..operators import ranks
 from ..session import materialize
 
 NO_COLUMN = ""   # the name under which the untouched rows are scored
+TASK_SCORES = 20_000   # rows that one task scores: few bytes, but hundreds of trees each
 
 
 def _places(df: DataFrame, order: Column, out: str) -> DataFrame:
@@ -34,15 +35,18 @@ def _places(df: DataFrame, order: Column, out: str) -> DataFrame:
 
 
 def permuted_rows(df: DataFrame, cols: Sequence[str], id_col: str = S.ID_COL, keep: Sequence[str] = (), seed: int = 42,
-                  orders: tuple[Column, Column] | None = None) -> DataFrame:
+                  orders: tuple[Column, Column] | None = None, task_rows: int | None = None) -> DataFrame:
     """(permuted, id, keep..., cols...): the rows as they are (``permuted`` is ``NO_COLUMN``) and, for
     each column, with that column's values exchanged between rows. ``orders`` replaces the two hashes
-    of the id (``_id``); ids must be unique."""
+    of the id (``_id``); ids must be unique. ``task_rows`` deals the result out to as many tasks as it has so many rows:
+    by its bytes alone, Spark would give thousands of rows with all their variants to one."""
     take, give = orders or (F.xxhash64("_id", F.lit(seed)), F.xxhash64("_id", F.lit(seed + 1)))
     rows = df.select(F.col(id_col).alias("_id"), *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.struct(*cols).alias("_own"))
     placed = materialize(_places(rows, take, "_place"), "permuted-places")
     donors = _places(placed.select("_id", F.col("_own").alias("_other")), give, "_place").drop("_id")
     both = placed.join(donors, "_place")
+    if task_rows:
+        both = both.repartition(max(1, -(-placed.count() * (len(cols) + 1) // task_rows)), "_place")
     variants = [F.struct(F.lit(NO_COLUMN).alias("permuted"), *[F.col(f"_own.{c}").alias(c) for c in cols])]
     for name in cols:
         variants.append(F.struct(F.lit(name).alias("permuted"), *[F.col(f"{'_other' if c == name else '_own'}.{c}").alias(c) for c in cols]))
@@ -65,7 +69,7 @@ def auc_by_group(scored: DataFrame, group: str, label: str, score: str) -> DataF
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str] = S.MODEL_FEATURES, label: str = S.LABEL_COL,
                            id_col: str = S.ID_COL, seed: int = 42) -> DataFrame:
     """(feature, auc_roc, importance): the area with the feature permuted, and how much that loses."""
-    rows = permuted_rows(df.filter(F.col(label).isNotNull()), features, id_col, [label], seed)
+    rows = permuted_rows(df.filter(F.col(label).isNotNull()), features, id_col, [label], seed, task_rows=TASK_SCORES)
     scored = model.transform(rows).select("permuted", F.col(label), vector_to_array("probability")[1].alias("_score"))
     areas = materialize(auc_by_group(scored, "permuted", label, "_score"), "permuted-areas")
     whole = areas.filter(F.col("permuted") == NO_COLUMN).select(F.col("auc_roc").alias("_whole"))

@@ -52,3 +52,10 @@ def test_useless_column_scores_about_nothing(spark, data, kind, params):
 def test_empty_table(spark, data):
     model = TR.fit_pipeline(data, "lr", ["a", "b"], {})
     assert I.permutation_importance(model, data.limit(0), ["a", "b"]).count() == 0
+
+
+def test_scoring_is_dealt_to_tasks_by_rows(spark, data):
+    """1,200 rows of few bytes, 100 to a task; the same rows as in the tasks Spark chooses by bytes."""
+    dealt, plain = (I.permuted_rows(data, ["a", "b"], keep=["Class"], task_rows=n) for n in (100, None))
+    assert dealt.rdd.getNumPartitions() == 12
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
