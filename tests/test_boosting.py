@@ -171,3 +171,17 @@ def reached(tree, codes, node):
             right = codes[tree.feature[i], rows] > tree.border[i]
             todo += [(tree.left[i], rows[~right]), (tree.left[i] + 1, rows[right])]
     return np.flatnonzero(out)
+
+
+def test_histograms_add_g_and_h_in_one_pass(monkeypatch):
+    rng = np.random.default_rng(6)
+    codes, g, h = rng.integers(0, 9, (3, 500)).astype(np.uint8), rng.integers(-8, 9, 500) / 8, rng.integers(0, 3, 500) / 8
+    monkeypatch.setattr(B, "CHUNK_ROWS", 64)
+    passes, plain = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **b: passes.append(1) or plain(*a, **b))
+    for node in (np.zeros(500, int), rng.integers(-1, 4, 500)):
+        got, want = B._histograms(codes, node, 4, g, h, 9), np.zeros((2, 4, 3, 9))
+        for r in np.flatnonzero(node >= 0):
+            for f in range(3):
+                want[:, node[r], f, codes[f, r]] += g[r], h[r]
+        assert np.array_equal(got, want) and not passes

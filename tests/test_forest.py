@@ -118,3 +118,18 @@ def test_the_pipeline_grows_it_and_odd_inputs(spark):
         FO.fit_forest(frame(spark, x, y).limit(0), COLS, "Class", p)
     with pytest.raises(Exception, match="labels must be 0 or 1"):
         FO.fit_forest(frame(spark, x, y + 1), COLS, "Class", p)
+
+
+def test_histograms_equal_plain_sums():
+    """Of one node and of several, with as many bins as a byte holds, over part of the rows."""
+    rng = np.random.default_rng(4)
+    codes, y, w = rng.integers(0, 256, (300, 6)).astype(np.uint8), rng.integers(0, 2, 300).astype(np.uint8), rng.integers(1, 4, 300).astype(np.uint8)
+    rows = np.sort(rng.choice(300, 200, replace=False))
+    for nodes in (1, 3):
+        node, chosen = rng.integers(0, nodes, 200), FO.drawn_features((1, nodes), nodes, 6)
+        got, want = FO._histograms(codes, rows, node, chosen, y[rows], w[rows], 256), np.zeros((2, nodes, 3, 256))
+        for r, i in zip(rows, node):
+            for j, f in enumerate(chosen[i]):
+                want[0, i, j, codes[r, f]] += w[r]
+                want[1, i, j, codes[r, f]] += w[r] * y[r]
+        assert np.array_equal(got, want)
