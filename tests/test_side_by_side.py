@@ -1,11 +1,13 @@
-"""Fits of one experiment run side by side."""
+"""Fits of one experiment run side by side, and its silver rows are made once."""
 import threading
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerwise import schema as S
 from ledgerwise.ml import train as TR
 from ledgerwise.ml.registry import Tracker
+from ledgerwise.plans import checks as C
 from ledgerwise.plans import medallion as MD
 from ledgerwise.session import stage_scope
 from ledgerwise.sources.lakehouse import Lakehouse
@@ -56,3 +58,15 @@ def test_appended_runs_are_all_kept(spark, monkeypatch):
     tracker, df = Tracker(Lakehouse.scratch(spark)), silver(spark)
     TR.train_all(df, df, ("lr", "rf"), tracker, SMALL)
     assert most == [1, 1] and tracker.runs().count() == 2
+
+
+def test_performance_reads_the_silver_rows_of_the_split(spark, tmp_path, monkeypatch):
+    x = np.random.default_rng(2).normal(size=(150, 30))
+    rows = spark.createDataFrame([(i, [float(v) for v in r], i % 10) for i, r in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    rows.write.parquet(f"{tmp_path}/embeddings.parquet")
+    made, plain = [], C._silver_ml
+    monkeypatch.setattr(C, "_silver_ml", lambda *a: made.append(1) or plain(*a))
+    e = C._experiment(spark, str(tmp_path), ("lr",))
+    monkeypatch.setattr(C, "_experiment", lambda *a: e)
+    assert C.q_model_performance(spark, str(tmp_path)).collect()[0].total_scored == 150 and len(made) == 1
+    assert e["scores"].select(F.count_distinct("id")).first()[0] == 150
