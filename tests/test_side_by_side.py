@@ -2,6 +2,7 @@
 import threading
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerwise import schema as S
@@ -41,6 +42,15 @@ def test_fits_wait_for_each_other(spark, monkeypatch):
     assert files and not any(fs.exists(path(f)) for f in files)
 
 
+def test_runs_beside_a_failed_fit_are_kept(spark):
+    """Boosting takes missing features, logistic regression raises: the boosted run is logged and handed on."""
+    tracker, df, runs = Tracker(Lakehouse.scratch(spark)), silver(spark).withColumn("V1", F.when(F.col("id") > 3, F.col("V1"))), {}
+    with pytest.raises(Exception):
+        TR.train_all(df, silver(spark), ("lr", "gbt"), tracker, SMALL, into=runs)
+    assert [r.run_id for r in tracker.runs().collect()] == [runs["gbt"].run_id] and len(runs) == 1
+    assert TR.train_all(df, df, ()) == []
+
+
 def test_appended_runs_are_all_kept(spark, monkeypatch):
     """Two runs are never appended at the same time."""
     open_now, most, write = [], [], Lakehouse.write
